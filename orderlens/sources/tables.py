@@ -212,6 +212,43 @@ class Tables:
             F.max("latest").alias("updated_at"),
         )
 
+    def _log(self, kind: str) -> DataFrame:
+        return self.base("events").filter(F.col("event_type") == kind)
+
+    @cached_property
+    def api_calls(self) -> DataFrame:
+        return self._log("view").select(
+            F.col("event_id").alias("call_id"), F.col("ts").alias("call_timestamp"),
+            F.when(F.col("value") > 40, 500).otherwise(200).alias("status_code"),
+        )
+
+    @cached_property
+    def system_metrics(self) -> DataFrame:
+        return self._log("purchase").select(
+            F.col("event_id").alias("metric_id"), F.col("ts").alias("metric_timestamp"),
+            F.when(F.col("value") > 20, "data_processing").otherwise("maintenance").alias("metric_type"),
+            F.col("value").cast("decimal(18,4)").alias("metric_value"),
+        )
+
+    @cached_property
+    def quality_checks(self) -> DataFrame:
+        names = ("Customer Email Validation", "Order Items Validation", "Product Price Validation", "Order Date Validation")
+        return self._log("click").select(
+            F.col("event_id").alias("check_id"),
+            F.element_at(F.array(*map(F.lit, names)), (F.col("user_id") % 4 + 1).cast("int")).alias("check_name"),
+            F.when(F.col("value") > 30, "FAIL").otherwise("PASS").alias("status"),
+            F.col("ts").alias("check_timestamp"),
+            F.when(F.col("value") > 30, F.concat(F.lit("observed "), F.get_json_object("props", "$.k"))).alias(
+                "error_details"
+            ),
+        )
+
+    @cached_property
+    def audit_log(self) -> DataFrame:
+        return self._log("signup").select(
+            F.col("event_id").alias("audit_id"), F.col("ts").alias("event_timestamp"), F.col("user_id").alias("user_name")
+        )
+
     @cached_property
     def questions(self) -> DataFrame:
         """User turns of the conversations."""

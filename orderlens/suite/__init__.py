@@ -1,6 +1,12 @@
 """The registered queries; importing this package registers all of them."""
 
-from orderlens.suite import relational_suite, views_suite  # noqa: F401
+from orderlens.suite import (  # noqa: F401
+    quality_suite,
+    relational_suite,
+    scalar_suite,
+    views_suite,
+    writes_suite,
+)
 from orderlens.suite.registry import oracle_sql, queries
 
 __all__ = ["queries", "oracle_sql"]

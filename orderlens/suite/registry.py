@@ -90,6 +90,21 @@ CTES = {
                sum(total_amount)::DECIMAL(15,2) AS total_sales, count(*) AS total_orders,
                count(DISTINCT customer_id) AS unique_customers, max(order_date) AS updated_at
         FROM a_orders WHERE status IN ('COMPLETED', 'SHIPPED') GROUP BY 1, 2""",
+    "a_api_calls": """
+        SELECT event_id AS call_id, ts AS call_timestamp, CASE WHEN value > 40 THEN 500 ELSE 200 END AS status_code
+        FROM events WHERE event_type = 'view'""",
+    "a_system_metrics": """
+        SELECT event_id AS metric_id, ts AS metric_timestamp,
+               CASE WHEN value > 20 THEN 'data_processing' ELSE 'maintenance' END AS metric_type,
+               value::DECIMAL(18,4) AS metric_value FROM events WHERE event_type = 'purchase'""",
+    "a_quality_checks": """
+        SELECT event_id AS check_id, CASE user_id % 4 WHEN 0 THEN 'Customer Email Validation'
+               WHEN 1 THEN 'Order Items Validation' WHEN 2 THEN 'Product Price Validation' ELSE 'Order Date Validation' END AS check_name,
+               CASE WHEN value > 30 THEN 'FAIL' ELSE 'PASS' END AS status, ts AS check_timestamp,
+               CASE WHEN value > 30 THEN 'observed ' || (props->>'$.k') END AS error_details
+        FROM events WHERE event_type = 'click'""",
+    "a_audit_log": """
+        SELECT event_id AS audit_id, ts AS event_timestamp, user_id AS user_name FROM events WHERE event_type = 'signup'""",
     "a_questions": """
         SELECT conv_id, turn, text AS question FROM conversations WHERE role = 'user'""",
 }

@@ -301,6 +301,22 @@ def _(t):
     return reports.executive_report(_dashboard(t))
 
 
+_R_QUALITY = f"SELECT * FROM a_quality_checks WHERE check_timestamp >= {JOB_DAY} - INTERVAL 7 DAY"
+
+
+@query("report_data_quality", _R_QUALITY)
+def _(t):
+    return reports.quality_report(t.quality_checks, JOBS_AS_OF)
+
+
+@query("report_data_quality_summary", f"""
+    SELECT count(*) AS total_checks, count(*) FILTER (status = 'PASS') AS passed_checks,
+           count(*) FILTER (status = 'FAIL') AS failed_checks,
+           count(*) FILTER (status = 'PASS')::DOUBLE / greatest(count(*), 1) * 100 AS success_rate FROM ({_R_QUALITY})""")
+def _(t):
+    return reports.quality_report_summary(reports.quality_report(t.quality_checks, JOBS_AS_OF))
+
+
 @query("job_metrics_24h", f"""
     SELECT count(*) AS total_jobs, count(*) FILTER (status = 'COMPLETED') AS completed_jobs,
            count(*) FILTER (status = 'FAILED') AS failed_jobs, count(*) FILTER (status = 'RUNNING') AS running_jobs,
