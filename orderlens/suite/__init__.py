@@ -1,9 +1,11 @@
 """The registered queries; importing this package registers all of them."""
 
 from orderlens.suite import (  # noqa: F401
+    metrics_suite,
     quality_suite,
     relational_suite,
     scalar_suite,
+    streaming_suite,
     views_suite,
     writes_suite,
 )
