@@ -2,6 +2,7 @@
 
 from orderlens.suite import (  # noqa: F401
     metrics_suite,
+    nudges_suite,
     quality_suite,
     relational_suite,
     scalar_suite,
