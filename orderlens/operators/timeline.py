@@ -16,33 +16,39 @@ from pyspark.sql import functions as F
 from orderlens.functions import time_floor
 
 
+def plain_key(key: str) -> Column:
+    """The key as text that is never NULL, so joins on it stay plain equalities and reuse
+    the partitioning of the window before them."""
+    return F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("null"))
+
+
 def with_history(
     df: DataFrame, key: str, ts: str, order: Sequence[str], slice_unit: str = "day"
 ) -> DataFrame:
     """Adds ``prev_ts`` (LAG) and ``seq`` (ROW_NUMBER) per key in event order."""
-    sliced = df.withColumn("__slice", time_floor(slice_unit, F.col(ts)))
-    summary = sliced.groupBy(key, "__slice").agg(
+    sliced = df.withColumn("__slice", time_floor(slice_unit, F.col(ts))).withColumn("__of", plain_key(key))
+    summary = sliced.groupBy("__of", "__slice").agg(
         F.count(F.lit(1)).alias("__n"), F.max(ts).alias("__last")
     )
-    by_slice = Window.partitionBy(key).orderBy("__slice")
+    by_slice = Window.partitionBy("__of").orderBy("__slice")
     carried = summary.select(
-        F.col(key).alias("__key"),
+        F.col("__of").alias("__key"),
         F.col("__slice").alias("__at"),
         F.coalesce(
             F.sum("__n").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ).alias("__seen"),
         F.lag("__last").over(by_slice).alias("__prev"),
     )
-    inside = Window.partitionBy(key, "__slice").orderBy(*order)
+    inside = Window.partitionBy("__of", "__slice").orderBy(*order)
     local = sliced.withColumns(
         {"__rn": F.row_number().over(inside), "__lag": F.lag(ts).over(inside)}
     )
-    on = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__slice") == F.col("__at"))
+    on = (F.col("__of") == F.col("__key")) & (F.col("__slice") == F.col("__at"))
     return (
         local.join(carried, on, "left")
         .withColumn("prev_ts", F.coalesce("__lag", "__prev"))
         .withColumn("seq", (F.col("__seen") + F.col("__rn")).cast("bigint"))
-        .drop("__slice", "__rn", "__lag", "__key", "__at", "__seen", "__prev")
+        .drop("__slice", "__of", "__rn", "__lag", "__key", "__at", "__seen", "__prev")
     )
 
 
@@ -62,11 +68,11 @@ def asof_latest(
     slice_of = lambda c: time_floor(slice_unit, F.col(c))
     value = F.struct(F.col(right_ts).alias("at"), *[F.col(c) for c in state])
     r = right.select(
-        F.col(key).alias("__key"), slice_of(right_ts).alias("__slice"), F.col(right_ts).alias("__ts"),
+        plain_key(key).alias("__key"), slice_of(right_ts).alias("__slice"), F.col(right_ts).alias("__ts"),
         F.lit(0).alias("__side"), value.alias("__state"), F.lit(None).cast(left.schema.simpleString()).alias("__row"),
     )
     l = left.select(
-        F.col(key).alias("__key"), slice_of(left_ts).alias("__slice"), F.col(left_ts).alias("__ts"),
+        plain_key(key).alias("__key"), slice_of(left_ts).alias("__slice"), F.col(left_ts).alias("__ts"),
         F.lit(1).alias("__side"), F.lit(None).cast(r.schema["__state"].dataType).alias("__state"),
         F.struct(*left.columns).alias("__row"),
     )
@@ -85,7 +91,7 @@ def asof_latest(
         F.last("__state", ignorenulls=True).over(earlier).alias("__carry"),
     )
     found = local.join(
-        carried, F.col("__key").eqNullSafe(F.col("__k")) & (F.col("__slice") == F.col("__at")), "left"
+        carried, (F.col("__key") == F.col("__k")) & (F.col("__slice") == F.col("__at")), "left"
     ).withColumn("__hit", F.coalesce("__now", "__carry"))
     return found.select(
         "__row.*",

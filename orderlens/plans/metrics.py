@@ -11,8 +11,8 @@ from orderlens.functions import boundaries, dbl, mean, money, ntz, pct, ratio
 from orderlens.operators.changes import change_feed
 from orderlens.operators.ranking import rank_desc, tile
 from orderlens.operators.upsert import upsert
-from orderlens.plans.views import as_date, customer_360, item_weights, sold
-from orderlens.session import settle
+from orderlens.plans.views import add_rank, as_date, customer_360, item_weights, sold
+from orderlens.session import settle_counted
 
 # --- daily figures -----------------------------------------------------------
 
@@ -220,7 +220,7 @@ def customer_analytics(
     Our formulas: predicted value = spent + 3 mean orders; churn risk = days since
     the last order over 180, at most 1, and 1 without orders.
     """
-    view = customer_360(customers, orders, items, products, as_of, fanout=False)
+    view = customer_360(customers, orders, items, products, as_of, fanout=False, with_products=with_categories)
     risk = F.coalesce(F.least(F.lit(1.0), F.col("days_since_last_order") / F.lit(180.0)), F.lit(1.0))
     columns = [
         "customer_id",
@@ -354,11 +354,10 @@ def product_tiers(products: DataFrame, items: DataFrame) -> DataFrame:
         F.sum(money(F.col("total_price"))).alias("revenue"),
         F.count(F.lit(1)).alias("n"),
     )
-    base = settle(
+    base, rows = settle_counted(
         products.select("product_id", "product_name", "price", "cost").join(sums, "product_id", "left")
     )
-    total = base.agg(F.count(F.lit(1)).alias("__total"))
-    ranked = rank_desc(base, "revenue", "__rank").crossJoin(total)
+    ranked = rank_desc(base, "revenue", "__rank", rows=rows).withColumn("__total", F.lit(rows))
     names = F.array(*map(F.lit, ("PLATINUM", "GOLD", "SILVER", "BRONZE")))
     return ranked.select(
         "product_id",
@@ -456,19 +455,15 @@ def rfm_segments(customers: DataFrame, orders: DataFrame, as_of: str, tiles: int
         F.max("order_date").alias("last"), F.count(F.lit(1)).alias("frequency"), F.sum(money(F.col("total_amount"))).alias("value")
     )
     recency = F.datediff(as_date(as_of), F.col("last"))
-    base = settle(
+    base, rows = settle_counted(
         customers.select("customer_id").join(sums, "customer_id").select(
             "customer_id", recency.alias("recency"), "frequency", "value"
         )
     )
-    total = base.agg(F.count(F.lit(1)).alias("__total"))
     out = base
     for measure in ("recency", "frequency", "value"):
-        out = rank_desc(out, measure, f"__{measure}") if measure == "recency" else out.join(
-            rank_desc(base.select("customer_id", measure), measure, f"__{measure}").select("customer_id", f"__{measure}"),
-            "customer_id",
-        )
-    out = out.crossJoin(total)
+        out = add_rank(out, base, "customer_id", measure, f"__{measure}", (), rows)
+    out = out.withColumn("__total", F.lit(rows))
     # Recency counts days, so the largest value is the worst tile; the others are turned round.
     r = tile("__recency", "__total", tiles)
     f = F.lit(tiles + 1) - tile("__frequency", "__total", tiles)

@@ -8,13 +8,15 @@ counted per order first and the count is used as a weight.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions import boundaries, dbl, hour_floor, json_text, mean, money, ntz, pct
-from orderlens.operators.ranking import rank_desc
+from orderlens.operators.ranking import ONE_TASK_ROWS, rank_desc
 from orderlens.schemas import ADDRESS, SOLD
-from orderlens.session import settle
+from orderlens.session import settle_counted
 
 
 def sold(orders: DataFrame) -> DataFrame:
@@ -64,22 +66,42 @@ def order_totals(orders: DataFrame, items: DataFrame, by: list, fanout: bool = T
 
 
 def customer_products(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
-    """Sorted distinct categories and product names per customer.
+    """Per customer: fan-out sums and the sorted distinct categories and product names.
 
-    (customer, product) pairs are made distinct before they are gathered, so a
-    customer with many orders contributes at most one entry per product.
+    One join by order_id serves both.  Its rows are summed per (customer, product)
+    before anything is gathered, so a customer holding a third of all rows is
+    spread over its products and ends as at most one row per product.
     """
-    pairs = items.select("order_id", "product_id").join(orders.select("order_id", "customer_id"), "order_id")
-    pairs = pairs.select("customer_id", "product_id").distinct()
-    named = pairs.join(products.select("product_id", "category", "product_name"), "product_id")
-    return (
-        named.select("customer_id", "category", "product_name")
-        .distinct()
-        .groupBy("customer_id")
-        .agg(
-            F.array_sort(F.collect_set("category")).alias("preferred_categories"),
-            F.array_sort(F.collect_set("product_name")).alias("purchased_products"),
-        )
+    amount = money(F.col("total_amount"))
+    lines = (
+        orders.select("order_id", "customer_id", "total_amount")
+        .join(items.select("order_id", "product_id"), "order_id", "left")
+        .groupBy("customer_id", "product_id")
+        .agg(F.sum(amount).alias("amount"), F.count(amount).alias("weight"))
+    )
+    named = lines.join(products.select("product_id", "category", "product_name"), "product_id", "left")
+    return named.groupBy("customer_id").agg(
+        F.sum("amount").alias("amount"),
+        F.sum("weight").alias("weight"),
+        F.array_sort(F.collect_set("category")).alias("preferred_categories"),
+        F.array_sort(F.collect_set("product_name")).alias("purchased_products"),
+    )
+
+
+def customer_orders(orders: DataFrame) -> DataFrame:
+    """Per customer: distinct orders, their sum, first and last date, from the orders alone."""
+    one = orders.groupBy("customer_id", "order_id").agg(
+        F.sum(money(F.col("total_amount"))).alias("amount"),
+        F.count("total_amount").alias("weight"),
+        F.min("order_date").alias("first_date"),
+        F.max("order_date").alias("last_date"),
+    )
+    return one.groupBy("customer_id").agg(
+        F.count("order_id").alias("orders"),
+        F.sum("amount").alias("order_amount"),
+        F.sum("weight").alias("order_weight"),
+        F.min("first_date").alias("first_date"),
+        F.max("last_date").alias("last_date"),
     )
 
 
@@ -90,42 +112,51 @@ def customer_360(
     products: DataFrame,
     as_of: str,
     fanout: bool = True,
+    with_products: bool = True,
 ) -> DataFrame:
-    """One row per active customer with order, preference and address columns."""
-    totals = order_totals(orders, items, ["customer_id"], fanout).withColumnRenamed("customer_id", "k1")
-    liked = customer_products(orders, items, products).withColumnRenamed("customer_id", "k2")
-    none = F.array().cast("array<string>")
-    place = F.from_json("address", ADDRESS)
-    return (
-        customers.filter("is_active")
-        .join(totals, F.col("customer_id") == F.col("k1"), "left")
-        .join(liked, F.col("customer_id") == F.col("k2"), "left")
-        .withColumn("place", place)
-        .select(
-            "customer_id",
-            "customer_name",
-            "email",
-            "phone",
-            "customer_tier",
-            dbl(F.col("lifetime_value")).alias("lifetime_value"),
-            "is_active",
-            F.col("created_at").alias("customer_since"),
-            F.col("tags").alias("customer_tags"),
-            "profile_score",
-            F.coalesce("orders", F.lit(0)).cast("bigint").alias("total_orders"),
-            F.coalesce(dbl(F.col("amount")), F.lit(0.0)).alias("total_spent"),
-            F.coalesce(mean(F.col("amount"), F.col("weight")), F.lit(0.0)).alias("avg_order_value"),
-            F.col("last_date").alias("last_order_date"),
-            F.col("first_date").alias("first_order_date"),
-            F.coalesce("preferred_categories", none).alias("preferred_categories"),
-            F.coalesce("purchased_products", none).alias("purchased_products"),
-            F.datediff(as_date(as_of), F.col("last_date")).alias("days_since_last_order"),
-            customer_status(F.col("last_date"), as_of).alias("customer_status"),
-            F.col("place.street").alias("street"),
-            F.col("place.city").alias("city"),
-            F.col("place.state").alias("state"),
-            F.col("place.zip").alias("zip_code"),
+    """One row per active customer with order, preference and address columns.
+
+    ``with_products=False`` leaves the two preference arrays out for callers that do
+    not read them; items are then only counted per order.
+    """
+    if with_products:
+        totals = customer_orders(orders).withColumnRenamed("customer_id", "k1")
+        liked = customer_products(orders, items, products).withColumnRenamed("customer_id", "k2")
+        wide = (
+            customers.filter("is_active")
+            .join(totals, F.col("customer_id") == F.col("k1"), "left")
+            .join(liked, F.col("customer_id") == F.col("k2"), "left")
         )
+        if not fanout:
+            wide = wide.withColumns({"amount": F.col("order_amount"), "weight": F.col("order_weight")})
+    else:
+        totals = order_totals(orders, items, ["customer_id"], fanout).withColumnRenamed("customer_id", "k1")
+        wide = customers.filter("is_active").join(totals, F.col("customer_id") == F.col("k1"), "left")
+    none = F.array().cast("array<string>")
+    arrays = ("preferred_categories", "purchased_products") if with_products else ()
+    return wide.withColumn("place", F.from_json("address", ADDRESS)).select(
+        "customer_id",
+        "customer_name",
+        "email",
+        "phone",
+        "customer_tier",
+        dbl(F.col("lifetime_value")).alias("lifetime_value"),
+        "is_active",
+        F.col("created_at").alias("customer_since"),
+        F.col("tags").alias("customer_tags"),
+        "profile_score",
+        F.coalesce("orders", F.lit(0)).cast("bigint").alias("total_orders"),
+        F.coalesce(dbl(F.col("amount")), F.lit(0.0)).alias("total_spent"),
+        F.coalesce(mean(F.col("amount"), F.col("weight")), F.lit(0.0)).alias("avg_order_value"),
+        F.col("last_date").alias("last_order_date"),
+        F.col("first_date").alias("first_order_date"),
+        *[F.coalesce(a, none).alias(a) for a in arrays],
+        F.datediff(as_date(as_of), F.col("last_date")).alias("days_since_last_order"),
+        customer_status(F.col("last_date"), as_of).alias("customer_status"),
+        F.col("place.street").alias("street"),
+        F.col("place.city").alias("city"),
+        F.col("place.state").alias("state"),
+        F.col("place.zip").alias("zip_code"),
     )
 
 
@@ -303,19 +334,27 @@ def product_performance(
     products: DataFrame, items: DataFrame, orders: DataFrame, customers: DataFrame
 ) -> DataFrame:
     """Product sales with revenue, quantity and category ranks (unsold products rank first)."""
-    base = settle(product_base(products, items, orders, customers))
-    ranked = rank_desc(base, "total_revenue", "revenue_rank")
-    ranked = rank_desc_onto(ranked, base, "total_quantity_sold", "quantity_rank")
-    ranked = rank_desc_onto(ranked, base, "total_revenue", "category_revenue_rank", ["category"])
-    return ranked.withColumns(
-        {c: dbl(F.col(c)) for c in ("price", "cost", "total_revenue")}
+    base, rows = settle_counted(product_base(products, items, orders, customers))
+    ranks = (
+        ("total_revenue", "revenue_rank", ()),
+        ("total_quantity_sold", "quantity_rank", ()),
+        ("total_revenue", "category_revenue_rank", ("category",)),
     )
+    ranked = base
+    for value, out, within in ranks:
+        ranked = add_rank(ranked, base, "product_id", value, out, within, rows)
+    return ranked.withColumns({c: dbl(F.col(c)) for c in ("price", "cost", "total_revenue")})
 
 
-def rank_desc_onto(df: DataFrame, base: DataFrame, value: str, out: str, within: list | tuple = ()) -> DataFrame:
-    """Adds a rank computed on the settled base, joined back by product."""
-    ranks = rank_desc(base.select("product_id", value, *within), value, out, within)
-    return df.join(ranks.select("product_id", out), "product_id", "left")
+def add_rank(
+    df: DataFrame, base: DataFrame, key: str, value: str, out: str, within: Sequence[str] = (), rows: int | None = None,
+    one_task_rows: int = ONE_TASK_ROWS,
+) -> DataFrame:
+    """Adds a rank over the settled ``base``: in place when it is small, else joined back by key."""
+    if rows is not None and rows <= one_task_rows:
+        return rank_desc(df, value, out, within, rows, one_task_rows)
+    ranks = rank_desc(base.select(key, value, *within), value, out, within, rows, one_task_rows)
+    return df.join(ranks.select(key, out), key, "left")
 
 
 def job_monitoring(jobs: DataFrame, as_of: str) -> DataFrame:

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cpus: int | str = "*", app: str = "orderlens") -> SparkSession:
@@ -49,7 +50,14 @@ def run_dir(spark: SparkSession, name: str) -> str:
 
 def settle(df: DataFrame) -> DataFrame:
     """Compute a reused aggregate once and cut its lineage with a reliable checkpoint."""
+    return settle_counted(df)[0]
+
+
+def settle_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """The settled frame and its row count, observed while it is written."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    seen = Observation()
+    kept = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    return kept, seen.get["rows"]

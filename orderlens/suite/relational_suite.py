@@ -265,7 +265,7 @@ def _(t):
         "customer_id",
         F.array_join("preferred_categories", "|").alias("categories"),
         F.size("preferred_categories").cast("bigint").alias("n"),
-    )
+    ).filter("n > 0")
 
 
 @query("agg_mode", """

@@ -243,8 +243,10 @@ _R_CUSTOMER = f"""
 
 
 def _narrow_c360(t):
-    """The view without its preference columns: the report does not read them, so neither branch is planned."""
-    return _c360(t).select("customer_tier", "customer_status", "lifetime_value", "total_orders", "total_spent")
+    """The view without its preference arrays, which the report does not read."""
+    return views.customer_360(
+        t.customers, t.orders, t.order_items, t.products, ORDERS_AS_OF, with_products=False
+    )
 
 
 @query("report_customer", _R_CUSTOMER)
