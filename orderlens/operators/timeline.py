@@ -67,7 +67,8 @@ def asof_latest(
     """
     slice_of = lambda c: time_floor(slice_unit, F.col(c))
     value = F.struct(F.col(right_ts).alias("at"), *[F.col(c) for c in state])
-    r = right.select(
+    # A NULL key equals nothing: such right rows are left out, such left rows find no state.
+    r = right.filter(F.col(key).isNotNull()).select(
         plain_key(key).alias("__key"), slice_of(right_ts).alias("__slice"), F.col(right_ts).alias("__ts"),
         F.lit(0).alias("__side"), value.alias("__state"), F.lit(None).cast(left.schema.simpleString()).alias("__row"),
     )

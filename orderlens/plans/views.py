@@ -160,10 +160,39 @@ def customer_360(
     )
 
 
+def mode_of(value: str | Column, weight: str, where: Column | None = None) -> Column:
+    """MODE from pre-summed weights: the heaviest value, the smallest one on a tie, NULLs left out."""
+    v = F.col(value) if isinstance(value, str) else value
+    counts = v.isNotNull() if where is None else v.isNotNull() & where
+    return F.min_by(v, F.when(counts, F.struct(-F.col(weight), v)))
+
+
 def most_frequent(df: DataFrame, group: str, value: str, weight: str, out: str) -> DataFrame:
-    """MODE per group from pre-summed weights; the smallest value wins a tie."""
     summed = df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.sum(weight).alias("w"))
-    return summed.groupBy(group).agg(F.min_by(value, F.struct(-F.col("w"), F.col(value))).alias(out))
+    return summed.groupBy(group).agg(mode_of(value, "w").alias(out))
+
+
+def product_modes(per_product: DataFrame) -> DataFrame:
+    """Distinct products and the modes of name and category per month, in one pass.
+
+    Each (month, product) row gives one entry for its name and one for its category,
+    so the join below it is computed once for all three results.
+    """
+    kinds = F.array(
+        F.struct(F.lit("name").alias("kind"), F.col("product_name").alias("v")),
+        F.struct(F.lit("category").alias("kind"), F.col("category").alias("v")),
+    )
+    summed = (
+        per_product.select("month", "n", F.explode(kinds).alias("e"))
+        .groupBy("month", "e.kind", "e.v")
+        .agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("products"))
+    )
+    is_name = F.col("kind") == "name"
+    return summed.groupBy("month").agg(
+        F.sum(F.when(is_name, F.col("products"))).alias("unique_products_sold"),
+        mode_of("v", "w", is_name).alias("top_selling_product"),
+        mode_of("v", "w", ~is_name).alias("top_selling_category"),
+    )
 
 
 def sales_performance(
@@ -195,14 +224,12 @@ def sales_performance(
             F.sum("qty").alias("qty"),
         )
     )
-    months = per_customer.groupBy("month").agg(
-        F.sum("orders").alias("total_orders"),
-        F.count("customer_id").alias("unique_customers"),
-        F.sum("revenue").alias("revenue"),
-        F.sum("weight").alias("weight"),
-        F.sum("discounts").alias("discounts"),
-        F.sum("tax").alias("tax"),
-        F.sum("qty").alias("total_items_sold"),
+    figures = ("orders", "customers", "revenue", "discounts", "tax", "weight", "rows", "qty")
+    per_tier = per_customer.groupBy("month", "customer_tier").agg(
+        F.count("customer_id").alias("customers"), *[F.sum(c).alias(c) for c in figures if c != "customers"]
+    )
+    months = per_tier.groupBy("month").agg(
+        *[F.sum(c).alias(c) for c in figures], mode_of("customer_tier", "rows").alias("dominant_customer_tier")
     )
     per_product = (
         items.select("order_id", "product_id")
@@ -211,28 +238,20 @@ def sales_performance(
         .agg(F.count(F.lit(1)).alias("n"))
         .join(products.select("product_id", "product_name", "category"), "product_id")
     )
-    parts = [
-        per_product.groupBy("month").agg(F.count("product_id").alias("unique_products_sold")),
-        most_frequent(per_product, "month", "product_name", "n", "top_selling_product"),
-        most_frequent(per_product, "month", "category", "n", "top_selling_category"),
-        most_frequent(per_customer, "month", "customer_tier", "rows", "dominant_customer_tier"),
-    ]
-    wide = months
-    for part in parts:
-        wide = wide.join(part, "month", "left")
+    wide = months.join(product_modes(per_product), "month", "left")
     return growth(
         wide.select(
             F.col("month").alias("sales_month"),
             F.trunc("month", "quarter").alias("sales_quarter"),
             F.trunc("month", "year").alias("sales_year"),
-            "total_orders",
-            "unique_customers",
+            F.col("orders").alias("total_orders"),
+            F.col("customers").alias("unique_customers"),
             F.col("revenue"),
             mean(F.col("revenue"), F.col("weight")).alias("avg_order_value"),
             dbl(F.col("discounts")).alias("total_discounts"),
             dbl(F.col("tax")).alias("total_tax"),
             "unique_products_sold",
-            "total_items_sold",
+            F.col("qty").alias("total_items_sold"),
             "top_selling_product",
             "top_selling_category",
             "dominant_customer_tier",

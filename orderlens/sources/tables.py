@@ -27,24 +27,39 @@ class Tables:
 
     @cached_property
     def customers(self) -> DataFrame:
-        key, balance, segment = F.col("c_custkey"), F.col("c_acctbal"), F.col("c_mktsegment")
+        return self._customers(self.base("customer"))
+
+    @cached_property
+    def customers_placed(self) -> DataFrame:
+        """Customers with city, state and the address document (joins two lookup tables)."""
+        key = F.col("customer_id").cast("string")
         places = (
             self.base("nation")
             .join(self.base("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(F.col("n_nationkey"), F.col("n_name"), F.col("r_name"))
+            .select(F.col("n_nationkey"), F.col("n_name").alias("city"), F.col("r_name").alias("state"))
         )
         address = F.to_json(
             F.struct(
-                F.concat(F.lit("Street "), key.cast("string")).alias("street"),
-                F.col("n_name").alias("city"),
-                F.col("r_name").alias("state"),
-                F.lpad(key.cast("string"), 9, "0").alias("zip"),
+                F.concat(F.lit("Street "), key).alias("street"),
+                F.col("city"),
+                F.col("state"),
+                F.lpad(key, 9, "0").alias("zip"),
             )
         )
         return (
-            self.base("customer")
+            self._customers(self.base("customer"), "c_nationkey")
             .join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .withColumn("address", address)
+            .drop("c_nationkey", "n_nationkey")
+        )
+
+    @staticmethod
+    def _customers(raw: DataFrame, *more: str) -> DataFrame:
+        key, balance, segment = F.col("c_custkey"), F.col("c_acctbal"), F.col("c_mktsegment")
+        return (
+            raw
             .select(
+                *more,
                 key.alias("customer_id"),
                 F.col("c_name").alias("customer_name"),
                 F.when(balance < -800, F.lit(None).cast("string"))
@@ -61,9 +76,6 @@ class Tables:
                 F.array(F.lit("B2B"), segment).alias("tags"),
                 (key % 101).cast("int").alias("profile_score"),
                 ntz(F.date_add(F.lit("1995-01-01").cast("date"), (key % 2400).cast("int"))).alias("created_at"),
-                address.alias("address"),
-                F.col("n_name").alias("city"),
-                F.col("r_name").alias("state"),
             )
         )
 

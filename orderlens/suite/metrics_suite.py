@@ -121,12 +121,12 @@ _OLD_AS_OF = "2001-07-01 00:00:00"
     UNION ALL SELECT * FROM old WHERE customer_id NOT IN (SELECT customer_id FROM changed)""")
 def _(t):
     before = t.orders.filter(F.col("order_date") < ntz(_OLD_AS_OF))
-    old = metrics.customer_analytics(t.customers, before, t.order_items, t.products, _OLD_AS_OF, with_categories=False)
+    old = metrics.customer_analytics(t.customers_placed, before, t.order_items, t.products, _OLD_AS_OF, with_categories=False)
     columns = ["order_id", "customer_id", "order_date", "total_amount", "status"]
     feed = changes.change_feed(before.select(*columns), t.orders.select(*columns), ["order_id"])
     changed = metrics.changed_customers(None, feed)
     return metrics.refresh_customer_analytics(
-        old, changed, t.customers, t.orders, t.order_items, t.products, ORDERS_AS_OF, with_categories=False
+        old, changed, t.customers_placed, t.orders, t.order_items, t.products, ORDERS_AS_OF, with_categories=False
     )
 
 

@@ -70,7 +70,7 @@ _N = f"""{_E}, {_O}, {_ACTIONS}, {_TPL},
 
 def enriched(t):
     """Events with the user's profile fields the rules read."""
-    profile = t.customers.select(
+    profile = t.customers_placed.select(
         F.col("customer_id").alias("c"), "customer_tier", "lifetime_value", (F.col("profile_score") * 50).alias("score_bar"),
         F.when(F.col("state") == "EUROPE", "fr").otherwise("en").alias("locale"),
     )

@@ -107,7 +107,7 @@ def _(t):
     f"""SELECT '{c}' AS column_name, count({c}) AS filled, count(*) AS total_rows, count({c})::DOUBLE / count(*) * 100 AS completeness_pct FROM a_customers"""
     for c in ("customer_id", "email", "phone", "customer_tier", "city")))
 def _(t):
-    return quality.completeness(t.customers, ["customer_id", "email", "phone", "customer_tier", "city"])
+    return quality.completeness(t.customers_placed, ["customer_id", "email", "phone", "customer_tier", "city"])
 
 
 @query("dq_freshness", f"""

@@ -20,7 +20,7 @@ def _event_lines(t):
     """Events as text lines; error events carry a value that is not a number."""
     value = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string"))
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return t.events.select(F.concat_ws(",", F.col("event_id").cast("string"), stamp, F.col("user_id").cast("string"), "event_type", value).alias("line"))
+    return t.events.select(F.concat_ws(",", F.col("event_id").cast("string"), stamp, F.coalesce(F.col("user_id").cast("string"), F.lit("")), "event_type", value).alias("line"))
 
 
 @query("csv_ingest_quarantine", """
@@ -284,7 +284,7 @@ def _(t):
     LEFT JOIN (SELECT customer_id, count(*) AS orders, sum(total_amount) AS spent FROM a_orders GROUP BY 1) h ON e.user_id = h.customer_id""")
 def _(t):
     history = t.orders.groupBy("customer_id").agg(F.count(F.lit(1)).alias("orders"), F.sum("total_amount").alias("spent"))
-    profile = t.customers.select("customer_id", "customer_tier", "state").join(history, "customer_id", "left")
+    profile = t.customers_placed.select("customer_id", "customer_tier", "state").join(history, "customer_id", "left")
     return t.events.join(profile, F.col("user_id") == F.col("customer_id"), "left").select(
         "event_id", "user_id", "event_type", dbl(F.col("value")).alias("value"), "customer_tier", "state", "orders",
         mean(F.col("spent"), F.col("orders")).alias("mean_order"),
