@@ -23,7 +23,7 @@ def plain_key(key: str) -> Column:
 
 
 def with_history(
-    df: DataFrame, key: str, ts: str, order: Sequence[str], slice_unit: str = "day"
+    df: DataFrame, key: str, ts: str, order: Sequence[str], slice_unit: str = "hour"
 ) -> DataFrame:
     """Adds ``prev_ts`` (LAG) and ``seq`` (ROW_NUMBER) per key in event order."""
     sliced = df.withColumn("__slice", time_floor(slice_unit, F.col(ts))).withColumn("__of", plain_key(key))
@@ -59,7 +59,7 @@ def asof_latest(
     left_ts: str,
     right_ts: str,
     state: Sequence[str],
-    slice_unit: str = "day",
+    slice_unit: str = "hour",
 ) -> DataFrame:
     """Left rows with the newest right state at or before their time.
 

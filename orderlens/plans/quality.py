@@ -29,8 +29,12 @@ def missing_email() -> Column:
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
-    """Child rows whose key has no parent; a NULL key references nothing and is left out."""
-    keys = parent.select(F.col(parent_key or key).alias(key))
+    """Child rows whose key has no parent; a NULL key references nothing and is left out.
+
+    Parent keys are made distinct first: an anti join cannot be split on its right
+    side, and the "parent" may well be a table with one hot key.
+    """
+    keys = parent.select(F.col(parent_key or key).alias(key)).distinct()
     return child.filter(F.col(key).isNotNull()).join(keys, key, "left_anti")
 
 

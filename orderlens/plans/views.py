@@ -66,45 +66,26 @@ def order_totals(orders: DataFrame, items: DataFrame, by: list, fanout: bool = T
 
 
 def customer_products(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
-    """Per customer: fan-out sums and the sorted distinct categories and product names.
+    """Sorted distinct categories and product names per customer.
 
-    One join by order_id serves both.  Its rows are summed per (customer, product)
-    before anything is gathered, so a customer holding a third of all rows is
-    spread over its products and ends as at most one row per product.
+    The inner join may be split by Spark when one order is hot on either side.  Pairs
+    (customer, product) are made distinct before anything is gathered, so a customer
+    holding a third of all rows is spread over its products and ends as at most one
+    row per product.
     """
-    amount = money(F.col("total_amount"))
-    lines = (
-        orders.select("order_id", "customer_id", "total_amount")
-        .join(items.select("order_id", "product_id"), "order_id", "left")
-        .groupBy("customer_id", "product_id")
-        .agg(F.sum(amount).alias("amount"), F.count(amount).alias("weight"))
-    )
-    named = lines.join(products.select("product_id", "category", "product_name"), "product_id", "left")
+    pairs = (
+        items.select("order_id", "product_id")
+        .join(orders.select("order_id", "customer_id"), "order_id")
+        .select("customer_id", "product_id")
+        .distinct()
+    )
+    named = pairs.join(products.select("product_id", "category", "product_name"), "product_id")
     return named.groupBy("customer_id").agg(
-        F.sum("amount").alias("amount"),
-        F.sum("weight").alias("weight"),
         F.array_sort(F.collect_set("category")).alias("preferred_categories"),
         F.array_sort(F.collect_set("product_name")).alias("purchased_products"),
     )
 
 
-def customer_orders(orders: DataFrame) -> DataFrame:
-    """Per customer: distinct orders, their sum, first and last date, from the orders alone."""
-    one = orders.groupBy("customer_id", "order_id").agg(
-        F.sum(money(F.col("total_amount"))).alias("amount"),
-        F.count("total_amount").alias("weight"),
-        F.min("order_date").alias("first_date"),
-        F.max("order_date").alias("last_date"),
-    )
-    return one.groupBy("customer_id").agg(
-        F.count("order_id").alias("orders"),
-        F.sum("amount").alias("order_amount"),
-        F.sum("weight").alias("order_weight"),
-        F.min("first_date").alias("first_date"),
-        F.max("last_date").alias("last_date"),
-    )
-
-
 def customer_360(
     customers: DataFrame,
     orders: DataFrame,
@@ -117,21 +98,13 @@ def customer_360(
     """One row per active customer with order, preference and address columns.
 
     ``with_products=False`` leaves the two preference arrays out for callers that do
-    not read them; items are then only counted per order.
+    not read them, and with them the join of items and products.
     """
+    totals = order_totals(orders, items, ["customer_id"], fanout).withColumnRenamed("customer_id", "k1")
+    wide = customers.filter("is_active").join(totals, F.col("customer_id") == F.col("k1"), "left")
     if with_products:
-        totals = customer_orders(orders).withColumnRenamed("customer_id", "k1")
         liked = customer_products(orders, items, products).withColumnRenamed("customer_id", "k2")
-        wide = (
-            customers.filter("is_active")
-            .join(totals, F.col("customer_id") == F.col("k1"), "left")
-            .join(liked, F.col("customer_id") == F.col("k2"), "left")
-        )
-        if not fanout:
-            wide = wide.withColumns({"amount": F.col("order_amount"), "weight": F.col("order_weight")})
-    else:
-        totals = order_totals(orders, items, ["customer_id"], fanout).withColumnRenamed("customer_id", "k1")
-        wide = customers.filter("is_active").join(totals, F.col("customer_id") == F.col("k1"), "left")
+        wide = wide.join(liked, F.col("customer_id") == F.col("k2"), "left")
     none = F.array().cast("array<string>")
     arrays = ("preferred_categories", "purchased_products") if with_products else ()
     return wide.withColumn("place", F.from_json("address", ADDRESS)).select(
@@ -274,38 +247,35 @@ def growth(monthly: DataFrame, month: str, revenue: str) -> DataFrame:
 
 
 def product_sales(items: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """Sales measures per product, built up (order, product) -> (product, customer) -> product.
+    """Sales measures per product.
 
-    The join leaves items partitioned by order_id, so the first step needs no new
-    shuffle; a best-seller is spread over its orders and customers until the last
-    step, where it is one partial row per task.
+    Item measures go (product, order) -> product without touching orders; customer
+    measures go through the join and (product, customer) -> product.  Both first
+    steps are combined before their shuffle or may be split by Spark, so neither a
+    best-seller, nor one huge order, nor one huge customer ends up in one task.
     """
-    dated = (
-        items.join(orders.select("order_id", "customer_id", "order_date"), "order_id", "left")
-        .groupBy("order_id", "product_id", "customer_id", "order_date")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum("quantity").alias("qty"),
-            F.sum(money(F.col("total_price"))).alias("revenue"),
-        )
-    )
-    per_customer = dated.groupBy("product_id", "customer_id").agg(
-        F.count("order_id").alias("orders"),
-        F.sum("rows").alias("rows"),
-        F.sum("qty").alias("qty"),
-        F.sum("revenue").alias("revenue"),
-        F.min("order_date").alias("first_sale"),
-        F.max("order_date").alias("last_sale"),
+    per_order = items.groupBy("product_id", "order_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("quantity").alias("qty"),
+        F.sum(money(F.col("total_price"))).alias("revenue"),
+    )
+    sales = per_order.groupBy("product_id").agg(
+        F.count("order_id").alias("orders_containing_product"),
+        F.sum("qty").alias("total_quantity_sold"),
+        F.sum("revenue").alias("total_revenue"),
+        F.sum("rows").alias("item_rows"),
+    )
+    bought = (
+        items.select("order_id", "product_id")
+        .join(orders.select("order_id", "customer_id", "order_date"), "order_id")
+        .groupBy("product_id", "customer_id")
+        .agg(F.min("order_date").alias("first_sale"), F.max("order_date").alias("last_sale"))
     )
     tiers = customers.select("customer_id", "customer_tier")
-    return (
-        per_customer.join(tiers, "customer_id", "left")
-        .groupBy("product_id")
+    buyers = (
+        bought.join(tiers, "customer_id", "left")
+        .groupBy(F.col("product_id").alias("__p"))
         .agg(
-            F.sum("orders").alias("orders_containing_product"),
-            F.sum("qty").alias("total_quantity_sold"),
-            F.sum("revenue").alias("total_revenue"),
-            F.sum("rows").alias("item_rows"),
             F.count("customer_id").alias("unique_customers"),
             F.count(F.when(F.col("customer_tier") == "ENTERPRISE", F.col("customer_id"))).alias(
                 "enterprise_customers"
@@ -314,6 +284,7 @@ def product_sales(items: DataFrame, orders: DataFrame, customers: DataFrame) ->
             F.max("last_sale").alias("last_sale_date"),
         )
     )
+    return sales.join(buyers, F.col("product_id") == F.col("__p"), "left").drop("__p")
 
 
 def product_base(

@@ -73,7 +73,7 @@ def pattern_sessions(events: DataFrame, first: str, then: str, last: str, gap_mi
     """Sessions that hold ``first``, later ``then``, later ``last``.
 
     The pattern exists exactly when some ``then`` lies after the earliest ``first``
-    and before the latest ``last``, so two extremes per session and one semi join
+    and before the latest ``last``, so two extremes per session and one join
     replace an ordered array of the session's events.  Order is (time, event id).
     """
     at = F.struct("ts", "event_id")
@@ -84,10 +84,14 @@ def pattern_sessions(events: DataFrame, first: str, then: str, last: str, gap_mi
     )
     ends = ends.filter(F.col("opened") < F.col("closed"))
     middle = marked.filter(kind == then).select(F.col("user_id").alias("u"), F.col("session_no").alias("n"), at.alias("at"))
+    # Clicks on the left: an inner join may be split when one session is hot.
     hit = (
         (F.col("user_id") == F.col("u")) & (F.col("session_no") == F.col("n"))
         & (F.col("at") > F.col("opened")) & (F.col("at") < F.col("closed"))
     )
-    return ends.join(middle, hit, "left_semi").select(
-        "user_id", "session_no", ntz(F.col("opened.ts")).alias("opened_at"), ntz(F.col("closed.ts")).alias("closed_at")
+    return (
+        middle.join(ends, hit)
+        .groupBy("user_id", "session_no", "opened", "closed")
+        .agg(F.count(F.lit(1)).alias("hits"))
+        .select("user_id", "session_no", ntz(F.col("opened.ts")).alias("opened_at"), ntz(F.col("closed.ts")).alias("closed_at"))
     )

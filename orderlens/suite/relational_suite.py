@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import dbl, mean, money, ntz
 from orderlens.operators.ranking import rank_desc
 from orderlens.plans import relational, views
+from orderlens.plans.quality import orphans
 from orderlens.session import settle
 from orderlens.suite.registry import JOBS_AS_OF, ORDERS_AS_OF, query
 
@@ -94,7 +95,7 @@ def _(t):
     SELECT o.order_id, o.customer_id FROM a_orders o LEFT JOIN a_order_items oi ON o.order_id = oi.order_id
     WHERE oi.order_id IS NULL""")
 def _(t):
-    return t.orders.join(t.order_items, "order_id", "left_anti").select("order_id", "customer_id")
+    return orphans(t.orders, t.order_items, "order_id").select("order_id", "customer_id")
 
 
 @query("customers_with_orders", f"""
