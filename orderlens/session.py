@@ -23,6 +23,10 @@ def local_session(cpus: int | str = "*", app: str = "orderlens") -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        # Small files on one machine: cut them finer so that every core reads.
+        .config("spark.sql.files.openCostInBytes", str(1 << 20))
+        # No Python call site is recorded per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
