@@ -112,9 +112,12 @@ def hour_number(ts: Column) -> Column:
     return F.timestamp_diff("HOUR", F.lit("1970-01-01").cast("timestamp_ntz"), time_floor("hour", ts))
 
 
-def cooldown(nudges: DataFrame) -> DataFrame:
+def cooldown(nudges: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Nudges left after the cooldown of their (user, type, rule).
 
+    ``known`` is the nudge history (``last_sent_at`` per key): a daily or streaming run
+    passes what earlier runs sent, and gets what one run over everything would send.
+
     Cooldowns are whole hours and count hour boundaries, so within one hour only the
     first nudge can be sent: the rest is dropped by a partial aggregate before the
     shuffle.  A key then holds at most one entry per hour of the horizon, however
@@ -128,7 +131,12 @@ def cooldown(nudges: DataFrame) -> DataFrame:
     entries = F.array_sort(F.collect_list(F.struct("h", "n")))
     folded = first.groupBy(*key, "cooldown_hours").agg(entries.alias("entries"))
     entry_type = folded.schema["entries"].dataType.simpleString()
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast(entry_type).alias("kept"))
+    if known is None:
+        folded = folded.withColumn("before", F.lit(None).cast("bigint"))
+    else:
+        last = known.select(*key, hour_number(F.col("last_sent_at")).alias("before"))
+        folded = folded.join(last, key, "left")
+    start = F.struct(F.col("before").alias("last"), F.array().cast(entry_type).alias("kept"))
 
     def step(acc: Column, e: Column) -> Column:
         free = acc["last"].isNull() | (e["h"] - acc["last"] >= F.col("cooldown_hours"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -190,6 +192,19 @@ def run_reports(jobs: DataFrame, as_of: str) -> DataFrame:
     )
 
 
+def run_batch(jobs: DataFrame, bodies: Mapping[str, DataFrame], folder: str, as_of: str) -> DataFrame:
+    """Runs the reports the pending jobs ask for and returns the jobs' next states.
+
+    The distinct report types (at most five) are read on the driver; each is computed
+    and written once, however many jobs want it.
+    """
+    states = run_reports(jobs, as_of)
+    wanted = [r.report_type for r in states.filter(F.col("status") == "COMPLETED").select("report_type").distinct().collect()]
+    for kind in sorted(wanted):
+        write_report(bodies[kind], f"{folder}/{FOLDERS[kind]}")
+    return states
+
+
 def report_body(kind: str, data: DataFrame | None, summary: DataFrame, as_of: str, parameters: dict | None = None) -> DataFrame:
     """One JSON document for a bounded report (months, tiers, top 50): header, summary, records."""
     head = [F.lit(kind).alias("report_kind"), F.lit(TITLES[kind]).alias("report_type"), F.lit(as_of).alias("generated_at")]

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.functions import ntz
 from orderlens.schemas import EVENT_TYPES
 from orderlens.session import run_dir
 
@@ -21,7 +22,7 @@ def incremental_pull(source: DataFrame, loaded: DataFrame, ts: str) -> DataFrame
     reaches the scan of the source.
     """
     mark = loaded.agg(F.max(ts).alias("mark")).first()["mark"]
-    return source if mark is None else source.filter(F.col(ts) > F.lit(mark).cast("timestamp_ntz"))
+    return source if mark is None else source.filter(F.col(ts) > ntz(mark.isoformat(sep=" ")))
 
 
 def csv_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*.csv", files_per_batch: int = 1000):

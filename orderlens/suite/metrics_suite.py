@@ -32,12 +32,23 @@ _DAILY = f"""
 _ALL_DAYS = _DAILY.format(orders="a_orders")
 
 
+def _one_day_sql(day):
+    """One row even for a day without orders: sums are 0 there."""
+    return f"""
+    SELECT d AS metric_date, coalesce(total_revenue, 0)::DOUBLE AS total_revenue, coalesce(total_orders, 0) AS total_orders,
+        coalesce(unique_customers, 0) AS unique_customers, coalesce(new_customers, 0) AS new_customers,
+        coalesce(returning_customers, 0) AS returning_customers, coalesce(average_order_value, 0)::DOUBLE AS average_order_value,
+        coalesce(products_sold, 0) AS products_sold, 'Top Product' AS top_selling_product, 'Top Category' AS top_selling_category,
+        coalesce(jobs_completed, 0) AS jobs_completed, coalesce(jobs_failed, 0) AS jobs_failed, 0.95::DOUBLE AS system_health_score
+    FROM (SELECT DATE '{day}' AS d) LEFT JOIN ({_ALL_DAYS}) ON metric_date = d"""
+
+
 @query("daily_metrics_backfill", _ALL_DAYS)
 def _(t):
     return metrics.daily_metrics(t.orders, t.customers, t.order_items, t.jobs)
 
 
-@query("daily_metrics_one_day", f"SELECT * FROM ({_ALL_DAYS}) WHERE metric_date = DATE '2000-03-15'")
+@query("daily_metrics_one_day", _one_day_sql("2000-03-15"))
 def _(t):
     return metrics.daily_metrics(t.orders, t.customers, t.order_items, t.jobs, ["2000-03-15"])
 
@@ -190,7 +201,7 @@ def _(t):
 
 
 @query("daily_job_summary", f"""
-    SELECT 'daily_metrics' AS step, total_orders AS items, total_revenue AS value FROM ({_ALL_DAYS}) WHERE metric_date = DATE '2000-12-31'
+    SELECT 'daily_metrics' AS step, total_orders AS items, total_revenue AS value FROM ({_one_day_sql("2000-12-31")})
     UNION ALL SELECT 'quality', count(*), count(*) FILTER (status = 'FAIL')::DOUBLE FROM ({SUITE_SQL})
     UNION ALL SELECT 'sales_metrics', (SELECT count(*) FROM a_sales_metrics) + 1,
         ((SELECT sum(total_sales) FROM a_sales_metrics) + (SELECT sum(o.total_amount) FROM a_orders o JOIN a_customers c ON o.customer_id = c.customer_id WHERE c.is_active))::DOUBLE""")
@@ -237,6 +248,13 @@ def _(t):
     return job_plans.create_jobs(requests, JOBS_AS_OF)
 
 
+@query("job_maintenance_default", f"""
+    SELECT 'jobs_cleaned_up' AS metric_name, count(*) AS metric_value, 'maintenance' AS metric_type FROM a_jobs WHERE status = 'COMPLETED' AND created_at < {NOW} - INTERVAL 30 DAY
+    UNION ALL SELECT 'jobs_retried', count(*), 'maintenance' FROM a_jobs WHERE status = 'FAILED' AND retry_count < max_retries AND updated_at < {NOW} - INTERVAL 10 MINUTE""")
+def _(t):
+    return job_plans.maintenance_metrics(t.jobs, JOBS_AS_OF)
+
+
 @query("job_maintenance_metrics", f"""
     SELECT 'jobs_cleaned_up' AS metric_name, count(*) AS metric_value, 'maintenance' AS metric_type FROM a_jobs WHERE status = 'COMPLETED' AND created_at < {NOW} - INTERVAL 10 DAY
     UNION ALL SELECT 'jobs_retried', count(*), 'maintenance' FROM a_jobs WHERE status = 'FAILED' AND retry_count < max_retries AND updated_at < {NOW} - INTERVAL 10 MINUTE""")

@@ -137,6 +137,14 @@ def _(t):
     return quality.reconcile(t.orders, t.order_items, "order_id", "total_amount", "total_price")
 
 
+@query("error_burst_alerts_5m", """
+    SELECT time_bucket(INTERVAL 5 MINUTE, error_timestamp, TIMESTAMP '1970-01-01') AS window_start, count(*) AS errors,
+           count(*) FILTER (severity = 'CRITICAL') AS critical, 'High' AS alert_level
+    FROM a_task_errors GROUP BY 1 HAVING count(*) > 10""")
+def _(t):
+    return quality.error_bursts(t.task_errors)
+
+
 @query("error_burst_alerts", """
     SELECT time_bucket(INTERVAL 3 HOUR, error_timestamp, TIMESTAMP '1970-01-01') AS window_start, count(*) AS errors,
            count(*) FILTER (severity = 'CRITICAL') AS critical, 'High' AS alert_level

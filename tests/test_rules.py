@@ -135,6 +135,16 @@ def test_cooldown_equals_a_sequential_scan(spark):
     assert {r.nudge_id for r in nudges.cooldown(df).collect()} == kept
 
 
+def test_cooldown_in_two_runs_equals_one(spark):
+    df = nudge_rows(spark)
+    early = F.col("generated_at") < F.lit("2024-01-06 10:30:00").cast("timestamp_ntz")
+    first = nudges.cooldown(df.filter(early))
+    sent = first.groupBy("user_id", "nudge_type", "rule_id").agg(F.max("generated_at").alias("last_sent_at"))
+    second = nudges.cooldown(df.filter(~early), sent)
+    ids = lambda *frames: sorted(r.nudge_id for f in frames for r in f.collect())
+    assert ids(first, second) == ids(nudges.cooldown(df))
+
+
 def test_daily_cap_first_then_weekly(spark):
     df = nudge_rows(spark)
     kept, day, week = set(), {}, {}

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from orderlens.operators import changes, retention, upsert
 from orderlens.plans import jobs as job_plans
-from orderlens.sources.versions import VersionedTable
+from orderlens.sources.versions import VersionedTable, write_clustered
 
 DDL = "k int, v string, n int"
 rows = st.dictionaries(st.integers(0, 6), st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 3))), max_size=6)
@@ -133,3 +133,9 @@ def test_versions_keep_the_old_one_readable(spark, tmp_path):
     assert table.write(upsert.upsert(reader, frame(spark, {1: ("b", 2), 2: ("c", 3)}), ["k"])) == 2
     assert as_dict(reader) == {1: ("a", 1)} and as_dict(table.read()) == {1: ("b", 2), 2: ("c", 3)}
     assert table.versions() == [1, 2] and as_dict(table.read(1)) == {1: ("a", 1)}
+
+
+def test_clustered_tables_hold_the_same_rows(spark, seed, tmp_path):
+    for name, df in (("jobs", seed.jobs), ("orders", seed.orders), ("products", seed.products)):
+        write_clustered(spark, str(tmp_path / name), name, df)
+        assert VersionedTable(spark, str(tmp_path / name)).read().exceptAll(df).count() == 0
