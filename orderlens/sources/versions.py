@@ -62,13 +62,16 @@ class VersionedTable:
         sort_by: Sequence[str] = (),
         partition_by: Sequence[str] = (),
         bloom_on: Sequence[str] = (),
+        version: int | None = None,
     ) -> int:
-        """Writes a new version and commits it.
+        """Writes a new version and commits it; a named version that is committed already stays.
 
         ``sort_by`` clusters rows inside each file, so row-group statistics prune;
         ``bloom_on`` writes bloom filters for point lookups.
         """
-        number = (self.current() or 0) + 1
+        number = (self.current() or 0) + 1 if version is None else version
+        if version is not None and version in self.versions():
+            return version
         if sort_by:
             df = df.sortWithinPartitions(*[F.col(c) for c in sort_by])
         writer = df.write.mode("overwrite")

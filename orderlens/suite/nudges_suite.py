@@ -5,6 +5,10 @@ from pyspark.sql import functions as F
 from orderlens.functions import dbl, ntz
 from orderlens.plans import nudges, rules
 from orderlens.plans.rules import Rule
+from orderlens.session import run_dir
+from orderlens.sources.versions import VersionedTable
+from orderlens.streaming import nudge_stream
+from orderlens.streaming.source import event_stream
 from orderlens.suite.registry import JOBS_AS_OF, query
 
 NOW = f"TIMESTAMP '{JOBS_AS_OF}'"
@@ -69,12 +73,16 @@ _N = f"""{_E}, {_O}, {_ACTIONS}, {_TPL},
 
 
 def enriched(t):
+    return enrich(t, t.events)
+
+
+def enrich(t, events):
     """Events with the user's profile fields the rules read."""
     profile = t.customers_placed.select(
         F.col("customer_id").alias("c"), "customer_tier", "lifetime_value", (F.col("profile_score") * 50).alias("score_bar"),
         F.when(F.col("state") == "EUROPE", "fr").otherwise("en").alias("locale"),
     )
-    events = t.events.withColumn("k", F.from_json("props", "k int")["k"])
+    events = events.withColumn("k", F.from_json("props", "k int")["k"])
     return events.join(profile, F.col("user_id") == F.col("c"), "left").drop("c").withColumn(
         "locale", F.coalesce("locale", F.lit("en"))
     )
@@ -175,6 +183,20 @@ def _(t):
     return nudges.cooldown(made(t)).select("nudge_id", "user_id", "rule_id", "generated_at")
 
 
+@query("nudge_cooldown_stream", f"{_COOL} SELECT nudge_id, user_id, rule_id, generated_at FROM r WHERE sent")
+def _(t):
+    """The same events in two arrivals; the second batch continues from the history of the first."""
+    root = run_dir(t.spark, "nudges")
+    history = VersionedTable(t.spark, f"{root}/history")
+    early = F.col("ts") < ntz("2024-01-15")
+    for part in (t.base("events").filter(early), t.base("events").filter(~early)):
+        part.write.mode("append").parquet(f"{root}/events.parquet")
+        nudge_stream.run(
+            event_stream(t.spark, root), lambda batch: enrich(t, batch), RULES, templates(t), f"{root}/sent", history, f"{root}/checkpoint"
+        )
+    return t.spark.read.parquet(f"{root}/sent").select("nudge_id", "user_id", "rule_id", "generated_at")
+
+
 @query("nudge_history", f"""
     WITH {_N} SELECT user_id, nudge_type, rule_id, max(generated_at) AS last_sent_at, max(generated_at + to_hours(cooldown_hours)) AS cooldown_until,
         count(*) AS total_sent FROM n GROUP BY 1, 2, 3""")
