@@ -66,6 +66,12 @@ def daily_jobs(jobs: DataFrame) -> DataFrame:
 TOP_PRODUCT, TOP_CATEGORY, HEALTH_SCORE = "Top Product", "Top Category", 0.95
 
 
+def items_of(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Items of the given orders only; few orders are broadcast by their size and filter
+    the items where they are read."""
+    return items.join(orders.select("order_id"), "order_id", "left_semi")
+
+
 def daily_metrics(
     orders: DataFrame,
     customers: DataFrame,
@@ -86,6 +92,7 @@ def daily_metrics(
             return hit
 
         orders, jobs = orders.filter(during("order_date")), jobs.filter(during("created_at"))
+        items = items_of(items, orders)
     o, j = daily_orders(orders, customers, items, fanout), daily_jobs(jobs)
     wide = o.join(j, F.col("metric_date") == F.col("job_date"), "full_outer").withColumn(
         "metric_date", F.coalesce("metric_date", "job_date")
@@ -259,7 +266,7 @@ def refresh_customer_analytics(
     """
     some = customers.join(changed, "customer_id", "left_semi")
     their = orders.join(changed, "customer_id", "left_semi")
-    fresh = customer_analytics(some, their, items, products, as_of, with_categories)
+    fresh = customer_analytics(some, their, items_of(items, their), products, as_of, with_categories)
     return upsert(target, fresh, ["customer_id"], check_source=False)
 
 
@@ -323,7 +330,7 @@ def refresh_daily_metrics(
     """Daily metrics with the affected dates recomputed.  The date list is at most the calendar."""
     some = orders.withColumn("metric_date", F.to_date("order_date")).join(dates, "metric_date", "left_semi").drop("metric_date")
     jobs_some = jobs.join(dates, F.to_date("created_at") == F.col("metric_date"), "left_semi")
-    fresh = daily_metrics(some, customers, items, jobs_some)
+    fresh = daily_metrics(some, customers, items_of(items, some), jobs_some)
     return upsert(target, fresh, ["metric_date"], check_source=False)
 
 

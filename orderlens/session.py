@@ -31,6 +31,28 @@ def local_session(cpus: int | str = "*", app: str = "orderlens") -> SparkSession
     )
 
 
+def cluster_settings(input_bytes: int, cores: int) -> dict[str, str]:
+    """Session settings for a cluster, sized by the bytes a job reads.
+
+    Shuffles start with enough partitions that one holds about 128 MB even before
+    compression of the shuffled columns helps; adaptive execution merges those that
+    turn out small and splits skewed ones.
+    """
+    mb = 1 << 20
+    partitions = max(2 * cores, -(-input_bytes // (128 * mb)))
+    return {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * mb),
+        "spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
+        "spark.sql.files.maxPartitionBytes": str(256 * mb),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * mb),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 

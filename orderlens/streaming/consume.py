@@ -23,7 +23,8 @@ def split_late(stream: DataFrame, target: str, checkpoint: str, lateness_minutes
 
     A row is late when it lies more than the allowed time behind the newest event
     of the *earlier* batches.  That mark is one value per batch, kept beside the
-    data; a replayed batch reads the same marks and rewrites its own folder.
+    data; a batch reads only the mark of the one before it, and a replayed batch
+    rewrites its own folders.
     """
     spark = stream.sparkSession
     marks = f"{target}_marks"
@@ -31,8 +32,8 @@ def split_late(stream: DataFrame, target: str, checkpoint: str, lateness_minutes
     def write(batch: DataFrame, batch_id: int) -> None:
         mark = None
         if batch_id > 0:
-            seen = spark.read.schema("newest timestamp, batch_id bigint").parquet(marks)
-            mark = seen.filter(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
+            before = spark.read.schema("newest timestamp").parquet(f"{marks}/batch_id={batch_id - 1}")
+            mark = before.first()["newest"]
         late = (
             F.lit(False)
             if mark is None
@@ -40,8 +41,8 @@ def split_late(stream: DataFrame, target: str, checkpoint: str, lateness_minutes
         )
         path = f"{target}/batch_id={batch_id}"
         batch.withColumn("outcome", F.when(late, "late").otherwise("on_time")).write.mode("overwrite").parquet(path)
-        written = spark.read.parquet(path)
-        written.agg(F.max("ts").alias("newest")).write.mode("overwrite").parquet(f"{marks}/batch_id={batch_id}")
+        newest = F.greatest(F.max("ts"), F.lit(mark).cast("timestamp"))
+        spark.read.parquet(path).agg(newest.alias("newest")).write.mode("overwrite").parquet(f"{marks}/batch_id={batch_id}")
 
     run_available(stream.writeStream.foreachBatch(write), checkpoint)
 

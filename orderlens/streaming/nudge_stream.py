@@ -7,9 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.functions import ntz
 from orderlens.plans import nudges
 from orderlens.plans.rules import Rule
-from orderlens.sources.versions import VersionedTable
 from orderlens.streaming.source import run_available
 
 
@@ -19,29 +19,32 @@ def run(
     rules: Sequence[Rule],
     templates: DataFrame,
     target: str,
-    history: VersionedTable,
     checkpoint: str,
 ) -> None:
-    """Writes each batch's sent nudges and the history after it.
+    """Writes each batch's sent nudges to a folder named by the batch.
 
-    Batch ``n`` reads history version ``n`` and writes version ``n + 1``.  A batch that
-    is replayed after a failure finds the same version, sends the same nudges into the
-    same folder and leaves a history that is already committed alone.
+    What earlier batches sent is read back only as far as the longest cooldown
+    reaches behind the batch, so the cost of a batch does not grow with the age of
+    the stream.  A replayed batch reads the folders before its own and rewrites its
+    own: it sends the same nudges again under the same ids.
     """
     spark = stream.sparkSession
+    longest = max(r.cooldown_hours for r in rules)
     key = ["user_id", "nudge_type", "rule_id"]
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        known = history.read(batch_id) if batch_id in history.versions() else None
-        made = nudges.generate(enrich(batch.withColumn("ts", F.col("ts").cast("timestamp_ntz"))), rules, templates)
-        path = f"{target}/batch_id={batch_id}"
-        nudges.cooldown(made, known).write.mode("overwrite").parquet(path)
-        sent = spark.read.parquet(path)
-        if known is None:
-            known = sent.filter("1 = 0").groupBy(*key).agg(
-                F.max("generated_at").alias("last_sent_at"), F.max("generated_at").alias("cooldown_until"),
-                F.count(F.lit(1)).alias("total_sent"),
+        events = batch.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        known = None
+        oldest = events.agg(F.min("ts")).first()[0] if batch_id > 0 else None
+        if oldest is not None:
+            since = ntz(oldest.isoformat(sep=" ")) - F.expr(f"interval {longest} hours")
+            known = (
+                spark.read.parquet(target)
+                .filter((F.col("batch_id") < batch_id) & (F.col("generated_at") >= since))
+                .groupBy(*key)
+                .agg(F.max("generated_at").alias("last_sent_at"))
             )
-        history.write(nudges.history(known, sent), version=batch_id + 1)
+        sent = nudges.cooldown(nudges.generate(enrich(events), rules, templates), known)
+        sent.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     run_available(stream.writeStream.foreachBatch(step), checkpoint)
