@@ -12,7 +12,7 @@ from orderlens.operators.changes import change_feed
 from orderlens.operators.ranking import rank_desc, tile
 from orderlens.operators.upsert import upsert
 from orderlens.plans.views import add_rank, as_date, customer_360, item_weights, sold
-from orderlens.session import settle_counted
+from orderlens.session import settle, settle_counted
 
 # --- daily figures -----------------------------------------------------------
 
@@ -485,3 +485,29 @@ def rfm_segments(customers: DataFrame, orders: DataFrame, as_of: str, tiles: int
         m.cast("int").alias("m_score"),
         F.when((r >= 4) & (f >= 4) & (m >= 4), "CHAMPION").when(r <= 2, "AT_RISK").otherwise("REGULAR").alias("segment"),
     )
+
+
+def customer_clusters(customers: DataFrame, orders: DataFrame, as_of: str, clusters: int = 4, seed: int = 42) -> DataFrame:
+    """Customers grouped by k-means over scaled recency, frequency and lifetime value.
+
+    Training reads one row per customer; the model is ``clusters`` centres.
+    """
+    from pyspark.ml import Pipeline
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import StandardScaler, VectorAssembler
+
+    sums = orders.groupBy("customer_id").agg(F.max("order_date").alias("last"), F.count(F.lit(1)).alias("frequency"))
+    features = customers.join(sums, "customer_id").select(
+        "customer_id",
+        F.datediff(as_date(as_of), F.col("last")).cast("double").alias("recency"),
+        dbl(F.col("frequency")).alias("frequency"),
+        dbl(F.col("lifetime_value")).alias("lifetime_value"),
+    )
+    settled = settle(features)
+    steps = [
+        VectorAssembler(inputCols=["recency", "frequency", "lifetime_value"], outputCol="raw"),
+        StandardScaler(inputCol="raw", outputCol="scaled", withMean=True),
+        KMeans(featuresCol="scaled", predictionCol="cluster", k=clusters, seed=seed),
+    ]
+    model = Pipeline(stages=steps).fit(settled)
+    return model.transform(settled).select("customer_id", "recency", "frequency", "lifetime_value", "cluster")

@@ -326,3 +326,9 @@ def _(t):
         CASE WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'CHAMPION' WHEN r_score <= 2 THEN 'AT_RISK' ELSE 'REGULAR' END AS segment FROM r""")
 def _(t):
     return metrics.rfm_segments(t.customers, t.orders, ORDERS_AS_OF)
+
+
+@query("customer_clusters")
+def _(t):
+    """Iterative, so checked by rows only."""
+    return metrics.customer_clusters(t.customers, t.orders, ORDERS_AS_OF)

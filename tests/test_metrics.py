@@ -133,3 +133,8 @@ def test_maintenance_counts(seed):
 def test_add_months_clamps_to_month_end(spark):
     got = spark.range(1).select(F.add_months(F.lit("2024-03-31").cast("date"), -1).alias("d")).first().d
     assert got.isoformat() == "2024-02-29"
+
+
+def test_clusters_cover_every_customer_with_orders(seed):
+    rows = metrics.customer_clusters(seed.customers, seed.orders, "2024-03-01", clusters=3).collect()
+    assert len(rows) == 10 and {r.cluster for r in rows} == {0, 1, 2}

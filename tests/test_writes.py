@@ -59,7 +59,10 @@ def test_duplicate_source_key_raises(spark):
 def test_null_keys_never_match(spark):
     target = spark.createDataFrame([(None, "t", 1)], DDL)
     source = spark.createDataFrame([(None, "s", 2), (None, "s", 3)], DDL)
-    assert upsert.upsert(target, source, ["k"]).count() == 3
+    out = sorted((r.v, r.n) for r in upsert.upsert(target, source, ["k"]).collect())
+    assert out == [("s", 2), ("s", 3), ("t", 1)]
+    kept = upsert.keyed_update(target, source, ["k"], {"v": lambda t, s: s("v")}).collect()
+    assert [(r.v, r.n) for r in kept] == [("t", 1)]
 
 
 def test_update_sees_old_values_and_condition(spark):
