@@ -21,34 +21,33 @@ def _c360(t, fanout=True):
     return views.customer_360(t.customers_placed, t.orders, t.order_items, t.products, ORDERS_AS_OF, fanout)
 
 
-_C360_COLUMNS = f"""
-    c.customer_id, c.customer_name, c.email, c.phone, c.customer_tier, c.lifetime_value::DOUBLE AS lifetime_value,
-    c.is_active, c.created_at AS customer_since, replace(c.tags, ',', '|') AS customer_tags, c.profile_score,
-    count(DISTINCT o.order_id) AS total_orders,
-    {{spent}} AS total_spent,
-    {{mean}} AS avg_order_value,
-    max(o.order_date) AS last_order_date, min(o.order_date) AS first_order_date,
-    coalesce(string_agg(DISTINCT p.category, '|' ORDER BY p.category), '') AS preferred_categories,
-    coalesce(string_agg(DISTINCT p.product_name, '|' ORDER BY p.product_name), '') AS purchased_products,
-    date_diff('day', max(o.order_date)::DATE, {TODAY})::INTEGER AS days_since_last_order,
-    CASE WHEN date_diff('day', max(o.order_date)::DATE, {TODAY}) <= 30 THEN 'Active'
-         WHEN date_diff('day', max(o.order_date)::DATE, {TODAY}) <= 90 THEN 'At Risk' ELSE 'Inactive' END AS customer_status,
-    c.street, c.city, c.state, c.zip AS zip_code"""
-_C360_FROM = """
-    FROM a_customers c LEFT JOIN a_orders o ON c.customer_id = o.customer_id
-         LEFT JOIN a_order_items oi ON o.order_id = oi.order_id
-         LEFT JOIN a_products p ON oi.product_id = p.product_id
-    WHERE c.is_active GROUP BY ALL"""
-_C360 = "SELECT " + _C360_COLUMNS.format(
-    spent="coalesce(sum(o.total_amount), 0)::DOUBLE",
-    mean="coalesce(sum(o.total_amount)::DOUBLE / count(o.total_amount), 0)",
-) + _C360_FROM
-_C360_ONCE = f"""
-    WITH once AS (SELECT customer_id, sum(total_amount)::DOUBLE AS spent, count(*) AS n FROM a_orders GROUP BY 1),
-    wide AS (SELECT {_C360_COLUMNS.format(spent="0", mean="0")} {_C360_FROM})
-    SELECT wide.* EXCLUDE (total_spent, avg_order_value), coalesce(spent, 0) AS total_spent,
-           coalesce(spent / n, 0) AS avg_order_value
-    FROM wide LEFT JOIN once USING (customer_id)"""
+# Every customer-order-item row spelled out, then folded per customer.
+_C360_PARTS = f"""
+    lines AS (SELECT a_orders.*, i.product_id FROM a_orders LEFT JOIN a_order_items i USING (order_id)),
+    bought AS (SELECT customer_id AS k, string_agg(DISTINCT category, '|' ORDER BY category) AS cats,
+        string_agg(DISTINCT product_name, '|' ORDER BY product_name) AS names FROM lines JOIN a_products USING (product_id) GROUP BY 1),
+    fanned AS (SELECT customer_id AS k, count(DISTINCT order_id) AS n_orders, sum(total_amount)::DOUBLE AS fan_sum, count(*) AS fan_n,
+        max(order_date) AS newest, min(order_date) AS oldest FROM lines GROUP BY 1),
+    once AS (SELECT customer_id AS k, sum(total_amount)::DOUBLE AS plain_sum, count(*) AS plain_n FROM a_orders GROUP BY 1),
+    dated AS (SELECT *, date_diff('day', newest::DATE, {TODAY})::INTEGER AS age FROM fanned)"""
+
+
+def _c360_sql(total, n):
+    return f"""
+    WITH {_C360_PARTS}
+    SELECT c.customer_id, customer_name, email, phone, customer_tier, lifetime_value::DOUBLE AS lifetime_value, is_active,
+        created_at AS customer_since, replace(tags, ',', '|') AS customer_tags, profile_score, coalesce(n_orders, 0) AS total_orders,
+        coalesce({total}, 0) AS total_spent, coalesce({total} / {n}, 0) AS avg_order_value, newest AS last_order_date,
+        oldest AS first_order_date, coalesce(cats, '') AS preferred_categories, coalesce(names, '') AS purchased_products,
+        age AS days_since_last_order, CASE WHEN age BETWEEN 31 AND 90 THEN 'At Risk' WHEN age < 31 THEN 'Active' ELSE 'Inactive' END AS customer_status,
+        street, city, state, zip AS zip_code
+    FROM a_customers c LEFT JOIN dated d ON d.k = c.customer_id LEFT JOIN bought b ON b.k = c.customer_id
+        LEFT JOIN once o ON o.k = c.customer_id
+    WHERE is_active"""
+
+
+_C360 = _c360_sql("fan_sum", "fan_n")
+_C360_ONCE = _c360_sql("plain_sum", "plain_n")
 
 
 @query("customer_360", _C360)
@@ -67,35 +66,25 @@ def _sales(t, fanout=True):
     return views.sales_performance(t.orders, t.order_items, t.products, t.customers, fanout)
 
 
-_MODES = ""
-for _col, _src, _out in (
-    ("product_name", "p", "top_selling_product"),
-    ("category", "p", "top_selling_category"),
-    ("customer_tier", "c", "dominant_customer_tier"),
-):
-    _MODES += f""",
-    {_out} AS (SELECT m, v FROM (SELECT date_trunc('month', o.order_date)::DATE AS m, {_src}.{_col} AS v,
-        row_number() OVER (PARTITION BY date_trunc('month', o.order_date)::DATE ORDER BY count(*) DESC, {_src}.{_col}) AS r
-        FROM {{frm}} GROUP BY 1, 2) WHERE r = 1)"""
-_SALES_FROM = """a_orders o JOIN a_order_items oi ON o.order_id = oi.order_id
-        JOIN a_products p ON oi.product_id = p.product_id JOIN a_customers c ON o.customer_id = c.customer_id
-        WHERE o.status IN ('COMPLETED', 'SHIPPED')"""
-_SALES = f"""
-    WITH g AS (SELECT date_trunc('month', o.order_date)::DATE AS sales_month,
-        date_trunc('quarter', o.order_date)::DATE AS sales_quarter, date_trunc('year', o.order_date)::DATE AS sales_year,
-        count(DISTINCT o.order_id) AS total_orders, count(DISTINCT o.customer_id) AS unique_customers,
-        sum(o.total_amount) AS rev, count(o.total_amount) AS n, sum(o.discount_amount)::DOUBLE AS total_discounts,
-        sum(o.tax_amount)::DOUBLE AS total_tax, count(DISTINCT oi.product_id) AS unique_products_sold,
-        sum(oi.quantity)::BIGINT AS total_items_sold FROM {_SALES_FROM} GROUP BY 1, 2, 3)
-    {_MODES.format(frm=_SALES_FROM)}
-    SELECT sales_month, sales_quarter, sales_year, total_orders, unique_customers, rev::DOUBLE AS total_revenue,
-        rev::DOUBLE / n AS avg_order_value, total_discounts, total_tax, unique_products_sold, total_items_sold,
-        a.v AS top_selling_product, b.v AS top_selling_category, d.v AS dominant_customer_tier,
-        (lag(rev) OVER w)::DOUBLE AS prev_month_revenue, (rev - lag(rev) OVER w)::DOUBLE AS revenue_growth,
-        round((rev - lag(rev) OVER w)::DOUBLE / nullif((lag(rev) OVER w)::DOUBLE, 0) * 100, 2) AS revenue_growth_pct
-    FROM g JOIN top_selling_product a ON a.m = sales_month JOIN top_selling_category b ON b.m = sales_month
-        JOIN dominant_customer_tier d ON d.m = sales_month
-    WINDOW w AS (ORDER BY sales_month)"""
+# One row per sold item of a known product and customer; modes by counting and ranking.
+_SALES = """
+    WITH lines AS (SELECT *, date_trunc('month', order_date)::DATE AS m FROM a_orders JOIN a_order_items USING (order_id)
+        JOIN a_products USING (product_id) JOIN a_customers USING (customer_id) WHERE status <> 'PENDING'),
+    votes AS (SELECT m, 'p' AS kind, product_name AS v, count(*) AS n FROM lines GROUP BY ALL
+        UNION ALL SELECT m, 'c', category, count(*) FROM lines GROUP BY ALL
+        UNION ALL SELECT m, 't', customer_tier, count(*) FROM lines GROUP BY ALL),
+    winners AS (PIVOT (SELECT m, kind, v FROM votes WHERE v IS NOT NULL QUALIFY row_number() OVER (PARTITION BY m, kind ORDER BY n DESC, v) = 1)
+        ON kind IN ('p', 'c', 't') USING first(v) GROUP BY m),
+    sums AS (SELECT m, count(DISTINCT order_id) AS n_orders, count(DISTINCT customer_id) AS n_customers, count(DISTINCT product_id) AS n_products,
+        sum(total_amount) AS rev, count(*) AS n, sum(discount_amount)::DOUBLE AS disc, sum(tax_amount)::DOUBLE AS tax, sum(quantity)::BIGINT AS q
+        FROM lines GROUP BY m),
+    steps AS (SELECT *, lag(rev) OVER (ORDER BY m) AS before FROM sums)
+    SELECT m AS sales_month, date_trunc('quarter', m)::DATE AS sales_quarter, date_trunc('year', m)::DATE AS sales_year,
+        n_orders AS total_orders, n_customers AS unique_customers, rev::DOUBLE AS total_revenue, rev::DOUBLE / n AS avg_order_value,
+        disc AS total_discounts, tax AS total_tax, n_products AS unique_products_sold, q AS total_items_sold,
+        p AS top_selling_product, c AS top_selling_category, t AS dominant_customer_tier, before::DOUBLE AS prev_month_revenue,
+        (rev - before)::DOUBLE AS revenue_growth, round((rev - before)::DOUBLE / nullif(before::DOUBLE, 0) * 100, 2) AS revenue_growth_pct
+    FROM steps JOIN winners USING (m)"""
 
 
 @query("sales_performance", _SALES)
@@ -117,24 +106,22 @@ def _products(t):
 
 
 _PRODUCTS = """
-    SELECT p.product_id, p.product_name, p.category, p.price::DOUBLE AS price, p.cost::DOUBLE AS cost,
-        (p.price - p.cost)::DOUBLE AS gross_margin,
-        round((p.price - p.cost)::DOUBLE / nullif(p.price::DOUBLE, 0) * 100, 2) AS margin_percentage,
-        count(DISTINCT oi.order_id) AS orders_containing_product, sum(oi.quantity)::BIGINT AS total_quantity_sold,
-        sum(oi.total_price)::DOUBLE AS total_revenue,
-        sum(oi.quantity)::DOUBLE / nullif(count(oi.quantity), 0) AS avg_quantity_per_order,
-        count(DISTINCT o.customer_id) AS unique_customers,
-        count(DISTINCT CASE WHEN c.customer_tier = 'ENTERPRISE' THEN o.customer_id END) AS enterprise_customers,
-        min(o.order_date) AS first_sale_date, max(o.order_date) AS last_sale_date,
-        date_diff('day', min(o.order_date)::DATE, max(o.order_date)::DATE)::INTEGER AS sale_period_days,
-        p.inventory_count, p.vendor, p.support_level,
-        rank() OVER (ORDER BY sum(oi.total_price) DESC NULLS FIRST) AS revenue_rank,
-        rank() OVER (ORDER BY sum(oi.quantity) DESC NULLS FIRST) AS quantity_rank,
-        rank() OVER (PARTITION BY p.category ORDER BY sum(oi.total_price) DESC NULLS FIRST) AS category_revenue_rank
-    FROM a_products p LEFT JOIN a_order_items oi ON p.product_id = oi.product_id
-        LEFT JOIN a_orders o ON oi.order_id = o.order_id LEFT JOIN a_customers c ON o.customer_id = c.customer_id
-    WHERE p.is_active
-    GROUP BY p.product_id, p.product_name, p.category, p.price, p.cost, p.inventory_count, p.vendor, p.support_level"""
+    WITH sold AS (SELECT i.product_id AS k, count(DISTINCT i.order_id) AS n_orders, sum(quantity)::BIGINT AS q, sum(total_price) AS rev, count(*) AS n
+        FROM a_order_items i GROUP BY 1),
+    buyers AS (SELECT product_id AS k, count(DISTINCT customer_id) AS buyers, count(DISTINCT customer_id) FILTER (customer_tier = 'ENTERPRISE') AS big,
+        min(order_date) AS first_day, max(order_date) AS last_day
+        FROM a_order_items JOIN a_orders USING (order_id) LEFT JOIN a_customers USING (customer_id) GROUP BY 1),
+    wide AS (SELECT p.*, price - cost AS gap, sold.* EXCLUDE (k), buyers.* EXCLUDE (k)
+        FROM a_products p LEFT JOIN sold ON sold.k = product_id LEFT JOIN buyers ON buyers.k = product_id WHERE is_active)
+    SELECT product_id, product_name, category, price::DOUBLE AS price, cost::DOUBLE AS cost, gap::DOUBLE AS gross_margin,
+        round(gap::DOUBLE / nullif(price::DOUBLE, 0) * 100, 2) AS margin_percentage, coalesce(n_orders, 0) AS orders_containing_product,
+        q AS total_quantity_sold, rev::DOUBLE AS total_revenue, q::DOUBLE / n AS avg_quantity_per_order,
+        coalesce(buyers, 0) AS unique_customers, coalesce(big, 0) AS enterprise_customers, first_day AS first_sale_date,
+        last_day AS last_sale_date, date_diff('day', first_day::DATE, last_day::DATE)::INTEGER AS sale_period_days,
+        inventory_count, vendor, support_level, rank() OVER by_rev AS revenue_rank,
+        rank() OVER (ORDER BY q DESC NULLS FIRST) AS quantity_rank,
+        rank() OVER (PARTITION BY category ORDER BY rev DESC NULLS FIRST) AS category_revenue_rank
+    FROM wide WINDOW by_rev AS (ORDER BY rev DESC NULLS FIRST)"""
 
 
 @query("product_performance", _PRODUCTS)
@@ -145,18 +132,17 @@ def _(t):
 # --- jobs and dashboards -----------------------------------------------------
 
 @query("job_monitoring", f"""
-    SELECT job_id, job_name, job_type, status, created_by, created_at, updated_at,
+    WITH timed AS (SELECT *, date_diff('minute', created_at, coalesce(updated_at, {JOB_NOW})) AS minutes,
+        date_diff('hour', created_at, {JOB_NOW}) AS hours FROM a_jobs),
+    words AS (SELECT * FROM (VALUES ('COMPLETED', 'Success', 'Success'), ('FAILED', 'Failed (Max Retries)', 'Failed (Will Retry)'),
+        ('RUNNING', 'Long Running', 'In Progress')) v(status, when_yes, when_no))
+    SELECT job_id, job_name, job_type, j.status, created_by, created_at, updated_at,
         execution_time_seconds::DOUBLE AS execution_time_seconds, priority, retry_count, max_retries, error_message,
-        date_diff('minute', created_at, coalesce(updated_at, {JOB_NOW})) AS total_runtime_minutes,
-        CASE WHEN status = 'COMPLETED' THEN 'Success'
-             WHEN status = 'FAILED' AND retry_count >= max_retries THEN 'Failed (Max Retries)'
-             WHEN status = 'FAILED' THEN 'Failed (Will Retry)'
-             WHEN status = 'RUNNING' AND date_diff('hour', created_at, {JOB_NOW}) > 2 THEN 'Long Running'
-             WHEN status = 'RUNNING' THEN 'In Progress' ELSE status END AS job_health_status,
+        minutes AS total_runtime_minutes,
+        coalesce(if(if(j.status = 'RUNNING', hours > 2, retry_count >= max_retries), when_yes, when_no), j.status) AS job_health_status,
         report_type, date_range, NULL::VARCHAR AS output_format, schedule AS schedule_type,
-        NULL::VARCHAR AS requesting_department, date_trunc('hour', created_at) AS created_hour,
-        created_at::DATE AS created_date
-    FROM a_jobs""")
+        NULL::VARCHAR AS requesting_department, date_trunc('hour', created_at) AS created_hour, created_at::DATE AS created_date
+    FROM timed j LEFT JOIN words w ON w.status = j.status""")
 def _(t):
     return views.job_monitoring(t.jobs, JOBS_AS_OF)
 
@@ -165,21 +151,19 @@ def _dashboard(t, as_of=ORDERS_AS_OF):
     return views.executive_dashboard(t.customers, t.products, t.orders, t.order_items, t.jobs, as_of)
 
 
-_YTD = f"year(order_date) = year({TODAY})"
-_SOLD = "status IN ('COMPLETED', 'SHIPPED')"
 _EXEC = f"""
-    SELECT {TODAY} AS report_date, 'YTD' AS period_type,
-      (SELECT sum(total_amount)::DOUBLE FROM a_orders WHERE {_YTD} AND {_SOLD}) AS ytd_revenue,
-      (SELECT sum(total_amount)::DOUBLE FROM a_orders WHERE year(order_date) = year({TODAY}) - 1 AND {_SOLD}) AS last_year_revenue,
-      (SELECT count(DISTINCT customer_id) FROM a_customers WHERE is_active) AS total_active_customers,
-      (SELECT count(DISTINCT customer_id) FROM a_orders WHERE {_YTD}) AS customers_with_orders_ytd,
-      (SELECT count(*) FROM a_products WHERE is_active) AS active_products,
-      (SELECT count(DISTINCT product_id) FROM a_order_items oi JOIN a_orders o ON oi.order_id = o.order_id WHERE {_YTD}) AS products_sold_ytd,
-      (SELECT count(*) FROM a_orders WHERE {_YTD} AND {_SOLD}) AS orders_ytd,
-      (SELECT sum(total_amount)::DOUBLE / count(*) FROM a_orders WHERE {_YTD} AND {_SOLD}) AS avg_order_value_ytd,
-      (SELECT count(*) FROM a_jobs WHERE created_at::DATE = {TODAY}) AS jobs_today,
-      (SELECT count(*) FROM a_jobs WHERE created_at::DATE = {TODAY} AND status = 'COMPLETED') AS jobs_completed_today,
-      (SELECT count(*) FROM a_jobs WHERE created_at::DATE = {TODAY} AND status = 'FAILED') AS jobs_failed_today"""
+    WITH o AS (SELECT *, year({TODAY}) - year(order_date) AS back, status <> 'PENDING' AS is_sold FROM a_orders),
+    figures AS (SELECT sum(total_amount) FILTER (back = 0 AND is_sold)::DOUBLE AS ytd, sum(total_amount) FILTER (back = 1 AND is_sold)::DOUBLE AS prior,
+        count(DISTINCT customer_id) FILTER (back = 0) AS buyers, count(*) FILTER (back = 0 AND is_sold) AS n FROM o),
+    goods AS (SELECT count(DISTINCT product_id) AS n_sold FROM o JOIN a_order_items USING (order_id) WHERE back = 0),
+    people AS (SELECT count(*) FILTER (is_active) AS n_active FROM a_customers),
+    stock AS (SELECT count(*) FILTER (is_active) AS n_stock FROM a_products),
+    work AS (SELECT count(*) AS n_jobs, count(*) FILTER (status = 'COMPLETED') AS n_done, count(*) FILTER (status = 'FAILED') AS n_bad
+        FROM a_jobs WHERE created_at::DATE = {TODAY})
+    SELECT {TODAY} AS report_date, 'YTD' AS period_type, ytd AS ytd_revenue, prior AS last_year_revenue, n_active AS total_active_customers,
+        buyers AS customers_with_orders_ytd, n_stock AS active_products, n_sold AS products_sold_ytd, n AS orders_ytd,
+        ytd / n AS avg_order_value_ytd, n_jobs AS jobs_today, n_done AS jobs_completed_today, n_bad AS jobs_failed_today
+    FROM figures, goods, people, stock, work"""
 
 
 @query("executive_dashboard", _EXEC)
