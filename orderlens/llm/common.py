@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterable, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -106,3 +110,24 @@ def sorted_rows(table: pa.Table, id_col: str, text_col: str) -> tuple[pa.Table,
     texts = as_bytes(table.column(text_col))
     order = sorted(range(len(texts)), key=lambda i: (ids[i], texts[i]))
     return table.take(pa.array(order, pa.int64())), ids[order], [texts[i] for i in order]
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Lets Python workers import this library, once per application, where it is not on their path.
+
+    Nothing to do where PYTHONPATH names it; else the package goes out as a zip that
+    Spark's own file server hands to every executor.
+    """
+    root = Path(__file__).resolve().parents[2]
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    name = Path(tempfile.mkdtemp(prefix="orderlens-")) / "orderlens.zip"
+    with zipfile.ZipFile(name, "w") as z:
+        for p in sorted((root / "orderlens").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+    spark.sparkContext.addPyFile(str(name))
+    _SHIPPED.add(app)

@@ -115,9 +115,12 @@ def references(counted: DataFrame, lang_col: str = "lang", min_words: int = 50)
 
 def judge(
     counted: DataFrame, reference: DataFrame, lang_col: str = "lang", min_words: int = 50, min_docs: int = 20,
-    max_char_distance: float = 0.35, max_word_distance: float = 0.6,
+    max_distance: float = 0.31,
 ) -> DataFrame:
-    """Counted rows with ``base_failed``, both distances (NULL where not judged) and ``kept``."""
+    """Counted rows with ``base_failed``, both distances (NULL where not judged) and ``kept``.
+
+    ``max_distance`` bounds the Euclidean length of the two distances.
+    """
     judged = (F.col("n_words") >= min_words) & (F.col("ref_docs") >= min_docs)
     df = counted.join(reference, F.coalesce(F.col(lang_col), F.lit("")) == reference.ref_lang, "left")
     df = df.withColumns({
@@ -125,7 +128,7 @@ def judge(
         "char_distance": F.when(judged, js_distance(shares(F.col("char_counts")), F.col("ref_c"))),
         "word_distance": F.when(judged, js_distance(shares(F.col("word_counts")), F.col("ref_w"))),
     })
-    far = F.coalesce(F.col("char_distance") > max_char_distance, F.lit(False)) | F.coalesce(F.col("word_distance") > max_word_distance, F.lit(False))
+    far = F.coalesce(F.hypot("char_distance", "word_distance") > max_distance, F.lit(False))
     out = [*counted.columns, "base_failed", "char_distance", "word_distance"]
     return df.select(*[F.col(f"`{c}`") for c in out if c not in ("char_counts", "word_counts")], (~F.col("base_failed") & ~far).alias("kept"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import byte_bpe, decontaminate, lm_scoring, quality_rules, simhash, substring_dedup
-from orderlens.llm.common import read
+from orderlens.llm.common import read, ship
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -57,7 +57,7 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": substrings,
     "op3_decontamination": contamination,
     "op5_byte_bpe": bpe,
@@ -66,4 +66,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": near_duplicates,
 }
 
+
+def _shipped(query):
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        ship(spark)
+        return query(spark, folder)
+
+    return run
+
+
+QUERIES = {name: _shipped(query) for name, query in _QUERIES.items()}
+
 ORACLES: dict[str, str] = {}
