@@ -115,11 +115,12 @@ def references(counted: DataFrame, lang_col: str = "lang", min_words: int = 50)
 
 def judge(
     counted: DataFrame, reference: DataFrame, lang_col: str = "lang", min_words: int = 50, min_docs: int = 20,
-    max_distance: float = 0.31,
+    max_distance: float = 0.29, noise: float = 0.75,
 ) -> DataFrame:
     """Counted rows with ``base_failed``, both distances (NULL where not judged) and ``kept``.
 
-    ``max_distance`` bounds the Euclidean length of the two distances.
+    The Euclidean length of the two distances may reach ``max_distance`` plus ``noise`` over
+    the root of the number of words, since a short clean document strays further.
     """
     judged = (F.col("n_words") >= min_words) & (F.col("ref_docs") >= min_docs)
     df = counted.join(reference, F.coalesce(F.col(lang_col), F.lit("")) == reference.ref_lang, "left")
@@ -128,9 +129,12 @@ def judge(
         "char_distance": F.when(judged, js_distance(shares(F.col("char_counts")), F.col("ref_c"))),
         "word_distance": F.when(judged, js_distance(shares(F.col("word_counts")), F.col("ref_w"))),
     })
-    far = F.coalesce(F.hypot("char_distance", "word_distance") > max_distance, F.lit(False))
+    # One comparison with columns of both sides: a filter on it stays above the join and
+    # is not unfolded into the counting expressions.
+    excess = F.coalesce(F.hypot("char_distance", "word_distance") - noise / F.sqrt("n_words"), F.lit(0.0))
+    kept = F.when(F.col("base_failed"), F.lit(2.0)).otherwise(excess) <= max_distance
     out = [*counted.columns, "base_failed", "char_distance", "word_distance"]
-    return df.select(*[F.col(f"`{c}`") for c in out if c not in ("char_counts", "word_counts")], (~F.col("base_failed") & ~far).alias("kept"))
+    return df.select(*[F.col(f"`{c}`") for c in out if c not in ("char_counts", "word_counts")], kept.alias("kept"))
 
 
 def assess(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", **limits) -> DataFrame:
