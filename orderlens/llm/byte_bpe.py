@@ -27,7 +27,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.llm.common import adding, without
+from orderlens.llm.common import adding, slices, without
 
 MEMO = 400_000  # pieces and token pairs remembered by a worker before it starts anew
 
@@ -180,7 +180,7 @@ def encode(docs: DataFrame, ranks: Broadcast, pattern: str, text_col: str = "tex
 
     def run(batches):
         coder = _coder(ranks, pattern)
-        for batch in batches:
+        for batch in (part for b in batches for part in slices(b, text_col)):
             ids = [np.array(coder.encode(t or ""), np.int32) for t in batch.column(text_col).to_pylist()]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))

@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,19 @@ def as_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [b if b is not None else b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
+def slices(batch: pa.RecordBatch, text_col: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about ``most`` bytes of text, or one longer text, each."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
+    begin = total = 0
+    for i, n in enumerate(sizes.tolist()):
+        if total and total + n > most:
+            yield batch.slice(begin, i - begin)
+            begin, total = i, 0
+        total += n
+    if batch.num_rows > begin:
+        yield batch.slice(begin)
+
+
 def codes(words: Sequence[bytes]) -> np.ndarray:
     """XXH64 of each word."""
     return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))

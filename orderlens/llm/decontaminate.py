@@ -1,6 +1,6 @@
 """Benchmark decontamination with training suffix arrays.
 
-Each batch of documents is a shard.  Its suffix array holds the word suffixes that can
+About 4 MB of documents are a shard.  Its suffix array holds the word suffixes that can
 match at all, in the order of their words; every benchmark suffix is binary-searched in
 it, word by word, which narrows a range until the longest verbatim match is reached.
 Where the match covers a window (``window`` words, or a whole shorter item), each
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import adding, as_bytes, codes, without
+from orderlens.llm.common import adding, as_bytes, codes, slices, without
 
 #: Every byte that separates words: ASCII that is neither a digit nor a letter.
 SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
@@ -162,7 +162,7 @@ def match_benchmark(
 
     def one_pass(df: DataFrame, tests: TestSuffixes, is_first: bool) -> DataFrame:
         def run(batches):
-            for batch in batches:
+            for batch in (part for b in batches for part in slices(b, text_col)):
                 if is_first:
                     old = [[] for _ in range(batch.num_rows)]
                 else:

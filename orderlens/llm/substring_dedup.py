@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import (
-    adding, as_bytes, chunked, codes, free_name, mix, pack, shifted, sorted_rows, unpack, without,
+    adding, as_bytes, chunked, codes, free_name, mix, pack, shifted, slices, sorted_rows, unpack, without,
 )
 
 BITS = 14
@@ -81,7 +81,7 @@ def prefix_counts(docs: DataFrame, text_col: str, length: int) -> DataFrame:
 
     def count(batches):
         n = np.zeros((len(levels), 1 << BITS), np.int64)
-        for batch in batches:
+        for batch in (part for b in batches for part in slices(b, "text")):
             _, counts, word_codes = _words(as_bytes(batch.column(0)))
             at = _starts(counts, length)
             by = paths(word_codes, length)
