@@ -7,9 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import byte_bpe, decontaminate, lm_scoring, quality_rules, simhash, substring_dedup
+from orderlens.llm import (
+    byte_bpe, decontaminate, lm_scoring, quality_rules, simhash, substring_dedup, toxicity, transcripts, url_reputation, warc,
+)
 from orderlens.llm.common import read, ship
+from orderlens.session import run_dir
 
+RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+]
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -18,6 +24,40 @@ def held_out(modulus: int):
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(modulus)) == 2, F.lit(False))
 
 
+def urls(spark: SparkSession, folder: str) -> DataFrame:
+    """A page's labelled outcome is the quality label that carries its id."""
+    labels = read(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
+    found = url_reputation.judge(read(spark, folder, "pages").select("page_id", "url"), labels, RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+def archives(spark: SparkSession, folder: str) -> DataFrame:
+    path = run_dir(spark, "warc")
+    warc.write_archives(read(spark, folder, "pages").select("page_id", "url", "html"), path)
+    found = warc.read_archives(spark, path, payloads=False)
+    revisit = F.col("record_type") == "revisit"
+    page = lambda c: F.expr(f"try_cast({c} AS BIGINT)")
+    return found.select(
+        page("record_id").alias("page_id"), F.when(revisit, F.col("header_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(revisit, F.col("header_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type", page("refers_to").alias("refers_to"),
+    )
+
+
+def toxic(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", "text", held_out(4).alias("held_out"))
+    labels = read(spark, folder, "labels").filter(~held_out(4)).select("doc_id", "toxic")
+    model = toxicity.fit(docs.select("doc_id", "text"), labels)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def chats(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations are flattened to transcript lines, and their roles recovered from these alone."""
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    found = transcripts.recover_roles(transcripts.flatten(turns))
+    return found.select("conv_id", "turn", F.col("given").alias("role"), F.col("role").alias("recovered_role"), "rendered")
+
+
 def substrings(spark: SparkSession, folder: str) -> DataFrame:
     found = substring_dedup.dedup_substrings(read(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -58,9 +98,13 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_reputation": urls,
     "op2_substring_dedup": substrings,
     "op3_decontamination": contamination,
+    "op4_warc": archives,
     "op5_byte_bpe": bpe,
+    "op6_toxicity": toxic,
+    "op7_chat_format": chats,
     "op8_lm_scoring": lm,
     "op9_quality_rules": quality,
     "op10_simhash": near_duplicates,
