@@ -108,12 +108,14 @@ def unpack(b: bytes, dtype=np.uint64) -> np.ndarray:
 def chunked(docs: DataFrame, id_col: str, text_col: str, name: str, chunk_bytes: int) -> DataFrame:
     """Adds column ``name``: a chunk number, hashed from the id, so that a chunk holds about ``chunk_bytes`` of text.
 
-    Rows of one id share a chunk; rows without an id are spread by their text.  There are
-    at least four chunks for each shuffle partition, so that hashing deals them evenly.
+    Rows of one id share a chunk; rows without an id are spread by their text.  Small
+    inputs get chunks of a quarter of that, up to one for each shuffle partition.  The
+    number of chunks follows the text and not the number of partitions, because each
+    chunk sends a row to each group.
     """
     total = docs.agg(F.sum(F.octet_length(F.col(text_col))).alias("n")).first()["n"] or 0
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = max(4 * parts, -(-total // chunk_bytes))
+    n = max(1, -(-total // chunk_bytes), min(parts, -(-4 * total // chunk_bytes)))
     key = F.when(F.col(id_col).isNull(), F.xxhash64(F.col(text_col))).otherwise(F.xxhash64(F.col(id_col)))
     return docs.withColumn(name, F.pmod(key, F.lit(n)))
 
