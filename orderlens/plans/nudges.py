@@ -34,7 +34,7 @@ def nudge_id() -> Column:
 
 
 def generate(events: DataFrame, rules: Sequence[Rule], templates: DataFrame) -> DataFrame:
-    """One nudge per matched rule: a projection, an explode and two broadcast joins on
+    """One nudge per matched rule: a projection, an explode and two joins with
     configuration.  The same function runs on a stream."""
     rows = [
         (r.rule_id, r.nudge_type, list(r.channels), r.priority, r.template_id, r.cooldown_hours) for r in rules
@@ -43,7 +43,7 @@ def generate(events: DataFrame, rules: Sequence[Rule], templates: DataFrame) ->
         events.sparkSession, rows,
         "rule_id string, nudge_type string, channels array<string>, priority int, template_id string, cooldown_hours int",
     )
-    texts = F.broadcast(latest_templates(templates))
+    texts = latest_templates(templates)
     made = matches(events, rules).join(actions, "rule_id").join(texts, ["template_id", "locale"], "left")
     content = fill(
         F.col("text"),

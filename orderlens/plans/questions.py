@@ -21,7 +21,6 @@ REFINEMENTS = {
     "price": ("price", "cost", "expensive"),
     "recent": ("recent", "latest", "new"),
 }
-FALLBACK_HINT = "Use more specific terms like customers, products, orders, or jobs for better results"
 
 
 def top_customers(customers: DataFrame, limit: int = 10) -> DataFrame:
@@ -144,12 +143,3 @@ def route(question: Column) -> Column:
         .when(mentions(text, FAMILIES["job"]), "jobs_by_type_status")
         .otherwise("fallback")
     )
-
-
-def answer_fallback(question: Column) -> Column:
-    """The fixed answer row for questions no family matches."""
-    return F.struct(
-        F.concat(F.lit("Your question: "), question).alias("question_asked"),
-        F.lit("This is a general response").alias("response_type"),
-        F.lit(FALLBACK_HINT).alias("suggestion"),
-    )

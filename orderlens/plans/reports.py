@@ -224,9 +224,3 @@ def report_body(kind: str, data: DataFrame | None, summary: DataFrame, as_of: st
 def write_report(body: DataFrame, folder: str) -> None:
     """Each document as one text file set under its kind."""
     body.write.mode("overwrite").partitionBy("report_kind").text(folder)
-
-
-def write_rows(report: DataFrame, summary: DataFrame, folder: str) -> None:
-    """Unbounded reports: JSON lines written in parallel, the summary beside them."""
-    report.write.mode("overwrite").json(f"{folder}/data")
-    summary.write.mode("overwrite").json(f"{folder}/summary")

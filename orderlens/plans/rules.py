@@ -15,15 +15,10 @@ from pyspark.sql import functions as F
 
 from orderlens.functions import ntz
 
-# Configuration frames are broadcast; more rows than this are data, not configuration.
-CONFIG_LIMIT = 10_000
-
 
 def config_frame(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small configuration table, marked for broadcast after its size is checked."""
-    if len(rows) > CONFIG_LIMIT:
-        raise ValueError(f"{len(rows)} configuration rows; join a table of that size without a broadcast hint")
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    """A configuration table; the planner broadcasts it if its size allows that."""
+    return spark.createDataFrame(list(rows), schema)
 
 
 @dataclass(frozen=True)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions import boundaries, dbl, hour_floor, json_text, mean, money, ntz, pct
-from orderlens.operators.ranking import ONE_TASK_ROWS, rank_desc
+from orderlens.operators.ranking import rank_desc
 from orderlens.schemas import ADDRESS, SOLD
 from orderlens.session import settle_counted
 
@@ -338,12 +338,9 @@ def product_performance(
 
 def add_rank(
     df: DataFrame, base: DataFrame, key: str, value: str, out: str, within: Sequence[str] = (), rows: int | None = None,
-    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """Adds a rank over the settled ``base``: in place when it is small, else joined back by key."""
-    if rows is not None and rows <= one_task_rows:
-        return rank_desc(df, value, out, within, rows, one_task_rows)
-    ranks = rank_desc(base.select(key, value, *within), value, out, within, rows, one_task_rows)
+    """Adds a rank over the settled ``base``, joined back by key."""
+    ranks = rank_desc(base.select(key, value, *within), value, out, within, rows)
     return df.join(ranks.select(key, out), key, "left")
 
 
@@ -495,19 +492,21 @@ def operational_status(
     m = metrics.agg(F.count(F.lit(1)).alias("m_rows"), F.max("updated_at").alias("m_last"))
     one = j.crossJoin(o).crossJoin(m)
     if fanout:
-        by_orders = F.col("o_rows") * F.col("m_rows")
-        by_jobs = F.col("j_rows") * F.col("m_rows")
+        # Products of three counts pass 2^63 at scale.
+        wide = lambda c: F.col(c).cast("decimal(38,0)")
+        by_orders = (wide("o_rows") * F.col("m_rows")).cast("decimal(38,0)")
+        by_jobs = (wide("j_rows") * F.col("m_rows")).cast("decimal(38,0)")
         filled = (F.col("j_rows") > 0) & (F.col("o_rows") > 0) & (F.col("m_rows") > 0)
     else:
-        by_orders = by_jobs = F.lit(1).cast("bigint")
+        by_orders = by_jobs = F.lit(1).cast("decimal(38,0)")
         filled = F.lit(True)
     return one.select(
         now.alias("last_updated"),
-        (F.col("running") * by_orders).alias("jobs_running"),
-        (F.col("pending") * by_orders).alias("jobs_pending"),
-        (F.col("retrying") * by_orders).alias("jobs_retrying"),
-        (F.col("j_recent") * by_orders).alias("jobs_last_24h"),
-        (F.col("o_recent") * by_jobs).alias("orders_last_24h"),
+        (F.col("running") * by_orders).cast("decimal(38,0)").alias("jobs_running"),
+        (F.col("pending") * by_orders).cast("decimal(38,0)").alias("jobs_pending"),
+        (F.col("retrying") * by_orders).cast("decimal(38,0)").alias("jobs_retrying"),
+        (F.col("j_recent") * by_orders).cast("decimal(38,0)").alias("jobs_last_24h"),
+        (F.col("o_recent") * by_jobs).cast("decimal(38,0)").alias("orders_last_24h"),
         F.when(filled, F.col("j_last")).alias("last_job_update"),
         F.when(filled, F.col("o_last")).alias("last_order_created"),
         F.when(filled, F.col("m_last")).alias("last_metrics_update"),

@@ -49,7 +49,7 @@ def cluster_settings(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * mb),
         # Split a hot key even where the step after the join then needs its own shuffle.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
+        "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(256 * mb),
         "spark.sql.autoBroadcastJoinThreshold": str(64 * mb),
     }

@@ -15,14 +15,18 @@ from orderlens.session import run_dir
 CORRUPT = "_corrupt"
 
 
-def incremental_pull(source: DataFrame, loaded: DataFrame, ts: str) -> DataFrame:
-    """Source rows after the newest loaded one.
+def incremental_pull(source: DataFrame, loaded: DataFrame, ts: str, keys: Sequence[str]) -> DataFrame:
+    """Source rows from the newest loaded time on that are not loaded yet.
 
     The mark is a scalar (one row on the driver), so the filter is a literal that
-    reaches the scan of the source.
+    reaches the scans.  Rows at the mark itself are compared by key, so one that ties
+    with the mark and arrives later is not lost.
     """
     mark = loaded.agg(F.max(ts).alias("mark")).first()["mark"]
-    return source if mark is None else source.filter(F.col(ts) > ntz(mark.isoformat(sep=" ")))
+    if mark is None:
+        return source
+    at = ntz(mark.isoformat(sep=" "))
+    return source.filter(F.col(ts) >= at).join(loaded.filter(F.col(ts) == at).select(*keys).distinct(), list(keys), "left_anti")
 
 
 def csv_stream(spark: SparkSession, folder: str, schema: str, pattern: str = "*.csv", files_per_batch: int = 1000):

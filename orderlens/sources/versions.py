@@ -1,15 +1,11 @@
-"""Versioned parquet tables: a write never touches the files being read.
-
-Parquet has no transactions, so new content goes to a new version folder and a
-small pointer file names the current one.  A job that dies half-way leaves the
-pointer, and so the table, as it was.
-"""
+"""Table snapshots: new content goes to a new folder and never touches the files being read."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,66 +21,27 @@ CLUSTERING = {
 LOOKUP_KEYS = {"jobs": ("job_id",), "customers": ("customer_id",), "products": ("product_id",)}
 
 
-class VersionedTable:
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
-        self.folder = folder.rstrip("/")
-
-    def _fs(self):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.folder)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def versions(self) -> list[int]:
-        """Committed version numbers, oldest first."""
-        jvm = self.spark._jvm
-        fs, root = self._fs(), jvm.org.apache.hadoop.fs.Path(f"{self.folder}/_commits")
-        if not fs.exists(root):
-            return []
-        return sorted(int(s.getPath().getName()) for s in fs.listStatus(root))
-
-    def current(self) -> int | None:
-        have = self.versions()
-        return have[-1] if have else None
-
-    def path(self, version: int) -> str:
-        return f"{self.folder}/v{version}"
+def write_snapshot(
+    df: DataFrame, folder: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = (), bloom_on: Sequence[str] = (),
+) -> str:
+    """Writes the frame to a folder of its own below ``folder`` and returns its path.
 
-    def read(self, version: int | None = None) -> DataFrame:
-        version = self.current() if version is None else version
-        if version is None:
-            raise ValueError(f"{self.folder} holds no committed version")
-        return self.spark.read.parquet(self.path(version))
-
-    def write(
-        self,
-        df: DataFrame,
-        sort_by: Sequence[str] = (),
-        partition_by: Sequence[str] = (),
-        bloom_on: Sequence[str] = (),
-    ) -> int:
-        """Writes a new version and commits it.
-
-        ``sort_by`` clusters rows inside each file, so row-group statistics prune;
-        ``bloom_on`` writes bloom filters for point lookups.
-        """
-        number = (self.current() or 0) + 1
-        if sort_by:
-            df = df.sortWithinPartitions(*[F.col(c) for c in sort_by])
-        writer = df.write.mode("overwrite")
-        for column in bloom_on:
-            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(number))
-        jvm = self.spark._jvm
-        mark = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/_commits/{number}")
-        # create(overwrite=False) fails when another writer committed the same number.
-        self._fs().create(mark, False).close()
-        return number
-
-
-def write_clustered(spark: SparkSession, folder: str, name: str, df: DataFrame) -> int:
+    ``sort_by`` clusters rows inside each file, so row-group statistics prune;
+    ``bloom_on`` writes bloom filters for point lookups.
+    """
+    path = f"{folder.rstrip('/')}/snapshot-{uuid.uuid4().hex}"
+    if sort_by:
+        df = df.sortWithinPartitions(*[F.col(c) for c in sort_by])
+    writer = df.write
+    for column in bloom_on:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    return path
+
+
+def write_clustered(folder: str, name: str, df: DataFrame) -> str:
     """Writes a canonical table in its declared order, with bloom filters on its lookup key.
 
     The range exchange puts equal leading values into few files, so statistics prune
@@ -92,4 +49,4 @@ def write_clustered(spark: SparkSession, folder: str, name: str, df: DataFrame)
     """
     order = [c for c in CLUSTERING[name] if c in df.columns]
     laid_out = df.repartitionByRange(*[F.col(c) for c in order])
-    return VersionedTable(spark, folder).write(laid_out, sort_by=order, bloom_on=LOOKUP_KEYS.get(name, ()))
+    return write_snapshot(laid_out, folder, sort_by=order, bloom_on=LOOKUP_KEYS.get(name, ()))

@@ -13,36 +13,44 @@ def consume(stream: DataFrame, target: str, checkpoint: str) -> None:
     run_available(stream.writeStream.format("parquet").option("path", target), checkpoint)
 
 
-def dedup(stream: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """First copy of each event id; state is dropped once the watermark passes."""
-    return stream.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["event_id"])
+def dedup(stream: DataFrame, target: str, checkpoint: str) -> None:
+    """Appends the first copy of each event id, however the copies fall into batches.
+
+    Copies of an event carry its time, so a batch is compared with the written days that
+    it touches and with no others.  No row is dropped for being late, and a replayed
+    batch compares itself with the batches before it and rewrites its own folder.
+    """
+    spark = stream.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fresh = batch.dropDuplicates(["event_id"]).withColumn("day", F.to_date("ts"))
+        if batch_id > 0:
+            days = fresh.select("day").distinct()
+            known = spark.read.schema(f"event_id {dict(batch.dtypes)['event_id']}, batch_id bigint, day date").parquet(target)
+            known = known.filter(F.col("batch_id") < batch_id).join(days, "day", "left_semi").select("event_id")
+            fresh = fresh.join(known, "event_id", "left_anti")
+        fresh.write.mode("overwrite").partitionBy("day").parquet(f"{target}/batch_id={batch_id}")
+
+    run_available(stream.writeStream.foreachBatch(write), checkpoint)
 
 
-def split_late(stream: DataFrame, target: str, checkpoint: str, lateness_minutes: int = 10) -> None:
+def newest(spark: SparkSession, target: str):
+    """The newest event time written so far: the mark for the next run."""
+    return spark.read.parquet(target).agg(F.max("ts").alias("newest")).first()["newest"]
+
+
+def split_late(stream: DataFrame, target: str, checkpoint: str, mark=None, lateness_minutes: int = 10) -> None:
     """Writes every row with ``outcome`` on_time or late.
 
-    A row is late when it lies more than the allowed time behind the newest event
-    of the *earlier* batches.  That mark is one value per batch, kept beside the
-    data; a batch reads only the mark of the one before it, and a replayed batch
-    rewrites its own folders.
+    A row is late when it lies more than the allowed time behind ``mark``, the newest
+    event of earlier *runs*.  The caller sets it once for a run, and again when the run
+    is repeated, so the outcome does not depend on how files fall into batches.
     """
-    spark = stream.sparkSession
-    marks = f"{target}_marks"
+    late = F.lit(False) if mark is None else F.col("ts") < F.lit(mark) - F.make_dt_interval(mins=F.lit(lateness_minutes))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        mark = None
-        if batch_id > 0:
-            before = spark.read.schema("newest timestamp").parquet(f"{marks}/batch_id={batch_id - 1}")
-            mark = before.first()["newest"]
-        late = (
-            F.lit(False)
-            if mark is None
-            else F.col("ts") < F.lit(mark) - F.make_dt_interval(mins=F.lit(lateness_minutes))
-        )
-        path = f"{target}/batch_id={batch_id}"
-        batch.withColumn("outcome", F.when(late, "late").otherwise("on_time")).write.mode("overwrite").parquet(path)
-        newest = F.greatest(F.max("ts"), F.lit(mark).cast("timestamp"))
-        spark.read.parquet(path).agg(newest.alias("newest")).write.mode("overwrite").parquet(f"{marks}/batch_id={batch_id}")
+        split = batch.withColumn("outcome", F.when(late, "late").otherwise("on_time"))
+        split.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     run_available(stream.writeStream.foreachBatch(write), checkpoint)
 
@@ -65,11 +73,6 @@ def read_metrics(spark: SparkSession, target: str, keys: list[str], sums: list[s
     return spark.read.parquet(target).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def compact_metrics(spark: SparkSession, target: str, compacted: str, keys: list[str], sums: list[str]) -> None:
-    """Folds the batch folders into one summed copy for readers of a long-running stream."""
-    read_metrics(spark, target, keys, sums).write.mode("overwrite").parquet(compacted)
-
-
 def changed_keys(stream: DataFrame, keys: list[str], target: str, checkpoint: str) -> None:
     """Per batch: distinct changed keys with their change counts, written once."""
 

@@ -1,13 +1,12 @@
-"""Nudges from an event stream, with the cooldown carried between micro-batches."""
+"""Nudges from an event stream; the cooldown is applied over all micro-batches."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.functions import ntz
 from orderlens.plans import nudges
 from orderlens.plans.rules import Rule
 from orderlens.streaming.source import run_available
@@ -21,30 +20,26 @@ def run(
     target: str,
     checkpoint: str,
 ) -> None:
-    """Writes each batch's sent nudges to a folder named by the batch.
+    """Writes the nudges that each batch makes to a folder named by the batch.
 
-    What earlier batches sent is read back only as far as the longest cooldown
-    reaches behind the batch, so the cost of a batch does not grow with the age of
-    the stream.  A replayed batch reads the folders before its own and rewrites its
-    own: it sends the same nudges again under the same ids.
+    Which of them are sent is decided from event time over all batches (:func:`sent`),
+    so it does not depend on how events fall into batches or in what order they arrive.
+    Of the nudges of one key and hour only the first can ever be sent; the others are
+    dropped before they are written.  A replayed batch rewrites its own folder.
     """
-    spark = stream.sparkSession
-    longest = max(r.cooldown_hours for r in rules)
-    key = ["user_id", "nudge_type", "rule_id"]
+    key = ["user_id", "nudge_type", "rule_id", "cooldown_hours"]
 
     def step(batch: DataFrame, batch_id: int) -> None:
         events = batch.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-        known = None
-        oldest = events.agg(F.min("ts")).first()[0] if batch_id > 0 else None
-        if oldest is not None:
-            since = ntz(oldest.isoformat(sep=" ")) - F.expr(f"interval {longest} hours")
-            known = (
-                spark.read.parquet(target)
-                .filter((F.col("batch_id") < batch_id) & (F.col("generated_at") >= since))
-                .groupBy(*key)
-                .agg(F.max("generated_at").alias("last_sent_at"))
-            )
-        sent = nudges.cooldown(nudges.generate(enrich(events), rules, templates), known)
-        sent.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        made = nudges.generate(enrich(events), rules, templates)
+        names = made.columns
+        first = made.groupBy(*key, nudges.hour_number(F.col("generated_at")).alias("h")).agg(
+            F.min_by(F.struct(*names), F.struct("generated_at", "nudge_id")).alias("n"))
+        first.select("n.*").write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     run_available(stream.writeStream.foreachBatch(step), checkpoint)
+
+
+def sent(spark: SparkSession, target: str, known: DataFrame | None = None) -> DataFrame:
+    """The nudges left after the cooldown, over all batches; ``known`` is an older history."""
+    return nudges.cooldown(spark.read.parquet(target), known)

@@ -18,9 +18,9 @@ def file_stream(spark: SparkSession, path: str, schema: str, files_per_batch: in
     return reader.option("pathGlobFilter", fs_path.getName()).parquet(str(fs_path.getParent()))
 
 
-def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+def event_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """Events with a zoned event time: watermarks need TIMESTAMP, the files hold zone-free ones."""
-    raw = file_stream(spark, f"{folder}/events.parquet", BASE["events"])
+    raw = file_stream(spark, f"{folder}/events.parquet", BASE["events"], files_per_batch)
     return raw.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("value", F.col("value").cast("decimal(12,2)"))
 
 

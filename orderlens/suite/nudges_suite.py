@@ -184,15 +184,15 @@ def _(t):
 
 @query("nudge_cooldown_stream", f"{_COOL} SELECT nudge_id, user_id, rule_id, generated_at FROM r WHERE sent")
 def _(t):
-    """The same events in two arrivals; the second batch continues from what the first sent."""
+    """The same events in two arrivals, the later ones first."""
     root = run_dir(t.spark, "nudges")
     early = F.col("ts") < ntz("2024-01-15")
-    for part in (t.base("events").filter(early), t.base("events").filter(~early)):
+    for part in (t.base("events").filter(~early), t.base("events").filter(early)):
         part.write.mode("append").parquet(f"{root}/events.parquet")
         nudge_stream.run(
             event_stream(t.spark, root), lambda batch: enrich(t, batch), RULES, templates(t), f"{root}/sent", f"{root}/checkpoint"
         )
-    return t.spark.read.parquet(f"{root}/sent").select("nudge_id", "user_id", "rule_id", "generated_at")
+    return nudge_stream.sent(t.spark, f"{root}/sent").select("nudge_id", "user_id", "rule_id", "generated_at")
 
 
 @query("nudge_history", f"""

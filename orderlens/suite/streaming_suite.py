@@ -119,7 +119,7 @@ def _(t):
     root = run_dir(t.spark, "dedup")
     twice = t.base("events").unionByName(t.base("events").filter(F.col("event_type").isin("purchase", "error")))
     twice.write.parquet(f"{root}/events.parquet")
-    consume.consume(consume.dedup(event_stream(t.spark, root)), f"{root}/out", f"{root}/checkpoint")
+    consume.dedup(event_stream(t.spark, root, 1), f"{root}/out", f"{root}/checkpoint")
     return _event_rows(t.spark.read.parquet(f"{root}/out"))
 
 
@@ -189,9 +189,11 @@ def _(t):
 def _(t):
     root = run_dir(t.spark, "late")
     first = (F.col("ts") < ntz("2024-01-20")) & (F.col("event_type") != "signup")
+    mark = None
     for part in (t.base("events").filter(first), t.base("events").filter(~first)):
         part.write.mode("append").parquet(f"{root}/events.parquet")
-        consume.split_late(event_stream(t.spark, root), f"{root}/out", f"{root}/checkpoint")
+        consume.split_late(event_stream(t.spark, root, 1), f"{root}/out", f"{root}/checkpoint", mark)
+        mark = consume.newest(t.spark, f"{root}/out")
     return t.spark.read.parquet(f"{root}/out").groupBy("outcome", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -39,7 +39,7 @@ def _c360_sql(total, n):
         created_at AS customer_since, replace(tags, ',', '|') AS customer_tags, profile_score, coalesce(n_orders, 0) AS total_orders,
         coalesce({total}, 0) AS total_spent, coalesce({total} / {n}, 0) AS avg_order_value, newest AS last_order_date,
         oldest AS first_order_date, coalesce(cats, '') AS preferred_categories, coalesce(names, '') AS purchased_products,
-        age AS days_since_last_order, CASE WHEN age BETWEEN 31 AND 90 THEN 'At Risk' WHEN age < 31 THEN 'Active' ELSE 'Inactive' END AS customer_status,
+        age AS days_since_last_order, CASE WHEN age <= 30 THEN 'Active' WHEN age <= 90 THEN 'At Risk' ELSE 'Inactive' END AS customer_status,
         street, city, state, zip AS zip_code
     FROM a_customers c LEFT JOIN dated d ON d.k = c.customer_id LEFT JOIN bought b ON b.k = c.customer_id
         LEFT JOIN once o ON o.k = c.customer_id
@@ -69,7 +69,7 @@ def _sales(t, fanout=True):
 # One row per sold item of a known product and customer; modes by counting and ranking.
 _SALES = """
     WITH lines AS (SELECT *, date_trunc('month', order_date)::DATE AS m FROM a_orders JOIN a_order_items USING (order_id)
-        JOIN a_products USING (product_id) JOIN a_customers USING (customer_id) WHERE status <> 'PENDING'),
+        JOIN a_products USING (product_id) JOIN a_customers USING (customer_id) WHERE status IN ('COMPLETED', 'SHIPPED')),
     votes AS (SELECT m, 'p' AS kind, product_name AS v, count(*) AS n FROM lines GROUP BY ALL
         UNION ALL SELECT m, 'c', category, count(*) FROM lines GROUP BY ALL
         UNION ALL SELECT m, 't', customer_tier, count(*) FROM lines GROUP BY ALL),
@@ -133,16 +133,18 @@ def _(t):
 
 @query("job_monitoring", f"""
     WITH timed AS (SELECT *, date_diff('minute', created_at, coalesce(updated_at, {JOB_NOW})) AS minutes,
-        date_diff('hour', created_at, {JOB_NOW}) AS hours FROM a_jobs),
-    words AS (SELECT * FROM (VALUES ('COMPLETED', 'Success', 'Success'), ('FAILED', 'Failed (Max Retries)', 'Failed (Will Retry)'),
-        ('RUNNING', 'Long Running', 'In Progress')) v(status, when_yes, when_no))
-    SELECT job_id, job_name, job_type, j.status, created_by, created_at, updated_at,
+        date_diff('hour', created_at, {JOB_NOW}) AS hours FROM a_jobs)
+    SELECT job_id, job_name, job_type, status, created_by, created_at, updated_at,
         execution_time_seconds::DOUBLE AS execution_time_seconds, priority, retry_count, max_retries, error_message,
         minutes AS total_runtime_minutes,
-        coalesce(if(if(j.status = 'RUNNING', hours > 2, retry_count >= max_retries), when_yes, when_no), j.status) AS job_health_status,
+        CASE WHEN status = 'COMPLETED' THEN 'Success'
+            WHEN status = 'FAILED' AND retry_count >= max_retries THEN 'Failed (Max Retries)'
+            WHEN status = 'FAILED' THEN 'Failed (Will Retry)'
+            WHEN status = 'RUNNING' AND hours > 2 THEN 'Long Running'
+            WHEN status = 'RUNNING' THEN 'In Progress' ELSE status END AS job_health_status,
         report_type, date_range, NULL::VARCHAR AS output_format, schedule AS schedule_type,
         NULL::VARCHAR AS requesting_department, date_trunc('hour', created_at) AS created_hour, created_at::DATE AS created_date
-    FROM timed j LEFT JOIN words w ON w.status = j.status""")
+    FROM timed""")
 def _(t):
     return views.job_monitoring(t.jobs, JOBS_AS_OF)
 
@@ -152,7 +154,7 @@ def _dashboard(t, as_of=ORDERS_AS_OF):
 
 
 _EXEC = f"""
-    WITH o AS (SELECT *, year({TODAY}) - year(order_date) AS back, status <> 'PENDING' AS is_sold FROM a_orders),
+    WITH o AS (SELECT *, year({TODAY}) - year(order_date) AS back, status IN ('COMPLETED', 'SHIPPED') AS is_sold FROM a_orders),
     figures AS (SELECT sum(total_amount) FILTER (back = 0 AND is_sold)::DOUBLE AS ytd, sum(total_amount) FILTER (back = 1 AND is_sold)::DOUBLE AS prior,
         count(DISTINCT customer_id) FILTER (back = 0) AS buyers, count(*) FILTER (back = 0 AND is_sold) AS n FROM o),
     goods AS (SELECT count(DISTINCT product_id) AS n_sold FROM o JOIN a_order_items USING (order_id) WHERE back = 0),
@@ -179,9 +181,9 @@ _OPS = f"""
         count(*) FILTER (status = 'FAILED' AND created_at >= {JOB_NOW} - INTERVAL 1 HOUR) AS failed FROM a_jobs),
     o AS (SELECT count(*) AS n, count(*) FILTER (order_date >= {TODAY} - INTERVAL 24 HOUR) AS recent, max(order_date) AS last FROM a_orders),
     m AS (SELECT count(*) AS n, max(updated_at) AS last FROM a_sales_metrics)
-    SELECT {JOB_NOW} AS last_updated, (running * {{k}})::BIGINT AS jobs_running, (pending * {{k}})::BIGINT AS jobs_pending,
-        (retrying * {{k}})::BIGINT AS jobs_retrying, (j.recent * {{k}})::BIGINT AS jobs_last_24h,
-        (o.recent * {{kj}})::BIGINT AS orders_last_24h, j.last AS last_job_update, o.last AS last_order_created,
+    SELECT {JOB_NOW} AS last_updated, (running * {{k}})::DECIMAL(38,0) AS jobs_running, (pending * {{k}})::DECIMAL(38,0) AS jobs_pending,
+        (retrying * {{k}})::DECIMAL(38,0) AS jobs_retrying, (j.recent * {{k}})::DECIMAL(38,0) AS jobs_last_24h,
+        (o.recent * {{kj}})::DECIMAL(38,0) AS orders_last_24h, j.last AS last_job_update, o.last AS last_order_created,
         m.last AS last_metrics_update,
         CASE WHEN failed * {{k}} > 5 THEN 'UNHEALTHY' WHEN failed * {{k}} > 0 THEN 'WARNING' ELSE 'HEALTHY' END AS system_health_status
     FROM j, o, m"""

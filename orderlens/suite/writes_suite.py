@@ -20,10 +20,12 @@ _ORDER = "order_id, customer_id, order_date, total_amount::DOUBLE AS total_amoun
 
 
 @query("incremental_pull", f"""
-    SELECT {_ORDER} FROM a_orders WHERE order_date > (SELECT max(order_date) FROM a_orders WHERE order_date < DATE '2001-01-01')""")
+    WITH loaded AS (SELECT order_id, order_date FROM a_orders WHERE order_date <= DATE '2001-01-01' AND order_id % 2 = 0)
+    SELECT {_ORDER} FROM a_orders WHERE order_date >= (SELECT max(order_date) FROM loaded) AND order_id NOT IN (SELECT order_id FROM loaded)""")
 def _(t):
-    loaded = t.orders.filter(F.col("order_date") < ntz("2001-01-01"))
-    return order_columns(ingest.incremental_pull(t.orders, loaded, "order_date"))
+    """Orders that share their date with the mark arrive after it was set."""
+    loaded = t.orders.filter((F.col("order_date") <= ntz("2001-01-01")) & (F.col("order_id") % 2 == 0))
+    return order_columns(ingest.incremental_pull(t.orders, loaded, "order_date", ["order_id"]))
 
 
 @query("append_insert", """
@@ -205,9 +207,9 @@ def _(t):
 @query("snapshot_write", """
     SELECT customer_tier, count(*) AS customers, sum(lifetime_value)::DOUBLE AS lifetime_value FROM a_customers GROUP BY 1""")
 def _(t):
-    store = versions.VersionedTable(t.spark, run_dir(t.spark, "customers_snapshot"))
-    store.write(t.customers.select("customer_id", "customer_tier", "lifetime_value"), sort_by=["customer_tier"])
-    return store.read().groupBy("customer_tier").agg(
+    path = versions.write_snapshot(
+        t.customers.select("customer_id", "customer_tier", "lifetime_value"), run_dir(t.spark, "customers_snapshot"), sort_by=["customer_tier"])
+    return t.spark.read.parquet(path).groupBy("customer_tier").agg(
         F.count(F.lit(1)).alias("customers"), dbl(F.sum("lifetime_value")).alias("lifetime_value")
     )
 
@@ -233,9 +235,12 @@ def _(t):
 
 
 @query("pending_job_feed", f"""
-    SELECT job_id, job_type, priority, created_at FROM a_jobs WHERE status = 'PENDING' AND created_at >= TIMESTAMP '2024-01-20'""")
+    SELECT job_id, job_type, priority, created_at FROM a_jobs
+    WHERE status = 'PENDING' AND (created_at >= TIMESTAMP '2024-01-20' OR job_id % 3 = 0)""")
 def _(t):
-    before = t.jobs.filter(F.col("created_at") < ntz("2024-01-20"))
+    """Of the older jobs, every third pending one had failed before a retry set it back."""
+    retried = (F.col("status") == "PENDING") & (F.col("job_id") % 3 == 0)
+    before = t.jobs.filter(F.col("created_at") < ntz("2024-01-20")).withColumn("status", F.when(retried, "FAILED").otherwise(F.col("status")))
     columns = ["job_id", "job_type", "status", "priority", "created_at"]
     feed = changes.change_feed(before.select(*columns), t.jobs.select(*columns), ["job_id"])
     return job_plans.pending_inserts(feed).select("job_id", "job_type", "priority", "created_at")

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from orderlens.operators import ranking
 from orderlens.operators.ranking import rank_desc
 from orderlens.operators.timeline import asof_latest, with_history
 from orderlens.streaming import limits, windows
@@ -29,11 +30,11 @@ def values(spark):
 
 @pytest.mark.parametrize("within", [[], ["g"]])
 @pytest.mark.parametrize("kind", ["bigint", "decimal(18,2)", "double"])
-def test_bucketed_rank_equals_window_rank(values, within, kind):
+def test_bucketed_rank_equals_window_rank(values, within, kind, monkeypatch):
     df = values.withColumn("v", F.col("v").cast(kind))
     want = df.withColumn("r", F.rank().over(Window.partitionBy(*within).orderBy(F.col("v").desc_nulls_first())).cast("bigint"))
-    assert same(rank_desc(df, "v", "r", within, buckets=16), want)
-    assert same(rank_desc(df, "v", "r", within, rows=900, one_task_rows=10), want)
+    assert same(rank_desc(df, "v", "r", within), want)
+    monkeypatch.setattr(ranking, "BUCKET_ROWS", 60)
     assert same(rank_desc(df, "v", "r", within, rows=900), want)
 
 

@@ -92,11 +92,6 @@ def test_validity_interval_and_inactive_rules(events):
     assert log == {1: "SUCCESS", 2: "SUCCESS", 3: "FAILED"}
 
 
-def test_configuration_has_a_size_limit(spark):
-    with pytest.raises(ValueError):
-        rules.config_frame(spark, [(i,) for i in range(rules.CONFIG_LIMIT + 1)], "i int")
-
-
 def test_generation_fills_the_newest_template(spark, events):
     rule = Rule("r", "click", leaf("GREATER_THAN", "user_id", 0), channels=("PUSH", "SMS"), template_id="t")
     texts = spark.createDataFrame(

@@ -69,17 +69,18 @@ def test_replayed_metric_batch_does_not_count_twice(spark, folder, tmp_path):
     run("b")  # a lost checkpoint replays batch 0 into the same folder
     total = consume.read_metrics(spark, str(tmp_path / "out"), ["event_type"], ["n"]).agg(F.sum("n")).first()[0]
     assert total == 300
-    consume.compact_metrics(spark, str(tmp_path / "out"), str(tmp_path / "small"), ["event_type"], ["n"])
-    assert spark.read.parquet(str(tmp_path / "small")).agg(F.sum("n")).first()[0] == 300
 
 
-def test_late_rows_go_aside(spark, tmp_path):
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_late_rows_go_aside(spark, tmp_path, files_per_batch):
     at = datetime(2024, 1, 1, 12)
     ddl = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
     row = lambda i, minutes: (i, at + timedelta(minutes=minutes), 1, "view", 1.0, "{}")
-    for rows in ([row(1, 0), row(2, -60)], [row(3, -10), row(4, -11), row(5, 30)]):
-        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
-        consume.split_late(event_stream(spark, str(tmp_path)), str(tmp_path / "out"), str(tmp_path / "check"))
+    mark = None
+    for rows in ([row(1, 0), row(2, -60)], [row(5, 30), row(3, -10), row(4, -11)]):
+        spark.createDataFrame(rows, ddl).repartition(3).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+        consume.split_late(event_stream(spark, str(tmp_path), files_per_batch), str(tmp_path / "out"), str(tmp_path / "check"), mark)
+        mark = consume.newest(spark, str(tmp_path / "out"))
     got = {r.event_id: r.outcome for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {1: "on_time", 2: "on_time", 3: "on_time", 4: "late", 5: "on_time"}
 
@@ -121,3 +122,30 @@ def test_replayed_nudge_batch_sends_the_same(spark, folder, tmp_path):
     first = sent()
     run("b")  # the checkpoint is lost after the nudges were written
     assert sent() == first and first
+
+
+def _shuffled(spark, folder, tmp_path):
+    """The events twice, in eight files without order."""
+    df = spark.read.parquet(f"{folder}/events.parquet")
+    df.unionByName(df).orderBy(F.xxhash64("event_id", F.rand(3))).repartition(8).write.parquet(str(tmp_path / "mixed" / "events.parquet"))
+    return str(tmp_path / "mixed")
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_dedup_does_not_depend_on_batches(spark, folder, tmp_path, files_per_batch):
+    mixed = _shuffled(spark, folder, tmp_path)
+    consume.dedup(event_stream(spark, mixed, files_per_batch), str(tmp_path / "out"), str(tmp_path / "check"))
+    got = spark.read.parquet(str(tmp_path / "out")).select("event_id")
+    assert same(got, static(spark, folder).select("event_id"))
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_cooldown_does_not_depend_on_batches(spark, folder, tmp_path, files_per_batch):
+    rule = rules.Rule("r", "view", {"operator": "GREATER_THAN", "field": "value", "value": 0}, template_id="t", cooldown_hours=3)
+    texts = spark.createDataFrame([("t", "hello {user}", "en", 1)], "template_id string, content_template string, locale string, version int")
+    prepare = lambda df: df.withColumns({"locale": F.lit("en"), "customer_tier": F.lit("STANDARD"), "k": F.lit(1)})
+    mixed = _shuffled(spark, folder, tmp_path)
+    nudge_stream.run(event_stream(spark, mixed, files_per_batch), prepare, [rule], texts, str(tmp_path / "made"), str(tmp_path / "check"))
+    got = nudge_stream.sent(spark, str(tmp_path / "made")).select("nudge_id")
+    want = nudges.cooldown(nudges.generate(prepare(static(spark, folder)), [rule], texts)).select("nudge_id")
+    assert want.count() and same(got, want)
