@@ -10,7 +10,8 @@ a conversation with a third of all lines is spread over many blocks.  Viterbi is
 associative over (max, +) matrices: a block sends the 7 x 6 matrix of the conversations
 that it shares with its neighbours; per conversation (as many rows as blocks) the best
 states at the block borders are fixed; each block then decodes its lines between them.
-The result is that of one pass over the whole conversation.
+The result is that of one pass over the whole conversation, but for readings that are
+equally likely, of which the cut may favour another.
 
 Defined results: a NULL text is one blank line; lines with a NULL conversation are one
 conversation; NULL turns sort first; lines that tie in all columns are adjacent in

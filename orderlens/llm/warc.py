@@ -46,9 +46,8 @@ RECORD = (
 )
 
 
-def sha1_base32(payload: Column) -> Column:
-    """Upper-case base32 of SHA-1: eight groups of five hexadecimal digits, four characters each."""
-    digits = F.sha1(payload)
+def base32(digits: Column) -> Column:
+    """Upper-case base32 of 40 hexadecimal digits: eight groups of five digits, four characters each."""
     out = []
     for g in range(8):
         value = F.conv(F.substring(digits, 5 * g + 1, 5), 16, 10).cast("int")
@@ -57,41 +56,46 @@ def sha1_base32(payload: Column) -> Column:
 
 
 def dedup_payloads(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 0) -> DataFrame:
-    """(page_id, url, payload, digest, refers_to, is_response): revisits point to the smallest id of equal payloads.
+    """(page_id, url, payload, sha1, refers_to, is_response): revisits point to the smallest id of equal payloads.
 
-    Payloads under ``min_bytes`` are all responses.
+    Payloads under ``min_bytes`` are all responses.  Only payloads that occur twice or more
+    are looked up, one row each, so payloads stay where they are read while those are few.
     """
     rows = pages.select(
         F.col(id_col).alias("page_id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"),
-    ).withColumn("digest", sha1_base32(F.col("payload").cast("binary")))
-    order = F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id").alias("id"), F.col("url").alias("at"))
-    light = rows.groupBy("digest", "page_id", "url").agg(F.count("*").alias("copies"))
-    first = light.groupBy("digest").agg(F.min(order).alias("first"))
-    known = light.join(first, "digest").select(F.col("digest").alias("d"), F.col("page_id").alias("p"), F.col("url").alias("u"), "copies", "first")
-    same = (rows.digest == known.d) & rows.page_id.eqNullSafe(known.p) & (rows.url == known.u)
-    joined = rows.join(known, same).drop("d", "p", "u")
-    many = joined.filter("copies > 1").dropDuplicates(["digest", "page_id", "url"]).withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    each = joined.filter("copies = 1").withColumn("nth", F.lit(1)).unionByName(many)
-    is_first = (F.col("nth") == 1) & (F.struct(F.col("page_id").isNull(), F.col("page_id"), F.col("url")) == F.struct("first.none", "first.id", "first.at"))
-    is_first = F.coalesce(is_first, F.col("page_id").isNull() & F.col("first.none") & (F.col("nth") == 1) & (F.col("url") == F.col("first.at")))
-    response = is_first | (F.octet_length("payload") < min_bytes)
-    return each.select("page_id", "url", "payload", "digest", F.when(~response, F.col("first.id")).alias("refers_to"), response.alias("is_response"))
+    ).withColumn("sha1", F.sha1(F.col("payload").cast("binary")))
+    light = rows.groupBy("sha1", "page_id", "url").agg(F.count("*").alias("copies"))
+    order = F.struct(F.col("page_id").isNull(), F.col("page_id"), F.col("url"))
+    first = light.groupBy("sha1").agg(
+        F.sum("copies").alias("pages"), F.min_by(F.struct("page_id", "url", "copies"), order).alias("first")).filter("pages > 1")
+    first = written(first.select(F.col("sha1").alias("key"), "first"), "warc_repeated")
+    joined = rows.join(first, rows.sha1 == first.key, "left")
+    is_first = F.col("page_id").eqNullSafe(F.col("first.page_id")) & (F.col("url") == F.col("first.url"))
+    joined = joined.withColumn("is_response", F.col("key").isNull() | is_first | (F.octet_length("payload") < min_bytes))
+    if not first.filter("first.copies > 1").isEmpty():
+        # Rows that repeat id, url and payload of a first one: one of them is the response.
+        again = F.coalesce(is_first & (F.col("first.copies") > 1) & (F.octet_length("payload") >= min_bytes), F.lit(False))
+        nth = F.explode(F.sequence(F.lit(1), F.col("first.copies").cast("int")))
+        copies = joined.filter(again).dropDuplicates(["sha1"]).withColumn("nth", nth)
+        joined = joined.filter(~again).unionByName(copies.withColumn("is_response", F.col("nth") == 1).drop("nth"))
+    return joined.select("page_id", "url", "payload", "sha1", F.when(~F.col("is_response"), F.col("first.page_id")).alias("refers_to"), "is_response")
 
 
 def record(date: str) -> Column:
     """One WARC record as text, without the blank lines behind it."""
     urn = lambda c: F.concat(F.lit("<urn:x-page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
     uri = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
-    size = F.octet_length("payload").cast("string")
-    http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), size, F.lit("\r\n\r\n"))
-    block = F.concat(http, F.when(F.col("is_response"), F.col("payload")).otherwise(F.lit("")))
+    http = F.concat(
+        F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length("payload").cast("string"), F.lit("\r\n\r\n"))
+    size = F.octet_length(http) + F.when(F.col("is_response"), F.octet_length("payload")).otherwise(0)
     kind = F.when(F.col("is_response"), F.lit("WARC-Type: response\r\n")).otherwise(F.concat(
         F.lit("WARC-Type: revisit\r\nWARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest\r\nWARC-Refers-To: "),
         urn(F.col("refers_to")), F.lit("\r\n")))
     return F.concat(
         F.lit(MAGIC.decode()), kind, F.lit("WARC-Record-ID: "), urn(F.col("page_id")), F.lit("\r\nWARC-Target-URI: "), uri,
-        F.lit(f"\r\nWARC-Date: {date}\r\nWARC-Payload-Digest: sha1:"), F.col("digest"),
-        F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length(block).cast("string"), F.lit("\r\n\r\n"), block,
+        F.lit(f"\r\nWARC-Date: {date}\r\nWARC-Payload-Digest: sha1:"), base32(F.col("sha1")),
+        F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), size.cast("string"), F.lit("\r\n\r\n"),
+        http, F.when(F.col("is_response"), F.col("payload")).otherwise(F.lit("")),
     )
 
 
@@ -243,6 +247,8 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 
     # Pieces of records that hold the magic; usually a small table, so that the bytes stay where they are read.
     rest = written(plan.filter("pieces > 1 OR off <> owner").select("file", "split", "seq", "off", "owner"), "warc_pieces")
+    if rest.isEmpty():
+        return simple
     parts = _numbered(_lines(spark, path)).join(rest, ["file", "split", "seq"]).select("file", "owner", "off", "raw")
     return simple.unionByName(parts.groupBy("file", "owner").applyInArrow(join_up, RECORD))
 
