@@ -153,22 +153,38 @@ def forest(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def links(distinct: DataFrame, radius: int = 3, group_rows: int = 100_000) -> DataFrame:
-    """(a, b): spanning edges between the distinct fingerprints of column ``fp``."""
+    """(a, b): spanning edges between the distinct fingerprints of column ``fp``.
+
+    A group of more than four times ``group_rows`` (many fingerprints with one band value)
+    is split by the same rule: its links agree in one of ``radius + 1`` parts of the
+    other bits too.
+    """
     bands = radius + 1
-    width = 64 // bands
+    width, narrow = 64 // bands, (64 - 64 // bands) // bands
     spark = distinct.sparkSession
     n = distinct.count()
     per_band = max(int(spark.conf.get("spark.sql.shuffle.partitions")) // bands, -(-n // group_rows), 1)
     per_band = min(per_band, 1 << width)
-    band = F.explode(F.array([F.lit(k) for k in range(bands)])).alias("band")
-    value = F.expr(f"shiftrightunsigned(fp, band * {width}) & {(1 << width) - 1}")
-    group = (F.col("band") * per_band + F.pmod(F.xxhash64(value), F.lit(per_band))).alias("grp")
+    numbers = F.array([F.lit(k) for k in range(bands)])
+    turned = F.expr(f"shiftrightunsigned(fp, band * {width}) | shiftleft(fp, 64 - band * {width})")
+    value = F.expr(f"turned & {(1 << width) - 1}")
+    part = F.expr(f"shiftrightunsigned(turned, {width} + part * {narrow}) & {(1 << narrow) - 1}")
+    keyed = (
+        distinct.select("fp", F.explode(numbers).alias("band")).withColumn("turned", turned)
+        .withColumn("grp", F.col("band") * per_band + F.pmod(F.xxhash64(value), F.lit(per_band)))
+    )
+    large = written(keyed.groupBy("grp").count().filter(F.col("count") > 4 * group_rows).select(F.col("grp").alias("large")), "large_groups")
+    dealt = (
+        keyed.join(large, keyed.grp == large.large, "left")
+        .withColumn("part", F.explode(F.when(F.col("large").isNull(), F.array(F.lit(-1))).otherwise(numbers)))
+        .select("fp", "grp", F.when(F.col("part") >= 0, F.xxhash64("part", value, part)).alias("sub"))
+    )
 
     def search(table: pa.Table) -> pa.Table:
         a, b = forest(table.column("fp").to_numpy().view(np.uint64), radius)
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
-    return distinct.select("fp", band).select("fp", group).groupBy("grp").applyInArrow(search, "a long, b long").distinct()
+    return dealt.groupBy("grp", "sub").applyInArrow(search, "a long, b long").distinct()
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:

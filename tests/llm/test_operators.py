@@ -136,6 +136,23 @@ def test_links_join_chains_across_groups(spark):
     assert roots.select("root").distinct().count() == 1
 
 
+def test_links_in_a_band_value_that_many_share(spark):
+    rng = np.random.default_rng(7)
+    base = (rng.integers(0, 1 << 47, 120, dtype=np.uint64) << np.uint64(16)) | np.uint64(0xBEEF)
+    near = [int(b) ^ (1 << int(k)) ^ (1 << int(m)) for b in base[:60] for k, m in [rng.integers(0, 64, 2)]]
+    fps = sorted({*map(int, base), *near})
+    df = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fps], "fp long")
+    got = simhash.components(simhash.links(df, 3, group_rows=5)).collect()
+    sets = []
+    for x in fps:
+        joined = [c for c in sets if any((x ^ y).bit_count() <= 3 for y in c)]
+        sets = [c for c in sets if c not in joined] + [{x}.union(*joined)]
+    found = {}
+    for r in got:
+        found.setdefault(r.root, set()).add(r.node % (1 << 64))
+    assert sorted(map(sorted, found.values())) == sorted(sorted(c) for c in sets if len(c) > 1)
+
+
 @pytest.fixture(scope="module")
 def coder():
     P = pytest.importorskip("public_tokenizers")
