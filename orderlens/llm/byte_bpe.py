@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlens.llm.common import adding, slices, without
 
 MEMO = 400_000  # pieces and token pairs remembered by a worker before it starts anew
+PIECE = 256  # characters of the longest piece that is remembered
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -39,13 +40,15 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class _Memo(dict):
-    """Values made on first use; emptied when full."""
+    """Values made on first use; emptied when full.  Longer keys than ``widest`` are not kept."""
 
-    def __init__(self, make, most=MEMO):
+    def __init__(self, make, most=MEMO, widest=None):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.widest = make, most, widest
 
     def __missing__(self, key):
+        if self.widest is not None and len(key) > self.widest:
+            return self.make(key)
         if len(self) >= self.most:
             self.clear()
         value = self[key] = self.make(key)
@@ -94,7 +97,7 @@ class Encoder:
         self.split = regex.compile(pattern).findall
         self.valid = _Memo(lambda p: self.whole[p[1]] and self.merged(self.bytes_of[p[0]] + self.bytes_of[p[1]]) == [*p])
         self.whole = _Memo(lambda t: self.merged(self.bytes_of[t]) == [t])
-        self.pieces = _Memo(self._piece)
+        self.pieces = _Memo(self._piece, widest=PIECE)
 
     def merged(self, data: bytes) -> list[int]:
         """Plain BPE: the neighbours with the lowest joint rank are merged until none is left."""
@@ -114,6 +117,7 @@ class Encoder:
         return (token,) if token is not None else tuple(PrefixTable(self, data).tokens())
 
     def encode(self, text: str) -> list[int]:
+        """Ids of a text; longer pieces than ``PIECE`` are encoded each time, so that the memo is bounded in bytes."""
         return list(itertools.chain.from_iterable(map(self.pieces.__getitem__, self.split(text))))
 
     def decode(self, ids) -> bytes:
