@@ -180,17 +180,31 @@ _RETENTION = " UNION ALL ".join(
 )
 
 
+def _expired(name):
+    expired = F.col(_KEEP[name]) < ntz(JOBS_AS_OF) - F.expr("interval 7 days")
+    return expired & F.col("resolved") if name == "task_errors" else expired
+
+
+@query("retention_tables", " UNION ALL ".join(
+    f"""SELECT '{n}' AS table_name, {c} AS at FROM a_{n}
+        WHERE ({c} < {NOW} - INTERVAL 7 DAY{' AND resolved' if n == 'task_errors' else ''}) IS NOT TRUE"""
+    for n, c in _KEEP.items()
+))
+def _(t):
+    """The five tables as they are after the deletes, read back from their new snapshots."""
+    rows = None
+    for name, ts in _KEEP.items():
+        path, _ = retention.rewrite(getattr(t, name), _expired(name), run_dir(t.spark, f"kept_{name}"))
+        part = t.spark.read.parquet(path).select(F.lit(name).alias("table_name"), F.col(ts).alias("at"))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
 @query("retention_cleanup", f"""
     WITH r AS ({_RETENTION}) SELECT * FROM r
     UNION ALL SELECT 'TOTAL', sum(deleted_rows)::BIGINT, sum(kept_rows)::BIGINT FROM r""")
 def _(t):
-    before = ntz(JOBS_AS_OF) - F.expr("interval 7 days")
-    tables = {}
-    for name, ts in _KEEP.items():
-        expired = F.col(ts) < before
-        if name == "task_errors":
-            expired = expired & F.col("resolved")
-        tables[name] = (getattr(t, name), expired)
+    tables = {name: (getattr(t, name), _expired(name)) for name in _KEEP}
     return retention.retention_report(tables)
 
 
@@ -204,6 +218,17 @@ def _(t):
     return both.select("part", "metric_id", "metric_timestamp")
 
 
+@query("archive_delete", f"""
+    SELECT CASE WHEN metric_timestamp < {NOW} - INTERVAL 15 DAY THEN 'archive' ELSE 'table' END AS place, metric_id, metric_timestamp FROM a_system_metrics""")
+def _(t):
+    """Both snapshots of an archive-then-delete run, read back."""
+    expired = F.col("metric_timestamp") < ntz(JOBS_AS_OF) - F.expr("interval 15 days")
+    kept, archived = retention.rewrite(
+        t.system_metrics, expired, run_dir(t.spark, "metrics_kept"), run_dir(t.spark, "metrics_archive"))
+    parts = [t.spark.read.parquet(p).withColumn("place", F.lit(k)) for k, p in (("table", kept), ("archive", archived))]
+    return parts[0].unionByName(parts[1]).select("place", "metric_id", "metric_timestamp")
+
+
 @query("snapshot_write", """
     SELECT customer_tier, count(*) AS customers, sum(lifetime_value)::DOUBLE AS lifetime_value FROM a_customers GROUP BY 1""")
 def _(t):

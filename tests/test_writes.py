@@ -156,3 +156,12 @@ def test_null_keys_make_no_false_changes(spark):
 def test_rows_that_tie_with_the_mark_are_pulled(spark):
     source = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-02"), (4, "2024-01-03")], "k int, d string").selectExpr("k", "cast(d as timestamp_ntz) as d")
     assert sorted(r.k for r in ingest.incremental_pull(source, source.filter("k <= 2"), "d", ["k"]).collect()) == [3, 4]
+
+
+def test_rewrite_archives_and_keeps_every_row_once(spark, tmp_path):
+    df = frame(spark, {1: ("a", 1), 2: ("b", None), 3: (None, 3), 4: ("a", 0)})
+    kept, archived = retention.rewrite(df, F.col("n") > 0, str(tmp_path / "kept"), str(tmp_path / "archive"))
+    assert as_dict(spark.read.parquet(kept)) == {2: ("b", None), 4: ("a", 0)}
+    assert as_dict(spark.read.parquet(archived)) == {1: ("a", 1), 3: (None, 3)}
+    again, none = retention.rewrite(spark.read.parquet(kept), F.lit(False), str(tmp_path / "kept"))
+    assert again != kept and none is None and spark.read.parquet(kept).count() == spark.read.parquet(again).count() == 2
