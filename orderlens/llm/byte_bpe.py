@@ -8,7 +8,8 @@ prefix.  It makes appending exact and cheap (the table of the old bytes stays),
 an edit only the pieces around it are encoded again, until piece boundaries coincide.
 
 In Spark this is a map over documents: nothing is shuffled, the rank table (about 50,000
-entries) is broadcast, and each Python worker keeps a bounded memo of pieces.
+entries) is broadcast, and each Python worker keeps a bounded memo of pieces.  The tokens
+that end at a byte come from an Aho-Corasick automaton over the vocabulary.
 
 Defined results: a NULL text is empty and has no tokens; equal rows have equal results;
 columns named like an output are replaced, all others are passed on.  A piece that is a
@@ -20,7 +21,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
+from array import array
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.llm.common import adding, slices, without
 
-MEMO = 400_000  # pieces and token pairs remembered by a worker before it starts anew
+MEMO = 200_000  # pieces, and token pairs, of one generation that a worker remembers
 PIECE = 256  # characters of the longest piece that is remembered
 
 
@@ -40,18 +43,25 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class _Memo(dict):
-    """Values made on first use; emptied when full.  Longer keys than ``widest`` are not kept."""
+    """Values made on first use, in two generations: what is used again outlives a full one.
+
+    Longer keys than ``widest`` are not kept.
+    """
 
     def __init__(self, make, most=MEMO, widest=None):
         super().__init__()
-        self.make, self.most, self.widest = make, most, widest
+        self.make, self.most, self.widest, self.old = make, most, widest, {}
 
     def __missing__(self, key):
         if self.widest is not None and len(key) > self.widest:
             return self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 
@@ -60,32 +70,30 @@ class PrefixTable:
 
     def __init__(self, coder: "Encoder", piece: bytes = b""):
         self.coder, self.piece = coder, b""
-        self.last, self.start = [-1], [0]
+        self.last = [-1]
         self.append(piece)
 
     def append(self, more: bytes) -> None:
         """Extends the table; what it holds stays valid."""
         begin = len(self.piece)
         self.piece += more
-        piece, last, start, coder = self.piece, self.last, self.start, self.coder
-        ranks, valid, whole, longest = coder.ranks, coder.valid, coder.whole, coder.longest
-        for end in range(begin + 1, len(piece) + 1):
-            for s in range(max(0, end - longest), end):  # longest candidate first
-                token = ranks.get(piece[s:end])
-                if token is None:
-                    continue
-                before = last[s]
+        last, valid, whole = self.last, self.coder.valid, self.coder.whole
+        skip = max(0, begin + 1 - self.coder.longest)  # a token that ends behind ``begin`` starts here or later
+        done = begin
+        for at, (token, n) in self.coder.ending.iter(self.piece[skip:].decode("latin-1")):  # longest first at each end
+            end = skip + at + 1
+            if end > done:
+                before = last[end - n]
                 if valid[before, token] if before >= 0 else whole[token]:
                     last.append(token)
-                    start.append(s)
-                    break
+                    done = end
 
     def tokens(self, end: int | None = None) -> list[int]:
         """Tokens of the first ``end`` bytes."""
-        end, out = len(self.piece) if end is None else end, []
+        end, out, length = len(self.piece) if end is None else end, [], self.coder.length
         while end:
             out.append(self.last[end])
-            end = self.start[end]
+            end -= length[out[-1]]
         return out[::-1]
 
 
@@ -93,16 +101,22 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.bytes_of = {r: b for b, r in ranks.items()}
+        self.length = {r: len(b) for b, r in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
+        self.ending = ahocorasick.Automaton()
+        for data, rank in ranks.items():
+            self.ending.add_word(data.decode("latin-1"), (rank, len(data)))
+        self.ending.make_automaton()
         self.split = regex.compile(pattern).findall
-        self.valid = _Memo(lambda p: self.whole[p[1]] and self.merged(self.bytes_of[p[0]] + self.bytes_of[p[1]]) == [*p])
+        self.valid = _Memo(self._valid)
         self.whole = _Memo(lambda t: self.merged(self.bytes_of[t]) == [t])
+        self.halves = _Memo(lambda t: tuple(self.merged(self.bytes_of[t], 2)))
         self.pieces = _Memo(self._piece, widest=PIECE)
 
-    def merged(self, data: bytes) -> list[int]:
-        """Plain BPE: the neighbours with the lowest joint rank are merged until none is left."""
+    def merged(self, data: bytes, least: int = 1) -> list[int]:
+        """Plain BPE: the neighbours with the lowest joint rank are merged until none, or ``least`` parts, are left."""
         parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
+        while len(parts) > least:
             ranked = [(self.ranks.get(a + b), i) for i, (a, b) in enumerate(itertools.pairwise(parts))]
             best = min((r for r in ranked if r[0] is not None), default=None)
             if best is None:
@@ -111,14 +125,43 @@ class Encoder:
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
         return [self.ranks[p] for p in parts]
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
+    def _valid(self, pair: tuple[int, int]) -> bool:
+        """Whether BPE of the joint bytes keeps both tokens: no merge across their border comes first.
+
+        The merges beside the border are undone, latest first (of equal ranks the right one,
+        as BPE works from the left).  What then meets at the border must not join before
+        the merge just undone.
+        """
+        a, b = pair
+        if not (self.whole[a] and self.whole[b]):
+            return False
+        data, length, x, y, before = self.bytes_of, self.length, a, b, float("inf")
+        while True:
+            if self.ranks.get(data[x] + data[y], before) < before:
+                return False
+            left = length[x] > 1 and (length[y] == 1 or x > y)
+            if not left and length[y] == 1:
+                return True
+            undone = x if left else y
+            halves = self.halves[undone]
+            if any(length[h] > 1 and h > undone for h in halves):  # no trained order of merges: tried out
+                return self.merged(data[a] + data[b]) == [a, b]
+            if left:
+                x, before = halves[1], undone
+            else:
+                y, before = halves[0], undone + 1
+
+    def _piece(self, piece: str) -> bytes:
         data = piece.encode()
         token = self.ranks.get(data)
-        return (token,) if token is not None else tuple(PrefixTable(self, data).tokens())
+        return array("i", [token] if token is not None else PrefixTable(self, data).tokens()).tobytes()
+
+    def packed(self, pieces: list[str]) -> np.ndarray:
+        """Ids of pieces; longer ones than ``PIECE`` are encoded each time, so that the memo is bounded in bytes."""
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces)), np.int32)
 
     def encode(self, text: str) -> list[int]:
-        """Ids of a text; longer pieces than ``PIECE`` are encoded each time, so that the memo is bounded in bytes."""
-        return list(itertools.chain.from_iterable(map(self.pieces.__getitem__, self.split(text))))
+        return self.packed(self.split(text)).tolist()
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -135,7 +178,7 @@ class Encoded:
 
     @property
     def ids(self) -> list[int]:
-        return list(itertools.chain.from_iterable(self.coder.pieces[p] for p in self.pieces))
+        return self.coder.packed(self.pieces).tolist()
 
     def append(self, more: str) -> None:
         self.replace(len(self.text), len(self.text), more)
@@ -185,7 +228,7 @@ def encode(docs: DataFrame, ranks: Broadcast, pattern: str, text_col: str = "tex
     def run(batches):
         coder = _coder(ranks, pattern)
         for batch in (part for b in batches for part in slices(b, text_col)):
-            ids = [np.array(coder.encode(t or ""), np.int32) for t in batch.column(text_col).to_pylist()]
+            ids = [coder.packed(coder.split(t or "")) for t in batch.column(text_col).to_pylist()]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids))
             offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
             values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
