@@ -1,13 +1,14 @@
 """Rules compiled to column expressions.
 
 A rule set is configuration: it is compiled once on the driver into one boolean
-Column per rule, so evaluating any number of events is a projection inside
-whole-stage code generation, with no join and no Python per row.
+Column per rule, so evaluating any number of events is a projection, with no join and
+no Python per row.  Rules are grouped by event type: an event is tested by the rules of
+its own type only.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,8 +39,6 @@ class Rule:
     audience: tuple[str, ...] = field(default=("STANDARD", "PREMIUM", "ENTERPRISE"))
 
 
-
-
 def compile_tree(node: Mapping, fields: Mapping[str, Column]) -> Column:
     """A JSON condition tree: AND, OR, EQUALS, GREATER_THAN, CONTAINS; unknown operators raise."""
     operator = node.get("operator")
@@ -111,15 +110,21 @@ def compile_rule(rule: Rule, fields: Mapping[str, Column]) -> Column:
     return compile_rows(rule.conditions, fields)
 
 
-def applies(rule: Rule, event_type: Column, ts: Column) -> Column:
-    """Active, for this event type, and in force at the event's time."""
-    if not rule.is_active:
-        return F.lit(False)
-    return (
-        (event_type == rule.event_type)
-        & (ts >= ntz(rule.effective_from))
-        & (ts < ntz(rule.effective_to))
-    )
+def in_force(rule: Rule, ts: Column) -> Column:
+    """In force at the event's time."""
+    return (ts >= ntz(rule.effective_from)) & (ts < ntz(rule.effective_to))
+
+
+def by_type(rules: Sequence[Rule], test: Callable[[int, Rule], Column]) -> Column:
+    """The non-NULL tests of the active rules for the event's type, as an array; NULL where the type has none."""
+    groups: dict[str, list[Column]] = {}
+    for i, rule in enumerate(rules):
+        if rule.is_active:
+            groups.setdefault(rule.event_type, []).append(test(i, rule))
+    out = F.when(F.lit(False), F.array(*[test(i, r) for i, r in enumerate(rules[:1])]))  # gives the type without any active rule
+    for event_type, tests in groups.items():
+        out = out.when(F.col("event_type") == event_type, F.array_compact(F.array(*tests)))
+    return out
 
 
 def event_fields(events: DataFrame) -> dict[str, Column]:
@@ -148,45 +153,39 @@ def outcomes(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per event and rule in force, with whether the conditions hold."""
     fields = event_fields(events)
     ts = F.col("ts").cast("timestamp_ntz")
-    tests = F.array(
-        *[
-            F.when(
-                applies(r, F.col("event_type"), ts),
-                F.struct(F.lit(r.rule_id).alias("rule_id"), compile_rule(r, fields).alias("matched")),
-            )
-            for r in rules
-        ]
-    )
-    return events.withColumn("hit", F.explode(F.array_compact(tests))).select("*", "hit.*").drop("hit")
+
+    def test(_, r: Rule) -> Column:
+        return F.when(in_force(r, ts), F.struct(F.lit(r.rule_id).alias("rule_id"), compile_rule(r, fields).alias("matched")))
+
+    return events.withColumn("hit", F.explode(by_type(rules, test))).select("*", "hit.*").drop("hit")
 
 
 def matches(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row per event and matching rule; unmatched pairs are dropped before the explode."""
     fields = event_fields(events)
     ts = F.col("ts").cast("timestamp_ntz")
-    tests = F.array(
-        *[F.when(applies(r, F.col("event_type"), ts) & compile_rule(r, fields), F.lit(r.rule_id)) for r in rules]
-    )
-    return events.withColumn("rule_id", F.explode(F.array_compact(tests)))
+    found = by_type(rules, lambda _, r: F.when(in_force(r, ts) & compile_rule(r, fields), F.lit(r.rule_id)))
+    return events.withColumn("rule_id", F.explode(found))
 
 
 def hit_rates(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Evaluations and hits per rule in one pass without exploding anything."""
+    """Evaluations and hits per rule; (rule, matched) pairs are counted in each task before the shuffle."""
     fields = event_fields(events)
     ts = F.col("ts").cast("timestamp_ntz")
-    counts, rows = [], []
-    for i, r in enumerate(rules):
-        in_force = applies(r, F.col("event_type"), ts)
-        counts += [
-            F.count_if(in_force).alias(f"e{i}"),
-            F.count_if(in_force & compile_rule(r, fields)).alias(f"h{i}"),
-        ]
-        rows.append(
-            F.struct(F.lit(r.rule_id).alias("rule_id"), F.col(f"e{i}").alias("evaluations"), F.col(f"h{i}").alias("hits"))
-        )
-    one = events.agg(*counts)
+
+    def test(i: int, r: Rule) -> Column:
+        return F.when(in_force(r, ts), F.struct(F.lit(i).alias("rule_no"), compile_rule(r, fields).alias("matched")))
+
+    counted = (
+        events.select(F.inline(by_type(rules, test))).groupBy("rule_no")
+        .agg(F.count(F.lit(1)).alias("evaluations"), F.count_if("matched").alias("hits"))
+    )
+    named = config_frame(events.sparkSession, [(i, r.rule_id) for i, r in enumerate(rules)], "rule_no int, rule_id string")
+    none = F.lit(0).cast("long")
     rate = F.col("hits") / F.nullif(F.col("evaluations").cast("double"), F.lit(0.0))
-    return one.select(F.inline(F.array(*rows))).withColumn("hit_rate", rate)
+    return named.join(counted, "rule_no", "left").select(
+        "rule_id", F.coalesce("evaluations", none).alias("evaluations"), F.coalesce("hits", none).alias("hits"),
+    ).withColumn("hit_rate", rate)
 
 
 def execution_log(events: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -92,6 +92,21 @@ def test_validity_interval_and_inactive_rules(events):
     assert log == {1: "SUCCESS", 2: "SUCCESS", 3: "FAILED"}
 
 
+def test_many_rules_of_many_types_against_a_plain_evaluation(spark):
+    kinds = [f"type{i}" for i in range(20)]
+    rows = [(i, datetime(2024, 1, 1) + timedelta(hours=i), i % 7, kinds[i % 23] if i % 23 < 20 else None, i % 50) for i in range(300)]
+    events = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, k int")
+    many = [Rule(f"r{i}", kinds[i % 20], leaf("GREATER_THAN", "k", i % 60), is_active=i % 9 > 0) for i in range(1000)]
+    holds = lambda r, e: r.is_active and r.event_type == e[3]
+    want = {}
+    for r in many:
+        mine = [e for e in rows if holds(r, e)]
+        want[r.rule_id] = (len(mine), sum(e[4] > r.conditions["value"] for e in mine))
+    assert {r.rule_id: (r.evaluations, r.hits) for r in rules.hit_rates(events, many).collect()} == want
+    pairs = {(r.event_id, r.rule_id) for r in rules.matches(events, many).collect()}
+    assert pairs == {(e[0], r.rule_id) for r in many for e in rows if holds(r, e) and e[4] > r.conditions["value"]}
+
+
 def test_generation_fills_the_newest_template(spark, events):
     rule = Rule("r", "click", leaf("GREATER_THAN", "user_id", 0), channels=("PUSH", "SMS"), template_id="t")
     texts = spark.createDataFrame(
