@@ -277,6 +277,19 @@ def test_transcripts(spark):
     assert pieces == transcripts.viterbi(seen)
 
 
+def test_turns_do_not_depend_on_blocks(spark):
+    rows = [(7, i, ("user", "assistant")[i % 2], "\n".join(f"turn {i} line {k}" for k in range(1 + i % 9))) for i in range(60)]
+    rows += [(8, 0, "user", "\n".join(f"long {k}" for k in range(90))), (None, 0, "user", "lost\n\nstill here"), (None, None, "assistant", ""), (9, 0, "user", None)]
+    rows += [(7, 5, "assistant", "turn 5 twin\nmore of it"), (7, 5, "user", "turn 5 twin\nmore of it")]
+    lines = transcripts.flatten(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    whole = sorted(map(tuple, transcripts.recover_roles(lines.repartition(1), block_lines=1_000_000).collect()), key=key)
+    for block in (6, 40):
+        assert sorted(map(tuple, transcripts.recover_roles(lines, block_lines=block).collect()), key=key) == whole
+    assert all(r[-1].startswith(f"<|{r[4]}|>\n") and r[-1].endswith("<|end|>\n") and r[-1].count("<|") == 2 for r in whole)
+    (long,) = [r for r in whole if r[0] == 8]
+    assert long[-1] == f"<|{long[4]}|>\n" + "\n".join(f"long {k}" for k in range(90)) + "<|end|>\n"
+
+
 def test_empty_tables(spark, odd):
     none = odd.filter("1 = 0")
     bench = spark.createDataFrame([], "item_id long, text string")
