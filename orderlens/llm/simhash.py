@@ -14,6 +14,11 @@ row per linked fingerprint), not with all its pairs, and pairs already joined ar
 looked into.  Groups are joined by min-label propagation with pointer jumping, each
 round written to the shared folder.
 
+``drop_similar`` is for similarities that a few bits cannot hold: at a Jaccard similarity
+of 0.8 fingerprints differ in up to 14 bits or more, and ``radius + 1`` bands of 4 bits
+select nothing.  There, texts meet by bands of MinHash values, the Gray order finds the
+nearest ones in large bands, and the exact similarity of the shingles decides.
+
 Defined results: a NULL or blank text has fingerprint zero and is linked like any other;
 a NULL id never becomes a component's id unless all its ids are NULL; equal rows have
 equal results; columns named like an output are replaced, all others are passed on.
@@ -24,26 +29,32 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import adding, as_bytes, free_name, without, written
+from orderlens.llm.common import adding, as_bytes, free_name, mix, without, written
 
 FAN = 8
 PAIRS = 1 << 16  # pairs looked at together: bounds memory, not results
+#: MinHash: a pair at similarity s shares one of BANDS values with probability 1 - (1 - s ** ROWS) ** BANDS, 0.99997 at 0.8.
+BANDS, ROWS = 20, 4
+_FACTORS = np.random.default_rng(42).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: In a band value of more than SMALL texts, each is paired with its NEAREST by fingerprint among WINDOW in Gray order.
+SMALL, NEAREST, WINDOW = 16, 3, 1024
 
 
-def fingerprint(text: bytes, words_per_shingle: int = 3, seed: int = 42) -> int:
-    """Bit k is set if it is set in more than half of the shingles' XXH64 values; A-Z are lower-cased."""
-    words = text.lower().split()  # bytes.lower changes A-Z only
-    if not words:
-        return 0
-    line = b" ".join(words)
+def shingles(line: bytes, words_per_shingle: int, seed: int = 42) -> np.ndarray:
+    """XXH64 of each shingle of a line of words with one space between them."""
+    words = line.split(b" ")
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     k = min(words_per_shingle, len(words))
     starts = np.r_[0, ends[:-1] + 1][: len(words) - k + 1].tolist()
     hash_ = xxhash.xxh64_intdigest
-    h = np.fromiter((hash_(line[a:b], seed) for a, b in zip(starts, ends[k - 1:].tolist())), np.uint64, len(starts))
+    return np.fromiter((hash_(line[a:b], seed) for a, b in zip(starts, ends[k - 1:].tolist())), np.uint64, len(starts))
+
+
+def majority(h: np.ndarray) -> int:
+    """Bit k is set if it is set in more than half of the values."""
     ones = np.zeros(64, np.int64)
     for part in np.array_split(h, -(-len(h) // 8192)):
         ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -51,6 +62,12 @@ def fingerprint(text: bytes, words_per_shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
+def fingerprint(text: bytes, words_per_shingle: int = 3, seed: int = 42) -> int:
+    """Bit k is set if it is set in more than half of the shingles' XXH64 values; A-Z are lower-cased."""
+    words = text.lower().split()  # bytes.lower changes A-Z only
+    return majority(shingles(b" ".join(words), words_per_shingle, seed)) if words else 0
+
+
 def fingerprints(docs: DataFrame, text_col: str = "text", words_per_shingle: int = 3) -> DataFrame:
     """The frame with ``fp`` (the 64 bits as a signed number) in place of the text."""
     docs = without(docs, ["fp"])
@@ -225,8 +242,140 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     digest = free_name(docs, "text_digest")
     keyed = docs.withColumn(digest, F.xxhash64(F.col(text_col)))
     found = near_duplicates(keyed.select(id_col, text_col, digest), id_col, text_col, words_per_shingle, radius)
-    order = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(digest).alias("digest"))
-    keep = found.groupBy("component_root").agg(F.min(order).alias("k")).select("k.*")
-    same = F.coalesce(F.col(id_col), F.lit(0)) == F.coalesce(keep.id, F.lit(0))
-    same &= (F.col(id_col).isNull() == keep.none) & (F.col(digest) == keep.digest)
-    return keyed.join(keep, same, "left_semi").dropDuplicates([id_col, digest]).drop(digest)
+    keep = found.groupBy("component_root").agg(F.min(_first(id_col, digest)).alias("k")).select("k.*")
+    return _first_rows(keyed, keep, id_col, digest)
+
+
+def _first(id_col: str, digest: str) -> Column:
+    return F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("of"), F.col(digest).alias("digest_of"))
+
+
+def _same(keep: DataFrame, id_col: str, digest: str) -> Column:
+    same = F.coalesce(F.col(id_col), F.lit(0)) == F.coalesce(keep["of"], F.lit(0))
+    return same & (F.col(id_col).isNull() == keep["none"]) & (F.col(digest) == keep["digest_of"])
+
+
+def _first_rows(keyed: DataFrame, keep: DataFrame, id_col: str, digest: str) -> DataFrame:
+    return keyed.join(keep, _same(keep, id_col, digest), "left_semi").dropDuplicates([id_col, digest]).drop(digest)
+
+
+def minhash(h: np.ndarray) -> np.ndarray:
+    """One value per band from the distinct shingle values."""
+    least = np.full(BANDS * ROWS, ~np.uint64(0))
+    for part in np.array_split(h, -(-len(h) // 4096)):
+        least = np.minimum(least, (part[:, None] * _FACTORS).min(axis=0))
+    least, out = least.reshape(BANDS, ROWS), np.arange(BANDS, dtype=np.uint64)
+    for k in range(ROWS):
+        out = mix(out, least[:, k])
+    return out
+
+
+def sketches(docs: DataFrame, text_col: str, words_per_shingle: int) -> DataFrame:
+    """The frame with ``node`` (a hash of the words), ``fp`` and ``bands`` in place of the text."""
+
+    def run(batches):
+        for batch in batches:
+            node, fp, bands = [], [], []
+            for t in as_bytes(batch.column(text_col)):
+                line = b" ".join(t.lower().split())
+                h = shingles(line, words_per_shingle)
+                node.append(xxhash.xxh64_intdigest(line, 7))
+                fp.append(majority(h))
+                bands.append(minhash(np.unique(h)))
+            out = batch.drop_columns([text_col])
+            for name, x in (("node", node), ("fp", fp)):
+                out = out.append_column(name, pa.array(np.array(x, np.uint64).view(np.int64)))
+            flat = np.concatenate([*bands, np.zeros(0, np.uint64)]).view(np.int64)
+            yield out.append_column("bands", pa.ListArray.from_arrays(pa.array(np.arange(len(bands) + 1) * BANDS, pa.int32()), pa.array(flat)))
+
+    return docs.mapInArrow(run, adding(docs.drop(text_col), "node long, fp long, bands array<long>"))
+
+
+def nearest(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of places: each fingerprint with its nearest ones in its window of the Gray order, and with the next in that order."""
+    order = np.argsort(gray_rank(fps), kind="stable")
+    a, b = [order[:-1]], [order[1:]]
+    for begin in range(0, len(order), WINDOW // 2):
+        at = order[begin:begin + WINDOW]
+        if len(at) > NEAREST:
+            apart = np.bitwise_count(fps[at][:, None] ^ fps[at][None, :])
+            np.fill_diagonal(apart, 65)
+            a.append(np.repeat(at, NEAREST))
+            b.append(at[np.argpartition(apart, NEAREST - 1, axis=1)[:, :NEAREST]].ravel())
+    return np.concatenate(a), np.concatenate(b)
+
+
+def candidates(nodes: DataFrame, group_rows: int = 100_000) -> DataFrame:
+    """(a, b), a < b: texts that share a band value; of many that share one, those near to each other.
+
+    A band value's pairs are at most ``SMALL`` or ``2 * NEAREST + 1`` times its texts.
+    """
+    dealt = nodes.select("node", "fp", F.posexplode("bands").alias("band", "value"))
+    n = nodes.count() * BANDS
+    parts = max(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // group_rows))
+    dealt = dealt.withColumn("grp", F.pmod(F.xxhash64("value"), F.lit(parts)))
+
+    def pairs(table: pa.Table) -> pa.Table:
+        value, node = (table.column(c).to_numpy() for c in ("value", "node"))
+        order = np.lexsort((node, value))
+        value, node, fp = value[order], node[order], table.column("fp").to_numpy()[order].view(np.uint64)
+        band = table.column("band").to_numpy()[order]
+        edges = np.r_[0, np.flatnonzero(value[1:] != value[:-1]) + 1, len(value)]
+        a, b = [], []
+        for lo in np.flatnonzero(np.diff(edges) > 1).tolist():
+            x, y = int(edges[lo]), int(edges[lo + 1])
+            if y - x <= SMALL:
+                i, j = np.triu_indices(y - x, 1)
+            else:  # each band turns the bits, so that its windows differ from the others'
+                turn = np.uint64(3 * int(band[x]))
+                i, j = nearest(fp[x:y] << turn | fp[x:y] >> (np.uint64(64) - turn) if turn else fp[x:y])
+            a.append(node[x:y][i])
+            b.append(node[x:y][j])
+        a, b = (np.concatenate([*z, np.zeros(0, np.int64)]) for z in (a, b))
+        found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        return pa.table({"a": pa.array(found[:, 0]), "b": pa.array(found[:, 1])})
+
+    return dealt.groupBy("grp").applyInArrow(pairs, "a long, b long").distinct()
+
+
+def similar(texts: DataFrame, pairs: DataFrame, words_per_shingle: int, least: float) -> DataFrame:
+    """The pairs whose texts (node, text; one row for each node of a pair) have distinct shingles at a Jaccard similarity of ``least`` or more."""
+
+    def sets(batches):
+        for batch in batches:
+            packed = [np.unique(shingles(b" ".join(t.lower().split()), words_per_shingle)).tobytes() for t in as_bytes(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(packed, pa.binary())], names=["node", "s"])
+
+    def judge(batches):
+        for batch in batches:
+            good = []
+            for x, y in zip(batch.column("s"), batch.column("t")):
+                x, y = (np.frombuffer(z.as_py(), np.uint64) for z in (x, y))
+                both = len(np.intersect1d(x, y, assume_unique=True)) if least * max(len(x), len(y)) <= min(len(x), len(y)) else 0
+                good.append(both >= least * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    set_ = written(texts.mapInArrow(sets, "node long, s binary"), "shingle_sets")
+    first, second = set_.select(F.col("node").alias("a"), "s"), set_.select(F.col("node").alias("b"), F.col("s").alias("t"))
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "s", "t").mapInArrow(judge, "a long, b long")
+
+
+def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """One row of each group of texts that chains of Jaccard similarity ``least`` or more join: that with the smallest id.
+
+    NULL ids come last, then the text hash decides; rows with the same words are one text.
+    """
+    digest = free_name(docs, "text_digest")
+    keyed = docs.withColumn(digest, F.xxhash64(F.col(text_col)))
+    plain = keyed.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(digest).alias("digest"))
+    rows = sketches(plain, "text", words_per_shingle)
+    # From here on a text is one row, however many copies it has.
+    nodes = rows.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"), F.min(_first("id", "digest")).alias("k"))
+    nodes = written(nodes, "distinct_texts")
+    pairs = written(candidates(nodes), "similar_candidates")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    one = nodes.join(asked, "node", "left_semi").select("node", "k.*")
+    texts = plain.join(one, _same(one, "id", "digest")).select("node", "text").dropDuplicates(["node"])
+    roots = components(similar(texts, pairs, words_per_shingle, least), "similar")
+    found = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("k").alias("k"))
+    return _first_rows(keyed, found.select("k.*"), id_col, digest)

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from orderlens.llm import (
     byte_bpe, decontaminate, lm_scoring, quality_rules, queries, simhash, substring_dedup, toxicity, transcripts, url_reputation, warc,
 )
@@ -153,6 +154,39 @@ def test_links_in_a_band_value_that_many_share(spark):
     assert sorted(map(sorted, found.values())) == sorted(sorted(c) for c in sets if len(c) > 1)
 
 
+def jaccard_sets(rows, least=0.8):
+    sets = {}
+    for i, t in rows:
+        ws = brute.words((t or "").translate(brute.LOWER))
+        sets[i] = {tuple(ws[k:k + 5]) for k in range(max(1, len(ws) - 4))}
+    root = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if i < j and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = {x: new if r == old else r for x, r in root.items()}
+    return root
+
+
+def test_similar_texts_are_dropped_at_jaccard_080(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    rows = []
+    for k in range(60):
+        base = [word() for _ in range(rng.randint(60, 300))]
+        for _ in range(40 if k == 0 else 3):  # the first family is larger than SMALL
+            copy = list(base)
+            for _ in range(rng.randint(0, len(base) // 40)):
+                copy[rng.randrange(len(copy))] = word()
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(1000, "one two"), (1001, None), (1002, ""), (1003, "ONE  two")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = jaccard_sets(rows)
+    got = {r.doc_id for r in simhash.drop_similar(df).collect()}
+    assert got == {i for i, r in want.items() if i == r}
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == got
+
+
 @pytest.fixture(scope="module")
 def coder():
     P = pytest.importorskip("public_tokenizers")
