@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import (
-    byte_bpe, decontaminate, lm_scoring, quality_rules, simhash, substring_dedup, toxicity, transcripts, url_reputation, warc,
+    byte_bpe, decontaminate, lm_scoring, merge_bpe, quality_rules, simhash, substring_dedup, toxicity, transcripts, url_reputation, warc,
 )
 from orderlens.llm.common import read, ship
 from orderlens.session import run_dir
@@ -17,6 +17,7 @@ RULES = [
     ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
 ]
 RANKS = "byte_bpe_multi_50k.tiktoken"
+MERGES = "byte_bpe_50k.json"
 
 
 def held_out(modulus: int):
@@ -81,6 +82,15 @@ def bpe(spark: SparkSession, folder: str) -> DataFrame:
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def merges(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    shared = merge_bpe.share(spark, public_tokenizers.path(MERGES))
+    ids = merge_bpe.encode(read(spark, folder, "documents").select("doc_id", "text"), shared).drop("text")
+    hashed = ids.withColumn("ids_sha256", F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256))
+    return merge_bpe.decode(hashed, shared).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def lm(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text", held_out(7).alias("held_out"))
     scored = lm_scoring.score_texts(docs.withColumn("learn", ~F.col("held_out")), "learn")
@@ -108,6 +118,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": lm,
     "op9_quality_rules": quality,
     "op10_simhash": near_duplicates,
+    "op11_merge_bpe": merges,
 }
 
 
