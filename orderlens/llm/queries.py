@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import (
-    byte_bpe, decontaminate, lm_scoring, merge_bpe, quality_rules, simhash, substring_dedup, toxicity, transcripts, url_reputation, warc,
+    byte_bpe, decontaminate, lm_scoring, merge_bpe, quality_rules, simhash, substring_dedup, toxicity, transcripts, url_reputation, warc, whitening,
 )
 from orderlens.llm.common import read, ship
 from orderlens.session import run_dir
@@ -107,6 +107,11 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def whitened(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": urls,
     "op2_substring_dedup": substrings,
@@ -119,6 +124,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": quality,
     "op10_simhash": near_duplicates,
     "op11_merge_bpe": merges,
+    "op13_whitening": whitened,
 }
 
 
