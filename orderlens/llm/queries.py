@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import (
-    byte_bpe, decontaminate, lm_scoring, merge_bpe, quality_rules, simhash, substring_dedup, toxicity, transcripts, url_reputation, warc, whitening,
+    byte_bpe, decontaminate, dialogue_repair, lm_scoring, merge_bpe, quality_rules, simhash, substring_dedup, toxicity, transcripts,
+    url_reputation, warc, whitening,
 )
 from orderlens.llm.common import read, ship
 from orderlens.session import run_dir
@@ -107,6 +108,25 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with faults that depend on the id and the turn alone."""
+    blank = F.lit(" ")
+    named = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    kind = F.pmod(F.crc32(named), F.lit(20))
+    role, text = F.coalesce("role", blank), F.coalesce("text", blank)
+    hurt = turns.select(
+        "conv_id", "turn", kind.alias("kind"), F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+    )
+    times = F.when(F.col("kind") == 0, 0).when(F.col("kind") == 3, 2).otherwise(1)
+    return hurt.withColumn("copy", F.explode(F.array_repeat(F.lit(0), times))).select("conv_id", "turn", "role", "text")
+
+
+def conversations(spark: SparkSession, folder: str) -> DataFrame:
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return dialogue_repair.repair(damaged(turns), also=turns).summary.withColumnRenamed("digest", "repaired_sha256")
+
+
 def whitened(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
     return whitening.whiten(vectors, whitening.fit(vectors))
@@ -124,6 +144,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": quality,
     "op10_simhash": near_duplicates,
     "op11_merge_bpe": merges,
+    "op12_dialogue_repair": conversations,
     "op13_whitening": whitened,
 }
 
