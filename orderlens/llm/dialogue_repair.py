@@ -6,8 +6,8 @@ the last turn in an accepting state.  Costs are fixed: Keep 0, Rerole to user or
 Delete 2, Insert an empty user or assistant turn 5, and 5 more for a truncated turn that is
 not deleted; blank and repeated turns can only be deleted.
 
-**Auction.**  Every node has a price, at first 0, which never exceeds cost + price along an
-arc.  A path grows from an origin: where its end has an arc without slack, the path is
+**Auction.**  Every node has a price, at first the least of the layer behind it, which never exceeds
+cost + price along an arc.  A path grows from an origin: where its end has an arc without slack, the path is
 extended along it; otherwise the end's price rises to the least cost + price and the path
 contracts.  It stops at a node whose price is known to be exact.  Origins are taken from the
 last layer to the first and keep the prices, so each takes a few steps.  At the end a node's
@@ -98,6 +98,9 @@ def prices(steps: list, ends=ENDS) -> list[list[int]]:
                     price[k][state], exact[k][state] = FAR, True
             break
     for k in range(last, -1, -1):
+        # Every path passes the next layer, so its least price bounds this one's; without that, prices would climb from 0.
+        least = min(price[k + 1] if k < last else ends)
+        price[k] = [p if known else least for p, known in zip(price[k], exact[k])]
         for state in range(4):
             if exact[k][state]:
                 continue
