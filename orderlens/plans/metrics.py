@@ -93,14 +93,27 @@ def daily_metrics(
 
         orders, jobs = orders.filter(during("order_date")), jobs.filter(during("created_at"))
         items = items_of(items, orders)
-    o, j = daily_orders(orders, customers, items, fanout), daily_jobs(jobs)
-    wide = o.join(j, F.col("metric_date") == F.col("job_date"), "full_outer").withColumn(
-        "metric_date", F.coalesce("metric_date", "job_date")
-    ).drop("job_date")
+    wide = _days(daily_orders(orders, customers, items, fanout), daily_jobs(jobs))
     if dates is not None:
-        wanted = o.sparkSession.createDataFrame([(d,) for d in dates], "wanted string")
+        wanted = orders.sparkSession.createDataFrame([(d,) for d in dates], "wanted string")
         wanted = wanted.select(F.col("wanted").cast("date").alias("metric_date"))
         wide = wanted.join(wide, "metric_date", "left")
+    return _daily_columns(wide)
+
+
+def _days(figures: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Days that have orders or jobs."""
+    return figures.join(jobs, F.col("metric_date") == F.col("job_date"), "full_outer").withColumn(
+        "metric_date", F.coalesce("metric_date", "job_date")
+    ).drop("job_date")
+
+
+def daily_rows(figures: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Metric rows from figures of orders and jobs, however these were computed."""
+    return _daily_columns(_days(figures, jobs))
+
+
+def _daily_columns(wide: DataFrame) -> DataFrame:
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     return wide.select(
         "metric_date",
@@ -228,6 +241,11 @@ def customer_analytics(
     the last order over 180, at most 1, and 1 without orders.
     """
     view = customer_360(customers, orders, items, products, as_of, fanout=False, with_products=with_categories)
+    return analytics_rows(view, as_of, with_categories)
+
+
+def analytics_rows(view: DataFrame, as_of: str, with_categories: bool = True) -> DataFrame:
+    """Analytics rows from a customer's totals, however these were computed."""
     risk = F.coalesce(F.least(F.lit(1.0), F.col("days_since_last_order") / F.lit(180.0)), F.lit(1.0))
     columns = [
         "customer_id",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import dbl, ntz
 from orderlens.operators import changes
 from orderlens.plans import jobs as job_plans
-from orderlens.plans import metrics, reports
+from orderlens.plans import delta, metrics, reports
 from orderlens.session import run_dir
 from orderlens.sources.audit import write_with_audit
 from orderlens.suite.quality_suite import SUITE_SQL
@@ -179,6 +179,53 @@ def _(t):
     return metrics.refresh_daily_metrics(target, dates, t.orders, t.customers, t.order_items, t.jobs)
 
 
+# --- refreshes by delta: counts that change feeds add to and take from ---------
+
+def _yesterday(t):
+    """Orders and items before a change with inserts, updates (of amount, day and quantity) and deletes."""
+    late = (F.col("order_priority") == "1-URGENT") & (F.col("order_date") >= ntz("2001-01-01"))
+    moved = F.col("order_id") % 7 == 0
+    orders = t.orders.filter(~late).withColumns({
+        "total_amount": F.when(moved, F.col("total_amount") + 100).otherwise(F.col("total_amount")).cast("decimal(12,2)"),
+        "order_date": F.when(moved, F.col("order_date") - F.expr("interval 3 days")).otherwise(F.col("order_date")),
+    })
+    gone = lambda df: df.filter(F.col("order_id") % 11 == 0).withColumn("order_id", F.col("order_id") + 1_000_000_000)
+    items = t.order_items.filter("line_number < 6").withColumn(
+        "quantity", F.when(F.col("product_id") % 13 == 0, F.col("quantity") + 1).otherwise(F.col("quantity")))
+    return orders.unionByName(gone(t.orders)), items.unionByName(gone(t.order_items))
+
+
+def _changed(t):
+    """Yesterday's tables, their counts after adding the change feeds, and what these feeds changed."""
+    orders, items = _yesterday(t)
+    counts = delta.OrderCounts(t.spark, run_dir(t.spark, "order_counts"), buckets=8).build(orders, items)
+    feeds = changes.change_feed(orders, t.orders, ["order_id"]), changes.row_feed(items, t.order_items)
+    return orders, items, counts, counts.apply(*feeds, batch=1)
+
+
+@query("daily_metrics_delta", _ALL_DAYS)
+def _(t):
+    orders, items, counts, deltas = _changed(t)
+    target = metrics.daily_metrics(orders, t.customers, items, t.jobs)
+    return delta.refresh_daily(target, counts, deltas, t.customers, t.jobs)
+
+
+@query("customer_analytics_delta", f"""
+    SELECT a.*, coalesce(liked, '') AS preferred_categories FROM ({_customer_sql(ORDERS_AS_OF)}) a
+    LEFT JOIN (SELECT customer_id AS k, string_agg(category, '|' ORDER BY category) AS liked FROM (SELECT DISTINCT customer_id, category FROM a_orders
+        JOIN a_order_items USING (order_id) JOIN a_products USING (product_id)) GROUP BY 1) ON k = customer_id""")
+def _(t):
+    orders, items, counts, deltas = _changed(t)
+    target = metrics.customer_analytics(t.customers_placed, orders, items, t.products, ORDERS_AS_OF)
+    return delta.refresh_customers(target, counts, deltas, t.customers, t.products, ORDERS_AS_OF)
+
+
+@query("product_analytics_delta", _product_sql(ORDERS_AS_OF))
+def _(t):
+    _, items, counts, deltas = _changed(t)
+    return delta.refresh_products(metrics.product_analytics(t.products, items, ORDERS_AS_OF), counts, deltas, t.products, ORDERS_AS_OF)
+
+
 @query("order_analytics", """
     SELECT o.order_id, o.customer_id, o.order_date, o.total_amount::DOUBLE AS total_amount,
         round((rev - costs)::DOUBLE / nullif(rev::DOUBLE, 0) * 100, 2) AS profit_margin, coalesce(n, 0)::BIGINT AS n_items,

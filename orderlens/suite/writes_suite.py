@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from orderlens.functions import dbl, mean, money, ntz
-from orderlens.operators import changes, retention, upsert
+from orderlens.operators import changes, partitioned, retention, upsert
 from orderlens.plans import jobs as job_plans
 from orderlens.session import run_dir
 from orderlens.sources import ingest, versions
@@ -95,17 +95,47 @@ def _(t):
     return order_columns(upsert.upsert(_older(t), _newer(t), ["order_id"]))
 
 
+def _latest_sql(kind, where="TRUE"):
+    return f"""SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS seen FROM a_events
+        WHERE event_type = '{kind}' AND user_id IS NOT NULL AND {where} GROUP BY 1"""
+
+
+_MERGE_GROUPS = (3, 7)
+
+
+def _latest(t, kind):
+    """The last event of a kind of each user, in sixteen groups of users."""
+    last = t.events.filter((F.col("event_type") == kind) & F.col("user_id").isNotNull()).groupBy("user_id").agg(F.max(F.struct("ts", "event_id")).alias("e"))
+    return last.select("user_id", F.col("e.event_id").alias("event_id"), F.col("e.ts").alias("seen"), (F.col("user_id") % 16).cast("int").alias("user_group"))
+
+
+def _merged_if_newer(t):
+    """Last views, partitioned, after a MERGE of the last clicks of two groups that takes only what is newer."""
+    path = run_dir(t.spark, "last_seen")
+    schema = partitioned.create(_latest(t, "view"), path, "user_group")
+    files = lambda: partitioned.load(t.spark, path, schema).select("user_group", F.input_file_name().alias("file")).distinct()
+    before = run_dir(t.spark, "files_before")
+    files().write.parquet(before)
+    clicks = _latest(t, "click").filter(F.col("user_group").isin(*_MERGE_GROUPS))
+    partitioned.merge(t.spark, path, schema, clicks, ["user_id"], "user_group", when=lambda old, new: new("seen") > old("seen"))
+    return partitioned.load(t.spark, path, schema), t.spark.read.parquet(before), files()
+
+
 @query("merge_if_newer", f"""
-    WITH {_OLDER}, {_NEWER}
-    SELECT coalesce(o.order_id, n.order_id) AS order_id,
-        CASE WHEN o.order_id IS NULL THEN n.status WHEN n.total_amount > 250000 THEN n.status ELSE o.status END AS status
-    FROM older o FULL JOIN newer n ON o.order_id = n.order_id""")
+    WITH v AS ({_latest_sql("view")}), c AS ({_latest_sql("click", f"user_id % 16 IN {_MERGE_GROUPS}")})
+    SELECT coalesce(v.user_id, c.user_id) AS user_id, CASE WHEN v.seen IS NULL OR c.seen > v.seen THEN c.event_id ELSE v.event_id END AS event_id,
+        CASE WHEN v.seen IS NULL OR c.seen > v.seen THEN c.seen ELSE v.seen END AS seen FROM v FULL JOIN c ON v.user_id = c.user_id""")
 def _(t):
-    # The amount stands in for the change time: only source rows above the bar may update.
-    merged = upsert.upsert(
-        _older(t), _newer(t), ["order_id"], when=lambda old, new: new("total_amount") > F.lit(250000)
-    )
-    return merged.select("order_id", "status")
+    return _merged_if_newer(t)[0].select("user_id", "event_id", "seen")
+
+
+@query("merge_partitions_rewritten", f"""
+    SELECT (user_id % 16)::INTEGER AS user_group, bool_or(user_id % 16 IN {_MERGE_GROUPS}) AS rewritten FROM ({_latest_sql("view")}) GROUP BY 1""")
+def _(t):
+    """Whether a group's files changed in the MERGE: those of groups without a source row did not."""
+    _, before, after = _merged_if_newer(t)
+    kept = after.join(before.withColumn("same", F.lit(True)), ["user_group", "file"], "left")
+    return kept.groupBy("user_group").agg(F.max(F.col("same").isNull()).alias("rewritten"))
 
 
 @query("merge_accumulate", """
@@ -200,6 +230,22 @@ def _(t):
     return rows
 
 
+@query("retention_partitions", " UNION ALL ".join(
+    f"""SELECT '{n}' AS table_name, day, d AS deleted_rows, k AS kept_rows, CASE WHEN d = 0 THEN 'untouched' WHEN k = 0 THEN 'dropped' ELSE 'rewritten' END AS files
+        FROM (SELECT {c}::DATE AS day, count(*) FILTER ({e}) AS d, count(*) FILTER (({e}) IS NOT TRUE) AS k FROM a_{n} GROUP BY 1)"""
+    for n, c, e in ((n, c, f"{c} < {NOW} - INTERVAL 7 DAY" + (" AND resolved" if n == "task_errors" else "")) for n, c in _KEEP.items())
+))
+def _(t):
+    """The five tables by day: expired days are dropped, days that lose some rows rewritten, the others left alone."""
+    rows = None
+    for name, ts in _KEEP.items():
+        path = run_dir(t.spark, f"daily_{name}")
+        schema = partitioned.create(getattr(t, name).withColumn("day", F.to_date(ts)), path, "day")
+        report = partitioned.delete(t.spark, path, schema, _expired(name), "day").withColumn("table_name", F.lit(name))
+        rows = report if rows is None else rows.unionByName(report)
+    return rows.select("table_name", "day", "deleted_rows", "kept_rows", "files")
+
+
 @query("retention_cleanup", f"""
     WITH r AS ({_RETENTION}) SELECT * FROM r
     UNION ALL SELECT 'TOTAL', sum(deleted_rows)::BIGINT, sum(kept_rows)::BIGINT FROM r""")
