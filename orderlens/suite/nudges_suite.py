@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from orderlens.functions import dbl, ntz
-from orderlens.plans import nudges, rules
+from orderlens.plans import nudges, rule_index, rules
 from orderlens.plans.rules import Rule
 from orderlens.session import run_dir
 from orderlens.streaming import nudge_stream
@@ -109,6 +109,42 @@ def _(t):
     return rules.matches(enriched(t), flat).select("event_id", "rule_id")
 
 
+_RULE_FIELDS = ("event_type", "user_id", "value", "k", "props", "customer_tier", "lifetime_value", "score_bar", "locale")
+
+
+@query("rules_indexed", f"WITH {_E}, {_O} SELECT event_id, rule_id FROM o WHERE matched")
+def _(t):
+    events = enriched(t)
+    fields = rule_index.Fields(events, _RULE_FIELDS)
+    index = rule_index.build(rule_index.clauses(t.spark, RULES, fields))
+    return rule_index.matches(events, index, fields).select("event_id", "rule_id")
+
+
+@query("rules_from_tables", """
+    SELECT event_id, 'customer ' || customer_id AS rule_id FROM a_events JOIN a_customers ON event_type = 'purchase' AND user_id = customer_id AND value::DOUBLE > profile_score * 0.4
+    UNION ALL SELECT event_id, 'product ' || product_id FROM a_events JOIN (SELECT product_id, (product_id % 1000) / 20.0::DOUBLE AS low FROM a_products)
+        ON event_type = 'view' AND value::DOUBLE BETWEEN low AND low + 0.5""")
+def _(t):
+    """A rule for each customer and each product, as rows that Spark derives from the tables."""
+    fields = rule_index.Fields(t.events, ("user_id", "value"))
+    user, value, none = F.lit(0), F.lit(1), F.lit(None)
+
+    def one(field, op, num, high=none):
+        parts = dict(field=field, op=F.lit(op), num=num.cast("double"), high=high.cast("double"), text=none.cast("string"), texts=none.cast("array<string>"), other=none.cast("int"))
+        return F.struct(*[c.alias(n) for n, c in parts.items()])
+
+    def rows(df, name, event_type, *terms):
+        return df.select(
+            name.alias("rule_id"), F.lit(event_type).alias("event_type"), ntz("2000-01-01").alias("valid_from"), ntz("2100-01-01").alias("valid_to"),
+            F.lit(0).alias("clause"), F.array(*terms).alias("terms"))
+
+    low = (F.col("product_id") % 1000) / F.lit(20.0)
+    people = rows(t.customers, F.concat(F.lit("customer "), F.col("customer_id").cast("string")), "purchase",
+                  one(user, "n=", F.col("customer_id")), one(value, "n>", F.col("profile_score") * F.lit(0.4)))
+    goods = rows(t.products, F.concat(F.lit("product "), F.col("product_id").cast("string")), "view", one(value, "nBETWEEN", low, low + F.lit(0.5)))
+    return rule_index.matches(t.events, rule_index.build(people.unionByName(goods)), fields).select("event_id", "rule_id")
+
+
 @query("rule_candidates", f"WITH {_E}, {_O} SELECT event_id, rule_id, CASE rule_id WHEN 'welcome' THEN 'hybrid' WHEN 'rich_click' THEN 'batch' ELSE 'real_time' END AS kind FROM o")
 def _(t):
     return rules.candidates(t.events, RULES).select("event_id", "rule_id", "kind")
