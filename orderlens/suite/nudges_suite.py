@@ -6,7 +6,7 @@ from orderlens.functions import dbl, ntz
 from orderlens.plans import nudges, rule_index, rules
 from orderlens.plans.rules import Rule
 from orderlens.session import run_dir
-from orderlens.streaming import nudge_stream
+from orderlens.streaming import keyed, nudge_stream
 from orderlens.streaming.source import event_stream
 from orderlens.suite.registry import JOBS_AS_OF, query
 
@@ -231,6 +231,15 @@ def _(t):
     return nudge_stream.sent(t.spark, f"{root}/sent").select("nudge_id", "user_id", "rule_id", "generated_at")
 
 
+@query("nudge_cooldown_state", f"{_COOL} SELECT nudge_id, user_id, rule_id, generated_at FROM r WHERE sent")
+def _(t):
+    """The same nudges, decided by keyed state as the watermark passes."""
+    from orderlens.suite.streaming_suite import replayed
+
+    made_of = lambda events: nudges.generate(enrich(t, events.withWatermark("ts", "10 minutes")), RULES, templates(t))
+    return replayed(t, lambda events: keyed.cooldown(made_of(events)), "cooldown")
+
+
 @query("nudge_history", f"""
     WITH {_N} SELECT user_id, nudge_type, rule_id, max(generated_at) AS last_sent_at, max(generated_at + to_hours(cooldown_hours)) AS cooldown_until,
         count(*) AS total_sent FROM n GROUP BY 1, 2, 3""")

@@ -7,7 +7,7 @@ from orderlens.operators.timeline import asof_latest
 from orderlens.plans import metrics
 from orderlens.session import run_dir
 from orderlens.sources import ingest
-from orderlens.streaming import consume, limits, windows
+from orderlens.streaming import consume, keyed, limits, windows
 from orderlens.streaming.source import event_stream, file_stream, run_available
 from orderlens.suite.registry import ORDERS_AS_OF, query
 
@@ -182,6 +182,44 @@ def _(t):
     return windows.pattern_sessions(t.events, "view", "click", "purchase", gap_minutes=720)
 
 
+def closing(t):
+    """An event behind all others that only moves the watermark."""
+    at = t.base("events").agg(F.max("event_id").alias("e"), F.max("ts").alias("t"))
+    return at.select(
+        (F.col("e") + 1).alias("event_id"), (F.col("t") + F.expr("interval 400 days")).alias("ts"), F.lit(None).cast("bigint").alias("user_id"),
+        F.lit(keyed.CLOSING).alias("event_type"), F.lit(0.0).alias("value"), F.lit("{}").alias("props"))
+
+
+def replayed(t, make, name):
+    """The events in two arrivals and the closing one, through ``make`` (stream to stream) into a folder, read back."""
+    root, early = run_dir(t.spark, name), F.col("ts") < ntz("2024-01-15")
+    base = t.base("events")
+    with keyed.rocksdb(t.spark):
+        for part in (base.filter(early), base.filter(~early), closing(t)):
+            part.write.mode("append").parquet(f"{root}/events.parquet")
+            out = make(event_stream(t.spark, root))
+            run_available(out.writeStream.format("parquet").option("path", f"{root}/out"), f"{root}/checkpoint")
+    return t.spark.read.schema(out.schema).parquet(f"{root}/out")
+
+
+@query("session_stream_state", f"""
+    WITH {_MARKED} SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS events,
+        sum(value)::DOUBLE AS total_value FROM m GROUP BY user_id, session_no""")
+def _(t):
+    return keyed.session_totals(replayed(t, lambda events: keyed.open_sessions(events, 30, "10 minutes"), "sessions"))
+
+
+@query("event_pattern_stream", """
+    WITH g AS (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM a_events),
+    m AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts > prev + INTERVAL 12 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session_no FROM g),
+    v AS (SELECT user_id, session_no, min(ts) AS opened_at FROM m WHERE event_type = 'view' GROUP BY 1, 2),
+    p AS (SELECT user_id, session_no, max(ts) AS closed_at FROM m WHERE event_type = 'purchase' GROUP BY 1, 2)
+    SELECT v.user_id, opened_at, closed_at FROM v JOIN p ON v.user_id = p.user_id AND v.session_no = p.session_no
+    WHERE EXISTS (SELECT 1 FROM m WHERE m.user_id = v.user_id AND m.session_no = v.session_no AND m.event_type = 'click' AND m.ts > opened_at AND m.ts < closed_at)""")
+def _(t):
+    return keyed.pattern_sessions(replayed(t, lambda events: keyed.open_sessions(events, 720, "10 minutes"), "patterns"))
+
+
 @query("late_event_split", """
     WITH b AS (SELECT max(ts) AS newest FROM a_events WHERE ts < TIMESTAMP '2024-01-20' AND event_type <> 'signup')
     SELECT CASE WHEN (event_type = 'signup' OR ts >= TIMESTAMP '2024-01-20') AND ts < newest - INTERVAL 10 MINUTE THEN 'late' ELSE 'on_time' END AS outcome,
