@@ -9,7 +9,8 @@ such rows apart).  The state lives in RocksDB and in the checkpoint.
 What is kept: of a user, the sessions that the watermark has not closed, each with its sums,
 its first and last event of the pattern and, until the pattern is found, the times of its
 middle events; of a nudge key, the last hour sent and one nudge for each hour that is not yet
-closed.  A key whose cooldown has run out is forgotten.
+closed.  A key whose cooldown has run out is forgotten.  Of a user whose state arrives as a
+stream, the newest state before the watermark, those after it, and the rows that wait.
 """
 
 from __future__ import annotations
@@ -63,6 +64,12 @@ class _Kept(StatefulProcessor):
     def close(self) -> None:
         pass
 
+    @staticmethod
+    def timely(frame: pd.DataFrame, timerValues) -> pd.DataFrame:
+        """Without the rows at or behind the watermark: Spark itself may pass them on for one batch more."""
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        return frame[frame["us"] > mark] if mark > 0 else frame
+
 
 # --- sessions ---------------------------------------------------------------------------------
 
@@ -93,7 +100,7 @@ class Sessions(_Kept):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first, then, last = self.kinds
         sessions = self.load([])
-        for frame in rows:
+        for frame in (self.timely(f, timerValues) for f in rows):
             for us, event, kind, cents in zip(frame["us"], frame["event_id"], frame["event_type"], frame["cents"]):
                 if kind == CLOSING:
                     continue
@@ -145,6 +152,72 @@ def pattern_sessions(sessions: DataFrame) -> DataFrame:
     return sessions.filter("found").select("user_id", _at("opened_us").alias("opened_at"), _at("closed_us").alias("closed_at"))
 
 
+# --- state as of an event ---------------------------------------------------------------------
+
+AS_OF = "user_id long, event_id long, us long, state_us long, state_id long, state_value long"
+
+
+class AsOf(_Kept):
+    """Events of one user with the newest state at or before their time, once the watermark has passed it.
+
+    States of one time resolve to the largest (event id, value).  A state row behind the
+    watermark is dropped and changes nothing.
+    """
+
+    def _keep(self, states: list, wait: list, mark: int) -> None:
+        cut = min([mark, *(w[0] for w in wait)])  # rows that wait may need an older state than the mark's
+        past = [s for s in states if s[0] <= cut]
+        states = [*([max(past)] if past else []), *(s for s in states if s[0] > cut)]
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        if states or wait:
+            self.state.update((json.dumps([states, wait]),))
+        elif self.state.exists():
+            self.state.clear()
+        if wait:
+            self.handle.registerTimer(min(wait)[0] // 1000 + 1)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        states, wait = self.load([[], []])
+        for frame in (self.timely(f, timerValues) for f in rows):
+            for us, event, is_state, value in zip(frame["us"], frame["event_id"], frame["is_state"], frame["value"]):
+                if not is_state:
+                    wait.append([int(us), int(event)])
+                elif key[0]:  # nobody's state is the state of nobody
+                    states.append([int(us), int(event), -1 if pd.isna(value) else int(value)])
+        self._keep(states, wait, timerValues.getCurrentWatermarkInMs() * 1000)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        states, wait = self.load([[], []])
+        states.sort()
+        user, out, at = (int(key[0]) if key[0] else None), [], -1
+        ready = sorted(w for w in wait if w[0] < mark)
+        for us, event in ready:
+            while at + 1 < len(states) and states[at + 1][0] <= us:
+                at += 1
+            out.append((user, event, us, *(states[at] if at >= 0 else (None, None, None))))
+        self._keep(states, [w for w in wait if w[0] >= mark], mark)
+        if out:
+            yield pd.DataFrame(out, columns=[f.split()[0] for f in AS_OF.split(", ")]).astype({c: "Int64" for c in ("user_id", "state_us", "state_id", "state_value")})
+
+
+def asof_state(events: DataFrame, states: DataFrame, lateness: str) -> DataFrame:
+    """Two streams (user_id, ts, event_id, and value of a state) joined as of each event's time; amounts of 0.01 or more."""
+    def side(df: DataFrame, is_state: bool) -> DataFrame:
+        value = (F.col("value").cast("decimal(18,2)") * 100).cast("long") if is_state else F.lit(None).cast("long")
+        return df.withWatermark("ts", lateness).select(
+            F.coalesce(F.col("user_id").cast("string"), F.lit("")).alias("who"), "ts", F.unix_micros("ts").alias("us"), "event_id", F.lit(is_state).alias("is_state"), value.alias("value"))
+
+    both = side(events, False).unionByName(side(states, True))
+    found = both.groupBy("who").transformWithStateInPandas(AsOf(), AS_OF, "Append", "EventTime")
+    return found.select(
+        "event_id", "user_id", _at("us").alias("ts"), _at("state_us").alias("state_ts"), F.col("state_id").alias("state_event_id"),
+        dbl((F.nullif("state_value", F.lit(-1)) / F.lit(100)).cast("decimal(18,2)")).alias("state_value"),
+    )
+
+
 # --- cooldown ---------------------------------------------------------------------------------
 
 HOUR = 3_600_000  # milliseconds
@@ -156,7 +229,7 @@ class Cooldown(_Kept):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         kept = self.load({"last": None, "wait": {}})
-        for frame in rows:
+        for frame in (self.timely(f, timerValues) for f in rows):
             for us, nudge, hours in zip(frame["us"], frame["nudge_id"], frame["cooldown_hours"]):
                 hour, new = str(int(us) // 1000 // HOUR), [int(us), nudge, int(hours)]
                 kept["wait"][hour] = min(kept["wait"].get(hour, new), new)

@@ -318,6 +318,20 @@ def _(t):
     return found.withColumn("state_value", dbl(F.col("state_value")))
 
 
+@query("asof_stream", """
+    SELECT p.event_id, p.user_id, p.ts, v.ts AS state_ts, v.event_id AS state_event_id, v.value::DOUBLE AS state_value
+    FROM (SELECT * FROM a_events WHERE event_type = 'purchase') p
+    ASOF LEFT JOIN (SELECT * FROM a_events WHERE event_type = 'view') v ON p.user_id = v.user_id AND p.ts >= v.ts""")
+def _(t):
+    """The same join where the state arrives as a stream of its own; the closing event moves both watermarks."""
+    def make(events):
+        kind = F.col("event_type")
+        found = keyed.asof_state(events.filter(kind.isin("purchase", keyed.CLOSING)), events.filter(kind.isin("view", keyed.CLOSING)), "10 minutes")
+        return found
+
+    return replayed(t, make, "asof")
+
+
 @query("event_enrichment", """
     SELECT e.event_id, e.user_id, e.event_type, e.value::DOUBLE AS value, c.customer_tier, c.state, h.orders, h.spent::DOUBLE / h.orders AS mean_order
     FROM a_events e LEFT JOIN a_customers c ON e.user_id = c.customer_id

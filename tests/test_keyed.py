@@ -70,3 +70,30 @@ def test_cooldown_in_any_order(spark, base, tmp_path, order):
     batch = nudges.cooldown(nudges.generate(dressed(base.withColumn("value", F.col("value").cast("decimal(12,2)"))), [RULE], templates))
     assert rows(found) == rows(batch.filter("user_id IS NOT NULL").select(*found.columns).unionByName(batch.filter("user_id IS NULL").select(*found.columns)))
     assert left == 0
+
+
+def asof(spark, folder, lateness, per_batch=1):
+    stream = event_stream(spark, folder, per_batch)
+    kind = F.col("event_type")
+    return keyed.asof_state(stream.filter(kind.isin("purchase", keyed.CLOSING)), stream.filter(kind.isin("view", keyed.CLOSING)), lateness)
+
+
+def test_state_as_of_in_any_order(spark, base, tmp_path):
+    from orderlens.operators.timeline import asof_latest
+
+    arrivals(spark, base, str(tmp_path), (4, 1, 5, 0, 3, 2))
+    found, _ = run(spark, asof(spark, str(tmp_path), "400 days"), str(tmp_path))
+    left, right = (base.filter(F.col("event_type") == k).select("user_id", "ts", "event_id", F.col("value").cast("decimal(12,2)").cast("double").alias("value")) for k in ("purchase", "view"))
+    want = asof_latest(left.select("event_id", "user_id", "ts"), right, "user_id", "ts", "ts", ["event_id", "value"])
+    assert rows(found) == rows(want.select(*found.columns))
+
+
+def test_a_state_behind_the_watermark_changes_nothing(spark, base, tmp_path):
+    at = lambda h: datetime(2024, 1, 1, h)
+    first = [(1, at(1), 7, "view", 1.0, "{}"), (2, at(2), 7, "purchase", 1.0, "{}"), (3, at(9), 7, "purchase", 1.0, "{}"), (4, at(9), 7, "view", 2.0, "{}")]
+    late = [(5, at(8), 7, "view", 3.0, "{}"), (6, at(10), 7, "purchase", 1.0, "{}"), (7, at(1), 7, "view", 4.0, "{}")]
+    last = [(9, datetime(2025, 6, 1), None, keyed.CLOSING, 0.0, "{}")]
+    for part in (first, late, last):
+        spark.createDataFrame(part, base.schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    found, _ = run(spark, asof(spark, str(tmp_path), "10 minutes"), str(tmp_path))
+    assert sorted((r.event_id, r.state_event_id) for r in found.collect()) == [(2, 1), (3, 4), (6, 4)]
