@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import dbl, json_text, mean, money, ntz, ratio
 from orderlens.plans.views import as_date
 from orderlens.schemas import REPORT_TYPES
+from orderlens.sources import documents
 
 TITLES = {
     "SALES_REPORT": "Sales Performance Report",
@@ -119,8 +120,11 @@ def executive_report(dashboard: DataFrame) -> DataFrame:
 
 
 def quality_report(checks: DataFrame, as_of: str, days: int = 7) -> DataFrame:
+    """The checks of the last days, newest first."""
     start = ntz(F.date_sub(as_date(as_of), days))
-    return checks.filter(F.col("check_timestamp") >= start)
+    return checks.filter(F.col("check_timestamp") >= start).orderBy(F.col("check_timestamp").desc(), "check_id").select(
+        "check_name", "table_name", "check_type", "status", "check_timestamp", "expected_result", "actual_result", "error_details"
+    )
 
 
 def quality_report_summary(report: DataFrame) -> DataFrame:
@@ -224,3 +228,38 @@ def report_body(kind: str, data: DataFrame | None, summary: DataFrame, as_of: st
 def write_report(body: DataFrame, folder: str) -> None:
     """Each document as one text file set under its kind."""
     body.write.mode("overwrite").partitionBy("report_kind").text(folder)
+
+
+# --- a document for each job --------------------------------------------------------------------
+
+
+def job_documents(jobs: DataFrame, bodies: Mapping[str, DataFrame], as_of: str) -> tuple[DataFrame, DataFrame]:
+    """The next states of the pending jobs, and a document for each of those that completes.
+
+    A body is computed once for a type.  Few bodies meet many jobs, so their join keeps the
+    jobs where they are; a document holds its job, its period and the body of its type.
+    """
+    states = run_reports(jobs, as_of)
+    united = None
+    for body in bodies.values():
+        united = body if united is None else united.unionByName(body)
+    periods = report_periods(jobs).select("job_id", F.struct("start_date", "end_date").alias("period"))
+    done = states.filter(F.col("status") == "COMPLETED").join(periods, "job_id").join(united, F.col("report_type") == F.col("report_kind"))
+    # The body is JSON already: its fields follow those of the job in one object.
+    head = F.to_json(F.struct(F.col("job_id"), F.col("period").alias("parameters")))
+    text = F.concat(F.substring(head, 1, F.length(head) - 1), F.lit(","), F.substring("document", 2, 2_000_000_000))
+    return states, done.select("output_location", text.alias("document"))
+
+
+def publish(spark, jobs: DataFrame, bodies: Mapping[str, DataFrame], rows: Mapping[str, DataFrame], folder: str, as_of: str) -> DataFrame:
+    """Writes a file for each job, unbounded data as JSON lines beside them, and returns the jobs' next states.
+
+    The states are returned only after the commit has published the manifest, so no job is
+    COMPLETED with a location that does not exist.
+    """
+    documents.register(spark)
+    for kind, data in rows.items():
+        data.write.mode("overwrite").json(f"{folder}/reports/{FOLDERS[kind]}/data")
+    states, made = job_documents(jobs, bodies, as_of)
+    made.write.format("documents").option("folder", folder).mode("append").save()
+    return states

@@ -245,9 +245,15 @@ class Tables:
     @cached_property
     def quality_checks(self) -> DataFrame:
         names = ("Customer Email Validation", "Order Items Validation", "Product Price Validation", "Order Date Validation")
+        of = lambda values: F.element_at(F.array(*map(F.lit, values)), (F.col("user_id") % 4 + 1).cast("int"))
+        found = F.when(F.col("value") > 30, F.get_json_object("props", "$.k")).otherwise("0")
         return self._log("click").select(
             F.col("event_id").alias("check_id"),
-            F.element_at(F.array(*map(F.lit, names)), (F.col("user_id") % 4 + 1).cast("int")).alias("check_name"),
+            of(names).alias("check_name"),
+            of(("customers", "order_items", "products", "orders")).alias("table_name"),
+            of(("NULL_CHECK", "REFERENTIAL", "RANGE", "TEMPORAL")).alias("check_type"),
+            F.lit('{"invalid": 0}').alias("expected_result"),
+            F.concat(F.lit('{"invalid": '), found, F.lit("}")).alias("actual_result"),
             F.when(F.col("value") > 30, "FAIL").otherwise("PASS").alias("status"),
             F.col("ts").alias("check_timestamp"),
             F.when(F.col("value") > 30, F.concat(F.lit("observed "), F.get_json_object("props", "$.k"))).alias(

@@ -100,6 +100,10 @@ CTES = {
     "a_quality_checks": """
         SELECT event_id AS check_id, CASE user_id % 4 WHEN 0 THEN 'Customer Email Validation'
                WHEN 1 THEN 'Order Items Validation' WHEN 2 THEN 'Product Price Validation' ELSE 'Order Date Validation' END AS check_name,
+               CASE user_id % 4 WHEN 0 THEN 'customers' WHEN 1 THEN 'order_items' WHEN 2 THEN 'products' ELSE 'orders' END AS table_name,
+               CASE user_id % 4 WHEN 0 THEN 'NULL_CHECK' WHEN 1 THEN 'REFERENTIAL' WHEN 2 THEN 'RANGE' ELSE 'TEMPORAL' END AS check_type,
+               '{"invalid": 0}' AS expected_result,
+               '{"invalid": ' || CASE WHEN value > 30 THEN props->>'$.k' ELSE '0' END || '}' AS actual_result,
                CASE WHEN value > 30 THEN 'FAIL' ELSE 'PASS' END AS status, ts AS check_timestamp,
                CASE WHEN value > 30 THEN 'observed ' || (props->>'$.k') END AS error_details
         FROM events WHERE event_type = 'click'""",

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from orderlens.plans import questions, reports, views
 from orderlens.session import run_dir
+from orderlens.sources import documents
 from orderlens.suite.registry import JOBS_AS_OF, ORDERS_AS_OF, query
 
 TODAY = f"DATE '{ORDERS_AS_OF[:10]}'"
@@ -290,7 +291,7 @@ def _(t):
     return reports.executive_report(_dashboard(t))
 
 
-_R_QUALITY = f"SELECT * FROM a_quality_checks WHERE check_timestamp >= {JOB_DAY} - INTERVAL 7 DAY"
+_R_QUALITY = f"SELECT check_name, table_name, check_type, status, check_timestamp, expected_result, actual_result, error_details FROM a_quality_checks WHERE check_timestamp >= {JOB_DAY} - INTERVAL 7 DAY"
 
 
 @query("report_data_quality", _R_QUALITY)
@@ -341,15 +342,25 @@ def _(t):
     return reports.run_reports(t.jobs, JOBS_AS_OF)
 
 
-@query("report_documents")
+_DOCUMENTS = f"""
+    WITH k AS (SELECT job_id, upper(coalesce(report_type, job_type)) AS report_type, created_at::DATE AS d FROM a_jobs WHERE status = 'PENDING'),
+    b AS (SELECT 'SALES_REPORT' AS r, 'sales' AS folder, 'Sales Performance Report' AS title, (SELECT count(*) FROM ({_R_SALES})) AS n, (SELECT arg_max(total_revenue, sales_month) FROM ({_R_SALES}))::DOUBLE AS headline
+        UNION ALL SELECT 'CUSTOMER_ANALYSIS', 'customers', 'Customer Analysis Report', (SELECT count(*) FROM ({_R_CUSTOMER})), (SELECT sum(customer_count) FROM ({_R_CUSTOMER}))::DOUBLE
+        UNION ALL SELECT 'PRODUCT_PERFORMANCE', 'products', 'Product Performance Report', (SELECT count(*) FROM ({_R_PRODUCT})), (SELECT sum(total_revenue::DECIMAL(18,2)) FROM ({_R_PRODUCT}))::DOUBLE
+        UNION ALL SELECT 'EXECUTIVE_DASHBOARD', 'executive', 'Executive Dashboard', NULL, (SELECT ytd_revenue FROM ({_EXEC}))::DOUBLE
+        UNION ALL SELECT 'DATA_QUALITY', 'quality', 'Data Quality Report', (SELECT count(*) FROM ({_R_QUALITY})), (SELECT count(*) FILTER (status = 'PASS') FROM ({_R_QUALITY}))::DOUBLE)
+    SELECT job_id, 'reports/' || folder || '/' || job_id::VARCHAR || '_' || lower(r) || '_20240130.json' AS output_location, title AS report_type,
+        (CASE r WHEN 'SALES_REPORT' THEN d - 1 WHEN 'CUSTOMER_ANALYSIS' THEN d - 1 WHEN 'DATA_QUALITY' THEN date_trunc('month', d) - INTERVAL 1 MONTH ELSE d - 7 END)::DATE AS start_date,
+        n AS data_rows, headline FROM k JOIN b ON k.report_type = r"""
+
+
+@query("report_documents", _DOCUMENTS)
 def _(t):
-    """The JSON documents of a batch, one per report type; checked by rows only (number
-    formats inside JSON differ between engines)."""
+    """A batch of all report types, a file for each job: read back from the published locations, by typed fields."""
     sales = reports.sales_report(_sales(t), ORDERS_AS_OF)
     tiers = reports.customer_report(_narrow_c360(t))
     products = reports.product_report(_products(t))
     checks = reports.quality_report(t.quality_checks, JOBS_AS_OF)
-    # Checks are unbounded, so their rows stay out of the document; only the summary goes in.
     bodies = {
         "SALES_REPORT": (sales, reports.sales_report_summary(sales)),
         "CUSTOMER_ANALYSIS": (tiers, reports.customer_report_summary(tiers)),
@@ -359,12 +370,21 @@ def _(t):
     }
     folder = run_dir(t.spark, "reports")
     made = {k: reports.report_body(k, data, summary, ORDERS_AS_OF) for k, (data, summary) in bodies.items()}
-    reports.run_batch(t.jobs, made, folder, JOBS_AS_OF)
-    return t.spark.read.option("recursiveFileLookup", "true").text(folder).select(
-        F.get_json_object("value", "$.report_type").alias("report_type"), F.col("value").alias("document")
+    reports.publish(t.spark, t.jobs, made, {"DATA_QUALITY": checks}, folder, JOBS_AS_OF)
+    lines = t.spark.read.schema(checks.schema).json(f"{folder}/reports/quality/data").agg(F.count(F.lit(1)).alias("lines"))
+    kind = ("job_id long, report_type string, parameters struct<start_date: date, end_date: date>, data array<struct<x: int>>,"
+            " summary struct<latest_revenue: double, total_customers: double, total_revenue: double, ytd_revenue: double, passed_checks: double>")
+    read = documents.read_documents(t.spark, folder).select("output_location", F.from_json("document", kind).alias("d")).crossJoin(lines)
+    got = F.col("d.summary")
+    return read.select(
+        "d.job_id", "output_location", "d.report_type", F.col("d.parameters.start_date").alias("start_date"),
+        F.when(F.col("d.report_type") == "Data Quality Report", F.col("lines")).otherwise(F.size("d.data").cast("long")).alias("data_rows"),
+        F.coalesce(got["latest_revenue"], got["ytd_revenue"], got["passed_checks"], F.when(F.col("d.report_type") == "Customer Analysis Report", got["total_customers"]),
+                   got["total_revenue"]).alias("headline"),
     )
 
 
+
 # --- canned questions --------------------------------------------------------
 
 @query("top_customers", """
