@@ -505,27 +505,42 @@ def rfm_segments(customers: DataFrame, orders: DataFrame, as_of: str, tiles: int
     )
 
 
-def customer_clusters(customers: DataFrame, orders: DataFrame, as_of: str, clusters: int = 4, seed: int = 42) -> DataFrame:
-    """Customers grouped by k-means over scaled recency, frequency and lifetime value.
+FEATURES = ("recency", "frequency", "cents")
 
-    Training reads one row per customer; the model is ``clusters`` centres.
-    """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
 
+def customer_clusters(customers: DataFrame, orders: DataFrame, as_of: str, clusters: int = 4, rounds: int = 6) -> DataFrame:
+    """Customers grouped by Lloyd's rounds over scaled recency, frequency and lifetime value.
+
+    Nothing is drawn by chance: the first centres lie on the value axis, one standard
+    deviation apart around the mean, and sums are exact integers, so that the rounds give the
+    same groups anywhere.  A round is a projection (the centres are literals) and one
+    aggregate of ``clusters`` rows; a centre without customers stays where it is, and equal
+    distances go to the smaller number.
+    """
     sums = orders.groupBy("customer_id").agg(F.max("order_date").alias("last"), F.count(F.lit(1)).alias("frequency"))
-    features = customers.join(sums, "customer_id").select(
-        "customer_id",
-        F.datediff(as_date(as_of), F.col("last")).cast("double").alias("recency"),
-        dbl(F.col("frequency")).alias("frequency"),
-        dbl(F.col("lifetime_value")).alias("lifetime_value"),
-    )
-    settled = settle(features)
-    steps = [
-        VectorAssembler(inputCols=["recency", "frequency", "lifetime_value"], outputCol="raw"),
-        StandardScaler(inputCol="raw", outputCol="scaled", withMean=True),
-        KMeans(featuresCol="scaled", predictionCol="cluster", k=clusters, seed=seed),
-    ]
-    model = Pipeline(stages=steps).fit(settled)
-    return model.transform(settled).select("customer_id", "recency", "frequency", "lifetime_value", "cluster")
+    features = settle(customers.filter("lifetime_value IS NOT NULL").join(sums, "customer_id").select(
+        "customer_id", F.datediff(as_date(as_of), F.col("last")).cast("long").alias("recency"), "frequency",
+        (money(F.col("lifetime_value")) * 100).cast("long").alias("cents"),
+    ))
+    wide = lambda c: F.col(c).cast("decimal(38,0)")
+    totals = features.agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(wide(c)).alias(f"s_{c}") for c in FEATURES], *[F.sum(F.col(c) * wide(c)).alias(f"q_{c}") for c in FEATURES]
+    ).first()
+    n = totals["n"]
+    means = {c: float(totals[f"s_{c}"]) / n if n else 0.0 for c in FEATURES}
+    spread = {c: max((float(totals[f"q_{c}"]) / n - means[c] ** 2) if n else 0.0, 0.0) ** 0.5 or 1.0 for c in FEATURES}
+    centres = [[0.0, 0.0, k - (clusters - 1) / 2] for k in range(clusters)]
+
+    def nearest() -> Column:
+        apart = [
+            F.struct(sum((((F.col(c) - F.lit(means[c])) / F.lit(spread[c]) - F.lit(m)) ** 2 for c, m in zip(FEATURES, centre)), F.lit(0.0)).alias("d"), F.lit(k).alias("k"))
+            for k, centre in enumerate(centres)
+        ]
+        return F.array_min(F.array(*apart))["k"]
+
+    for _ in range(rounds):
+        found = features.groupBy(nearest().alias("k")).agg(F.count(F.lit(1)).alias("n"), *[F.sum(wide(c)).alias(c) for c in FEATURES]).collect()
+        for r in found:
+            centres[r["k"]] = [(float(r[c]) / r["n"] - means[c]) / spread[c] for c in FEATURES]
+    return features.select(
+        "customer_id", dbl(F.col("recency")).alias("recency"), dbl(F.col("frequency")).alias("frequency"), (F.col("cents") / F.lit(100.0)).alias("lifetime_value"), nearest().alias("cluster"))

@@ -375,7 +375,23 @@ def _(t):
     return metrics.rfm_segments(t.customers, t.orders, ORDERS_AS_OF)
 
 
-@query("customer_clusters")
+def _cluster_sql(clusters=4, rounds=6):
+    """The rounds one after the other, centres as rows of a table."""
+    z = ", ".join(f"({c} - m_{c}) / d_{c} AS z_{c}" for c in metrics.FEATURES)
+    spread = ", ".join(f"avg({c}::DOUBLE) AS m_{c}, coalesce(nullif(stddev_pop({c}::DOUBLE), 0), 1) AS d_{c}" for c in metrics.FEATURES)
+    apart = " + ".join(f"(z_{c} - c_{c}) ** 2" for c in metrics.FEATURES)
+    steps = ["c0 AS (SELECT i::INTEGER AS k, 0.0::DOUBLE AS c_recency, 0.0::DOUBLE AS c_frequency, i - " + str((clusters - 1) / 2) + f"::DOUBLE AS c_cents FROM range({clusters}) r(i))"]
+    for i in range(rounds + 1):
+        steps.append(f"a{i} AS (SELECT f.customer_id, arg_min(k, ({apart}, k)) AS k FROM z f, c{i} GROUP BY 1)")
+        means = ", ".join(f"coalesce(avg(z_{c}), any_value(c_{c})) AS c_{c}" for c in metrics.FEATURES)
+        steps.append(f"c{i + 1} AS (SELECT c{i}.k, {means} FROM c{i} LEFT JOIN (SELECT * FROM a{i} JOIN z USING (customer_id)) m ON m.k = c{i}.k GROUP BY c{i}.k)")
+    return f"""
+    WITH f AS (SELECT customer_id, date_diff('day', max(order_date)::DATE, {TODAY}) AS recency, count(*) AS frequency, any_value((lifetime_value * 100)::BIGINT) AS cents
+        FROM a_customers JOIN a_orders USING (customer_id) GROUP BY 1),
+    z AS (SELECT f.*, {z} FROM f, (SELECT {spread} FROM f) s), {", ".join(steps)}
+    SELECT customer_id, recency::DOUBLE AS recency, frequency::DOUBLE AS frequency, cents / 100.0::DOUBLE AS lifetime_value, a{rounds}.k AS cluster FROM z JOIN a{rounds} USING (customer_id)"""
+
+
+@query("customer_clusters", _cluster_sql())
 def _(t):
-    """Iterative, so checked by rows only."""
     return metrics.customer_clusters(t.customers, t.orders, ORDERS_AS_OF)

@@ -188,6 +188,33 @@ def _(t):
     )
 
 
+@query("sql_udf_default", """
+    SELECT job_id, greatest(3 - retry_count, 0)::INTEGER AS usual, greatest(5 - retry_count, 0)::INTEGER AS longer FROM a_jobs""")
+def _(t):
+    """A default argument left out, and given by name."""
+    define_functions(t.spark)
+    return t.spark.sql("SELECT job_id, retries_left(retry_count) AS usual, retries_left(retry_count, most => 5) AS longer FROM {jobs}", jobs=t.jobs)
+
+
+def _order_checks(high):
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS test_name, CASE WHEN count(*) FILTER (NOT ({cond})) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, count(*) FILTER (NOT ({cond})) || ' bad records' AS details FROM a_orders"
+        for name, cond in (("total_positive", "total_amount > 0"), ("total_in_range", f"total_amount <= {high}"), ("discount_below_total", "discount_amount < total_amount"))
+    )
+
+
+@query("sql_table_function", f"SELECT 'default' AS bound, * FROM ({_order_checks(400000)}) UNION ALL SELECT 'given', * FROM ({_order_checks(250000)})")
+def _(t):
+    """Checks by a table function over all orders, with its default bound and with another."""
+    define_functions(t.spark)
+    text = """
+        SELECT '{bound}' AS bound, c.check_name AS test_name, CASE WHEN count_if(NOT c.passed) = 0 THEN 'PASS' ELSE 'FAIL' END AS status,
+               concat(count_if(NOT c.passed), ' bad records') AS details
+        FROM {{orders}} o, LATERAL order_checks(o.total_amount, o.discount_amount{more}) c GROUP BY c.check_name"""
+    made = [t.spark.sql(text.format(bound=b, more=m), orders=t.orders) for b, m in (("default", ""), ("given", ", 250000"))]
+    return made[0].unionByName(made[1])
+
+
 @query("check_template", """
     SELECT 'order_total_positive' AS test_name, 'PASS' AS status, count(*) || ' bad records' AS details FROM a_orders WHERE total_amount <= 0 HAVING count(*) = 0
     UNION ALL SELECT 'order_total_positive', 'FAIL', count(*) || ' bad records' FROM a_orders WHERE total_amount <= 0 HAVING count(*) > 0
