@@ -10,11 +10,22 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 Side = Callable[[str], Column]
 Expr = Callable[[Side, Side], Column]
 
 _SRC, _HIT_T, _HIT_S = "__src_", "__hit_target", "__hit_source"
+_SALT_T, _SALT_S = "__salt_target", "__salt_source"
+
+
+def _salt(df: DataFrame, keys: Sequence[str]) -> Column:
+    """0 for a full key.  A key with a NULL equals nothing, so such rows go wherever their other values send them."""
+    plain = [F.col(f.name) for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    none = F.lit(False)
+    for k in keys:
+        none |= F.col(k).isNull()
+    return F.when(none, F.xxhash64(*plain) if plain else F.lit(0)).otherwise(F.lit(0)).cast("long")
 
 
 def unique_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -71,9 +82,9 @@ def upsert(
     def s(name: str) -> Column:
         return F.col(_SRC + name)
 
-    left = target.withColumn(_HIT_T, F.lit(True))
-    right = source.select(*[F.col(c).alias(_SRC + c) for c in source.columns], F.lit(True).alias(_HIT_S))
-    on = [F.col(k) == F.col(_SRC + k) for k in keys]
+    left = target.withColumns({_HIT_T: F.lit(True), _SALT_T: _salt(target, keys)})
+    right = source.select(*[F.col(c).alias(_SRC + c) for c in source.columns], F.lit(True).alias(_HIT_S), _salt(source, keys).alias(_SALT_S))
+    on = [F.col(k) == F.col(_SRC + k) for k in keys] + [F.col(_SALT_T) == F.col(_SALT_S)]
     joined = left.join(right, on, "full_outer" if inserts else "left")
 
     old = F.coalesce(F.col(_HIT_T), F.lit(False))

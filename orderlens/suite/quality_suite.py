@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions import ntz, time_floor
 from orderlens.operators.changes import feed_status
+from orderlens.operators import digests
 from orderlens.plans import quality
 from orderlens.suite.registry import JOBS_AS_OF, query
 
@@ -154,6 +155,22 @@ def _(t):
     return quality.error_bursts(t.task_errors, limit=10, minutes=180)
 
 
+@query("reconcile_digests", """
+    WITH b AS (SELECT order_id, customer_id, CASE WHEN order_id % 97 = 0 THEN total_amount + 1 ELSE total_amount END AS total_amount, status FROM a_orders WHERE order_id % 113 <> 0
+        UNION ALL SELECT order_id + 1000000000, customer_id, total_amount, status FROM a_orders WHERE order_id % 127 = 0)
+    SELECT coalesce(a.order_id, b.order_id) AS order_id, (a.order_id IS NOT NULL)::BIGINT AS rows_first, (b.order_id IS NOT NULL)::BIGINT AS rows_second,
+        CASE WHEN b.order_id IS NULL THEN 'only_in_first' WHEN a.order_id IS NULL THEN 'only_in_second' ELSE 'changed' END AS difference
+    FROM a_orders a FULL JOIN b ON a.order_id = b.order_id
+    WHERE a.order_id IS NULL OR b.order_id IS NULL OR a.total_amount <> b.total_amount""")
+def _(t):
+    """Orders against a copy with changed, missing and added rows, opened by ranges that differ."""
+    orders = t.orders.select("order_id", "customer_id", "total_amount", "status")
+    amount = F.when(F.col("order_id") % 97 == 0, F.col("total_amount") + 1).otherwise(F.col("total_amount")).cast("decimal(12,2)")
+    added = orders.filter("order_id % 127 = 0").withColumn("order_id", F.col("order_id") + 1_000_000_000)
+    copy = orders.filter("order_id % 113 <> 0").withColumn("total_amount", amount).unionByName(added)
+    return digests.reconcile(orders, copy, ["order_id"])
+
+
 @query("quality_alert_days", """
     SELECT check_timestamp::DATE AS day, count(*) AS checks, count(*) FILTER (status = 'PASS')::DOUBLE / count(*) * 100 AS pass_pct
     FROM a_quality_checks GROUP BY 1 HAVING count(*) FILTER (status = 'PASS')::DOUBLE / count(*) * 100 < 95""")
