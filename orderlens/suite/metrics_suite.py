@@ -15,21 +15,22 @@ NOW = f"TIMESTAMP '{JOBS_AS_OF}'"
 TODAY = f"DATE '{ORDERS_AS_OF[:10]}'"
 SOLD = "status IN ('COMPLETED', 'SHIPPED')"
 
-_DAILY = f"""
-    SELECT coalesce(o.d, j.d) AS metric_date, coalesce(amount, 0)::DOUBLE AS total_revenue, coalesce(orders, 0)::BIGINT AS total_orders,
-        coalesce(custs, 0)::BIGINT AS unique_customers, coalesce(fresh, 0)::BIGINT AS new_customers, coalesce(returning_c, 0)::BIGINT AS returning_customers,
-        coalesce(amount::DOUBLE / n, 0)::DOUBLE AS average_order_value, coalesce(products, 0)::BIGINT AS products_sold,
-        'Top Product' AS top_selling_product, 'Top Category' AS top_selling_category,
-        coalesce(done, 0)::BIGINT AS jobs_completed, coalesce(failed, 0)::BIGINT AS jobs_failed, 0.95::DOUBLE AS system_health_score
-    FROM (SELECT o.order_date::DATE AS d, sum(o.total_amount) AS amount, count(o.total_amount) AS n, count(DISTINCT o.order_id) AS orders,
-            count(DISTINCT o.customer_id) AS custs, count(DISTINCT CASE WHEN c.created_at::DATE = o.order_date::DATE THEN c.customer_id END) AS fresh,
-            count(DISTINCT CASE WHEN c.created_at::DATE < o.order_date::DATE THEN o.customer_id END) AS returning_c,
-            count(DISTINCT oi.product_id) AS products
-          FROM {{orders}} o JOIN a_customers c ON o.customer_id = c.customer_id LEFT JOIN a_order_items oi ON o.order_id = oi.order_id
-          WHERE o.{SOLD} GROUP BY 1) o
-    FULL JOIN (SELECT created_at::DATE AS d, count(*) FILTER (status = 'COMPLETED') AS done, count(*) FILTER (status = 'FAILED') AS failed
-          FROM a_jobs GROUP BY 1) j ON o.d = j.d"""
-_ALL_DAYS = _DAILY.format(orders="a_orders")
+# The literals that the daily rows carry.
+_LITERALS = "'Top Product' AS top_selling_product, 'Top Category' AS top_selling_category", "0.95::DOUBLE AS system_health_score"
+# From one fact an order (its day, customer and number of items) to customers of a day, then to days.
+_ALL_DAYS = f"""
+    WITH fact AS (SELECT o.order_id, o.customer_id, o.order_date::DATE AS day, c.created_at::DATE AS joined, o.total_amount, greatest(coalesce(i.lines, 0), 1) AS fan
+        FROM a_orders o JOIN a_customers c ON c.customer_id = o.customer_id
+        LEFT JOIN (SELECT order_id, count(*) AS lines FROM a_order_items GROUP BY 1) i ON i.order_id = o.order_id WHERE o.{SOLD}),
+    people AS (SELECT day, customer_id, any_value(joined) AS joined, count(*) AS n, sum(total_amount * fan) AS money, sum(fan) AS weight FROM fact GROUP BY 1, 2),
+    days AS (SELECT day, sum(money)::DOUBLE AS money, sum(weight) AS weight, sum(n) AS n, count(*) AS people, count(*) FILTER (joined = day) AS fresh,
+        count(*) FILTER (joined < day) AS known FROM people GROUP BY 1),
+    goods AS (SELECT day, count(*) AS n FROM (SELECT DISTINCT day, product_id FROM fact JOIN a_order_items USING (order_id)) GROUP BY 1),
+    work AS (SELECT created_at::DATE AS day, count(*) FILTER (status = 'COMPLETED') AS done, count(*) FILTER (status = 'FAILED') AS failed FROM a_jobs GROUP BY 1)
+    SELECT coalesce(days.day, work.day) AS metric_date, coalesce(money, 0) AS total_revenue, coalesce(days.n, 0)::BIGINT AS total_orders, coalesce(people, 0) AS unique_customers,
+        coalesce(fresh, 0) AS new_customers, coalesce(known, 0) AS returning_customers, coalesce(money / weight, 0)::DOUBLE AS average_order_value,
+        coalesce(goods.n, 0) AS products_sold, {_LITERALS[0]}, coalesce(done, 0) AS jobs_completed, coalesce(failed, 0) AS jobs_failed, {_LITERALS[1]}
+    FROM days FULL JOIN work ON work.day = days.day LEFT JOIN goods ON goods.day = days.day"""
 
 
 def _one_day_sql(day):
