@@ -2,17 +2,19 @@
 
 A document's characters fall into classes and its words onto the common words of its
 language.  Both histograms are compared with the language's own, taken as the mean over
-all its documents, by Jensen-Shannon distance (0 to 1).  Documents shorter than
-``min_words`` are not judged by distance, nor are those of a language with fewer than
-``min_docs`` documents, whose mean says little.
+all its documents, by Jensen-Shannon distance (0 to 1).  A language's mean is drawn towards that
+of all documents as if ``prior_docs`` more had been seen, so that one with few documents is
+judged too.  Documents shorter than ``min_words`` are not judged by distance.
 
 One pass over the texts makes a row of counts for each document, which is written; the
 references are a partial aggregate of those rows, and joining them back moves counts,
 never texts.
 
-Defined results: a NULL text has no words and fails the base rules; a NULL or unknown
-language has common words of no list and is compared with its own mean, NULL with NULL;
-equal rows have equal results; columns named like an output are replaced, others passed on.
+Defined results: a NULL text has no words and fails the base rules; a NULL language is one
+with the empty name; a language of no list has no common words, so its words are at distance
+0 and its characters decide; equal rows have equal results.  ``assess`` replaces columns named
+like an output (OUT) or a histogram (``char_counts``, ``word_counts``) and passes on all others;
+``drop_poor`` returns every column as it was.
 """
 
 from __future__ import annotations
@@ -42,13 +44,17 @@ def _common_counts(lang: Column, words: Column) -> Column:
     return F.struct(few.alias("few"), mine.alias("mine"))
 
 
-def counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", with_text: bool = False) -> DataFrame:
-    """The rows, without their text unless asked for, with BASE, ``char_counts`` and ``word_counts`` (arrays)."""
+def _language(df: DataFrame, lang_col: str) -> Column:
+    return F.coalesce(df[f"`{lang_col}`"], F.lit(""))
+
+
+def counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
+    """The rows, without their text, with BASE, ``char_counts`` and ``word_counts`` (arrays)."""
     docs = without(docs, [*OUT, "char_counts", "word_counts"])
-    keep = [c for c in docs.columns if with_text or c != text_col]
-    n = {k: free_name(docs, k) for k in ("t", "w", "hw", "h", "lines", "found", "at")}
+    keep = [c for c in docs.columns if c != text_col]
+    n = {k: free_name(docs, k) for k in ("t", "w", "hw", "h", "lines", "found", "at", "letters", "upper", "digits", "common", "counted")}
     col = {k: F.col(v) for k, v in n.items()}
-    df = docs.withColumn(n["t"], F.coalesce(F.col(text_col), F.lit("")))
+    df = docs.withColumn(n["t"], F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
     df = df.withColumn(n["w"], F.filter(F.split("`%s`" % n["t"], r"[\x20\x09-\x0D]+"), lambda w: w != ""))
     df = df.withColumn(n["lines"], F.filter(F.split("`%s`" % n["t"], "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     df = df.withColumn(n["hw"], F.transform(col["w"], lambda w: F.xxhash64(w)))
@@ -73,20 +79,21 @@ def counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", with
         F.regexp_count(col["t"], F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size(col["lines"]) - F.size(F.array_distinct(col["lines"]))).cast("long").alias("n_dup_lines"),
         F.coalesce(F.aggregate(step, F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long").alias("n_repeat_words"),
-        letters.alias("letters"), upper.alias("upper"), digits.alias("digits"),
-        _common_counts(F.col(lang_col), col["w"]).alias("common"),
+        letters.alias(n["letters"]), upper.alias(n["upper"]), digits.alias(n["digits"]),
+        _common_counts(F.col(f"`{lang_col}`"), col["w"]).alias(n["common"]),
     )
-    word_counts = F.transform(F.col("common.mine"), lambda m: F.size(F.filter(F.col("common.few"), lambda w: w == m)).cast("double"))
-    total = F.aggregate(F.col("counted"), F.lit(0.0), lambda a, x: a + x)
+    few = col["common"]["few"]
+    word_counts = F.transform(col["common"]["mine"], lambda m: F.size(F.filter(few, lambda w: w == m)).cast("double"))
+    total = F.aggregate(col["counted"], F.lit(0.0), lambda a, x: a + x)
     return (
-        df.withColumn("counted", word_counts)
+        df.withColumn(n["counted"], word_counts)
         .select(
             *[F.col(f"`{c}`") for c in keep], *BASE,
             F.array(
-                F.col("letters") - F.col("upper"), F.col("upper"), F.col("digits"), F.col("n_symbols"),
-                F.greatest(F.lit(0), F.col("word_chars") - F.col("letters") - F.col("digits") - F.col("n_symbols")),
+                col["letters"] - col["upper"], col["upper"], col["digits"], F.col("n_symbols"),
+                F.greatest(F.lit(0), F.col("word_chars") - col["letters"] - col["digits"] - F.col("n_symbols")),
             ).cast("array<double>").alias("char_counts"),
-            F.concat(F.col("counted"), F.array(F.col("n_words") - total)).alias("word_counts"),
+            F.concat(col["counted"], F.array(F.col("n_words") - total)).alias("word_counts"),
         )
     )
 
@@ -103,31 +110,46 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), total / 2))
 
 
-def references(counted: DataFrame, lang_col: str = "lang", min_words: int = 50) -> DataFrame:
-    """One row per language: mean shares over its documents of at least ``min_words`` words."""
-    lang = F.coalesce(F.col(lang_col), F.lit("")).alias("ref_lang")
+def references(counted: DataFrame, lang_col: str = "lang", min_words: int = 50, prior_docs: float = 5.0) -> DataFrame:
+    """(ref_lang, ref_docs, ref_c, ref_w), one row per language: mean shares over its documents of at least ``min_words`` words.
+
+    Means are those of the language's documents and of ``prior_docs`` more that are the mean of
+    all documents; for words, of all documents of a listed language.
+    """
+    lang = _language(counted, lang_col).alias("ref_lang")
     shared = counted.filter(F.col("n_words") >= min_words).select(lang, shares(F.col("char_counts")).alias("c"), shares(F.col("word_counts")).alias("w"))
-    mean = lambda name, k: F.avg(F.get(F.col(name), F.lit(k)))
-    return shared.groupBy("ref_lang").agg(
-        F.count("*").alias("ref_docs"), F.array(*[mean("c", k) for k in range(5)]).alias("ref_c"), F.array(*[mean("w", k) for k in range(9)]).alias("ref_w"),
+    sums = lambda name, size: F.array(*[F.sum(F.get(F.col(name), F.lit(k))) for k in range(size)])
+    of = shared.groupBy("ref_lang").agg(F.count("*").alias("ref_docs"), sums("c", 5).alias("c"), sums("w", 9).alias("w"))
+    of = of.withColumn("listed", F.col("ref_lang").isin(list(COMMON)))
+    total = lambda name, size, mine: F.array(*[F.sum(F.when(mine, F.get(F.col(name), F.lit(k)))) for k in range(size)])
+    every = of.agg(
+        F.sum("ref_docs").alias("n"), total("c", 5, F.lit(True)).alias("all_c"),
+        F.sum(F.when(F.col("listed"), F.col("ref_docs"))).alias("n_listed"), total("w", 9, F.col("listed")).alias("all_w"),
+    )
+    drawn = lambda own, all_, n: F.zip_with(own, all_, lambda x, y: (x + prior_docs * y / n) / (F.col("ref_docs") + prior_docs))
+    own = F.transform(F.col("w"), lambda x: x / F.col("ref_docs"))
+    return of.crossJoin(every).select(  # with one row
+        "ref_lang", "ref_docs", drawn(F.col("c"), F.col("all_c"), F.col("n")).alias("ref_c"),
+        F.when(F.col("listed"), drawn(F.col("w"), F.col("all_w"), F.col("n_listed"))).otherwise(own).alias("ref_w"),
     )
 
 
 def judge(
-    counted: DataFrame, reference: DataFrame, lang_col: str = "lang", min_words: int = 50, min_docs: int = 20,
-    max_distance: float = 0.29, noise: float = 0.75,
+    counted: DataFrame, reference: DataFrame, lang_col: str = "lang", min_words: int = 50, max_distance: float = 0.29, noise: float = 0.75,
 ) -> DataFrame:
     """Counted rows with ``base_failed``, both distances (NULL where not judged) and ``kept``.
 
     The Euclidean length of the two distances may reach ``max_distance`` plus ``noise`` over
     the root of the number of words, since a short clean document strays further.
     """
-    judged = (F.col("n_words") >= min_words) & (F.col("ref_docs") >= min_docs)
-    df = counted.join(reference, F.coalesce(F.col(lang_col), F.lit("")) == reference.ref_lang, "left")
+    name = {c: free_name(counted, c) for c in ("ref_lang", "ref_c", "ref_w")}
+    ref = reference.select(*[F.col(c).alias(x) for c, x in name.items()])
+    judged = (F.col("n_words") >= min_words) & F.col(name["ref_lang"]).isNotNull()
+    df = counted.join(ref, _language(counted, lang_col) == ref[name["ref_lang"]], "left")
     df = df.withColumns({
         "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
-        "char_distance": F.when(judged, js_distance(shares(F.col("char_counts")), F.col("ref_c"))),
-        "word_distance": F.when(judged, js_distance(shares(F.col("word_counts")), F.col("ref_w"))),
+        "char_distance": F.when(judged, js_distance(shares(F.col("char_counts")), F.col(name["ref_c"]))),
+        "word_distance": F.when(judged, js_distance(shares(F.col("word_counts")), F.col(name["ref_w"]))),
     })
     # One comparison with columns of both sides: a filter on it stays above the join and
     # is not unfolded into the counting expressions.
@@ -148,6 +170,7 @@ def drop_poor(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", *
 
     Texts are read twice, once for the references and once to filter, and never shuffled.
     """
-    reference = written(references(counts(docs, lang_col, text_col), lang_col), "quality_references")
-    judged = judge(counts(docs, lang_col, text_col, with_text=True), reference, lang_col, **limits)
-    return judged.filter("kept").select(*without(docs, OUT).columns)
+    packed = docs.select(F.struct("*").alias("own"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
+    reference = written(references(counts(packed.select("lang", "text"))), "quality_references")
+    judged = judge(counts(packed), reference, **limits)
+    return judged.filter("kept").select("own.*")

@@ -17,7 +17,9 @@ round written to the shared folder.
 ``drop_similar`` is for similarities that a few bits cannot hold: at a Jaccard similarity
 of 0.8 fingerprints differ in up to 14 bits or more, and ``radius + 1`` bands of 4 bits
 select nothing.  There, texts meet by bands of MinHash values, the Gray order finds the
-nearest ones in large bands, and the exact similarity of the shingles decides.
+nearest ones in large bands, and the exact similarity of the shingles decides.  What that
+order may miss inside large bands is then searched in full (``missed``): texts that are not
+yet in one group meet by their rarest shingles, a filter that loses no pair.
 
 Defined results: a NULL or blank text has fingerprint zero and is linked like any other;
 a NULL id never becomes a component's id unless all its ids are NULL; equal rows have
@@ -29,17 +31,18 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import adding, as_bytes, free_name, mix, without, written
+from orderlens.llm.common import adding, as_bytes, free_name, mix, slices, without, written
 
 FAN = 8
 PAIRS = 1 << 16  # pairs looked at together: bounds memory, not results
 #: MinHash: a pair at similarity s shares one of BANDS values with probability 1 - (1 - s ** ROWS) ** BANDS, 0.99997 at 0.8.
 BANDS, ROWS = 20, 4
 _FACTORS = np.random.default_rng(42).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-#: In a band value of more than SMALL texts, each is paired with its NEAREST by fingerprint among WINDOW in Gray order.
+#: In a band value of more than SMALL texts, each is first paired with its NEAREST by fingerprint among WINDOW in Gray
+#: order; ``missed`` finds the other pairs there, so the three values steer the work and not the result.
 SMALL, NEAREST, WINDOW = 16, 3, 1024
 
 
@@ -306,9 +309,11 @@ def nearest(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def candidates(nodes: DataFrame, group_rows: int = 100_000) -> DataFrame:
-    """(a, b), a < b: texts that share a band value; of many that share one, those near to each other.
+    """(a, b, value): pairs a < b of texts that share a band value, and the members of large values.
 
-    A band value's pairs are at most ``SMALL`` or ``2 * NEAREST + 1`` times its texts.
+    Texts of a value that at most ``SMALL`` share are paired in full, ``value`` being NULL.
+    Of a larger value those near to each other are paired, at most ``2 * NEAREST + 1`` times
+    its texts, and each of its texts is listed as (a, NULL, value).
     """
     dealt = nodes.select("node", "fp", F.posexplode("bands").alias("band", "value"))
     n = nodes.count() * BANDS
@@ -321,7 +326,7 @@ def candidates(nodes: DataFrame, group_rows: int = 100_000) -> DataFrame:
         value, node, fp = value[order], node[order], table.column("fp").to_numpy()[order].view(np.uint64)
         band = table.column("band").to_numpy()[order]
         edges = np.r_[0, np.flatnonzero(value[1:] != value[:-1]) + 1, len(value)]
-        a, b = [], []
+        a, b, large = [], [], []
         for lo in np.flatnonzero(np.diff(edges) > 1).tolist():
             x, y = int(edges[lo]), int(edges[lo + 1])
             if y - x <= SMALL:
@@ -329,22 +334,37 @@ def candidates(nodes: DataFrame, group_rows: int = 100_000) -> DataFrame:
             else:  # each band turns the bits, so that its windows differ from the others'
                 turn = np.uint64(3 * int(band[x]))
                 i, j = nearest(fp[x:y] << turn | fp[x:y] >> (np.uint64(64) - turn) if turn else fp[x:y])
+                large.append(np.arange(x, y))
             a.append(node[x:y][i])
             b.append(node[x:y][j])
         a, b = (np.concatenate([*z, np.zeros(0, np.int64)]) for z in (a, b))
         found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-        return pa.table({"a": pa.array(found[:, 0]), "b": pa.array(found[:, 1])})
+        large = np.concatenate([*large, np.zeros(0, np.int64)])
+        none = lambda n: pa.nulls(n, pa.int64())
+        column = lambda x, y: pa.chunked_array([x, y], pa.int64())
+        return pa.table({
+            "a": column(pa.array(found[:, 0]), pa.array(node[large])),
+            "b": column(pa.array(found[:, 1]), none(len(large))),
+            "value": column(none(len(found)), pa.array(value[large])),
+        })
 
-    return dealt.groupBy("grp").applyInArrow(pairs, "a long, b long").distinct()
+    return dealt.groupBy("grp").applyInArrow(pairs, "a long, b long, value long")
 
 
-def similar(texts: DataFrame, pairs: DataFrame, words_per_shingle: int, least: float) -> DataFrame:
-    """The pairs whose texts (node, text; one row for each node of a pair) have distinct shingles at a Jaccard similarity of ``least`` or more."""
+def shingle_sets(texts: DataFrame, words_per_shingle: int) -> DataFrame:
+    """(node, n, s) for (node, text): the number of distinct shingles and their values, packed."""
 
     def sets(batches):
         for batch in batches:
-            packed = [np.unique(shingles(b" ".join(t.lower().split()), words_per_shingle)).tobytes() for t in as_bytes(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(packed, pa.binary())], names=["node", "s"])
+            found = [np.unique(shingles(b" ".join(t.lower().split()), words_per_shingle)) for t in as_bytes(batch.column("text"))]
+            n, packed = pa.array(map(len, found), pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), n, packed], names=["node", "n", "s"])
+
+    return written(texts.mapInArrow(sets, "node long, n long, s binary"), "shingle_sets")
+
+
+def similar(sets: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
+    """The pairs whose shingle sets have a Jaccard similarity of ``least`` or more."""
 
     def judge(batches):
         for batch in batches:
@@ -355,15 +375,60 @@ def similar(texts: DataFrame, pairs: DataFrame, words_per_shingle: int, least: f
                 good.append(both >= least * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    set_ = written(texts.mapInArrow(sets, "node long, s binary"), "shingle_sets")
-    first, second = set_.select(F.col("node").alias("a"), "s"), set_.select(F.col("node").alias("b"), F.col("s").alias("t"))
+    first, second = sets.select(F.col("node").alias("a"), "s"), sets.select(F.col("node").alias("b"), F.col("s").alias("t"))
     return pairs.join(first, "a").join(second, "b").select("a", "b", "s", "t").mapInArrow(judge, "a long, b long")
 
 
+def apart(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, root): the texts of large band values that hold more than one group; ``root`` names a text's group so far."""
+    labelled = members.join(roots, "node", "left").select("value", "node", F.coalesce("root", "node").alias("root"))
+    mixed = labelled.groupBy("value").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("value")
+    return labelled.join(mixed, "value", "left_semi").select("node", "root").distinct()
+
+
+def missed(sets: DataFrame, labels: DataFrame, least: float) -> DataFrame:
+    """(a, b), a < b: all pairs of ``labels`` from different groups that may reach ``least``.
+
+    Shingles are put in one order, rarest first.  Sets x and y, x not the larger, that reach
+    ``least`` have ``2 * least / (1 + least)`` of x in common, and ``least`` of y; so they share
+    one of the first shingles of each, all but that many and one more.  Shingles of one
+    text alone are only counted.  A shingle whose texts are one group joins nothing, which
+    keeps groups of copies from being paired; a frequent shingle's rows are split by Spark's skew join.
+    """
+
+    def listed(batches):
+        for batch in batches:
+            for piece in slices(batch, "s"):
+                n = piece.column("n").to_numpy()
+                tokens = np.concatenate([np.frombuffer(x, np.int64) for x in piece.column("s").to_pylist()])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(piece.column(c).to_numpy(), n)) for c in ("node", "root", "n")] + [pa.array(tokens)],
+                    names=["node", "root", "n", "token"],
+                )
+
+    rows = sets.join(labels, "node").select("node", "root", "n", "s").mapInArrow(listed, "node long, root long, n long, token long")
+    common = rows.groupBy("token").agg(F.count("*").alias("texts")).filter("texts > 1")
+    of_text = Window.partitionBy("node")
+    place = F.col("n") - F.count("*").over(of_text) + F.row_number().over(of_text.orderBy("texts", "token"))
+    ranked = rows.join(common, "token").withColumn("place", place)
+    shared = lambda part: F.ceil(F.lit(part) * F.col("n") - 1e-9)
+    first = ranked.filter(F.col("place") <= F.col("n") - shared(least) + 1).select(
+        "token", "node", "root", "n", (F.col("place") <= F.col("n") - shared(2 * least / (1 + least)) + 1).alias("short"))
+    first = written(first, "rare_shingles")
+    mixed = first.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("token")
+    first = written(first.join(mixed, "token", "left_semi"), "rare_shingles")
+    x = first.filter("short").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "n")])
+    ordered = (F.col("x_n") < F.col("n")) | ((F.col("x_n") == F.col("n")) & (F.col("x_node") < F.col("node")))
+    near = ordered & (F.col("x_root") != F.col("root")) & (F.lit(least) * F.col("n") <= F.col("x_n") + 1e-9)
+    return x.join(first, "token").filter(near).select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
+
+
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 5, least: float = 0.8) -> DataFrame:
     """One row of each group of texts that chains of Jaccard similarity ``least`` or more join: that with the smallest id.
 
     NULL ids come last, then the text hash decides; rows with the same words are one text.
+    Two texts at ``least`` or more share one of the MinHash bands with a probability of 0.99997
+    or more; every pair that does is found, however many texts share the band.
     """
     digest = free_name(docs, "text_digest")
     keyed = docs.withColumn(digest, F.xxhash64(F.col(text_col)))
@@ -372,10 +437,18 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # From here on a text is one row, however many copies it has.
     nodes = rows.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"), F.min(_first("id", "digest")).alias("k"))
     nodes = written(nodes, "distinct_texts")
-    pairs = written(candidates(nodes), "similar_candidates")
+    found = written(candidates(nodes), "similar_candidates")
+    pairs = written(found.filter("value IS NULL").select("a", "b").distinct(), "similar_candidates")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     one = nodes.join(asked, "node", "left_semi").select("node", "k.*")
     texts = plain.join(one, _same(one, "id", "digest")).select("node", "text").dropDuplicates(["node"])
-    roots = components(similar(texts, pairs, words_per_shingle, least), "similar")
+    sets = shingle_sets(texts, words_per_shingle)
+    links = written(similar(sets, pairs, least), "similar")
+    roots = components(links, "similar")
+    members = found.filter("value IS NOT NULL").select(F.col("a").alias("node"), "value")
+    others = written(missed(sets, apart(members, roots), least), "similar_missed")
+    more = written(similar(sets, others, least), "similar_missed")
+    if not more.isEmpty():
+        roots = components(links.union(more), "similar")
     found = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("k").alias("k"))
     return _first_rows(keyed, found.select("k.*"), id_col, digest)

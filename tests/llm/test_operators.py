@@ -187,6 +187,122 @@ def test_similar_texts_are_dropped_at_jaccard_080(spark):
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == got
 
 
+def test_no_pair_is_lost_among_texts_of_one_template(spark):
+    """Large band values: all texts share a template, and only planted copies reach 0.8."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    template = [word() for _ in range(120)]
+    rows = [(i, template + [word() for _ in range(22)]) for i in range(300)]
+    for _, words in rows[:100]:
+        copy = list(words)
+        for _ in range(2):
+            copy[rng.randrange(len(copy))] = word()
+        rows.append((len(rows), copy))
+    rows = [(i, " ".join(words)) for i, words in rows]
+    want = {i for i, r in jaccard_sets(rows).items() if i == r}
+    assert 300 <= len(want) < 330
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in simhash.drop_similar(df).collect()} == want
+
+
+def test_missed_finds_every_pair_of_different_groups(spark):
+    rng = random.Random(6)
+    family = [rng.sample(range(1, 10_000), 60) for _ in range(8)]
+    sets = []
+    for k in range(200):
+        s = set(family[k % 8])
+        for _ in range(rng.randint(0, 16)):
+            s ^= {rng.choice(family[k % 8]) if rng.random() < 0.5 else rng.randint(1, 300)}
+        sets.append(s)
+    root = [k if k % 3 else k % 8 for k in range(200)]
+    packed = [(k, len(s), bytearray(np.array(sorted(s), np.int64).tobytes())) for k, s in enumerate(sets)]
+    frame = spark.createDataFrame(packed, "node long, n long, s binary")
+    labels = spark.createDataFrame(list(enumerate(root)), "node long, root long")
+    found = {(r.a, r.b) for r in simhash.missed(frame, labels, 0.8).collect()}
+    near = {
+        (i, j) for i in range(200) for j in range(i + 1, 200)
+        if root[i] != root[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    }
+    assert near and near <= found
+
+
+def test_similar_texts_on_odd_rows(spark, odd):
+    once = simhash.drop_similar(odd)
+    assert once.columns == odd.columns
+    want = jaccard_sets([(k, t) for k, (_, t) in enumerate(ODD)])
+    first = {}
+    for k, (i, _) in enumerate(ODD):
+        first.setdefault(want[k], []).append((i is None, i or 0))
+    agree([(r.doc_id,) for r in once.collect()], [(None if min(x)[0] else min(x)[1],) for x in first.values()])
+    assert simhash.drop_similar(odd.limit(0)).count() == 0
+
+
+JUNK = " ".join([f"#{i}$%{i * 7}&" for i in range(90)])
+
+
+def clean(rng):
+    words = [w for w in quality_rules.COMMON["en"]] + "water house green small people country during water light number".split()
+    return " ".join(rng.choice(words) + ("" if rng.random() < 0.3 else "abcdefghi"[rng.randrange(9)]) for _ in range(120))
+
+
+@pytest.mark.parametrize("others", [18, 40])
+def test_junk_is_judged_alike_in_small_and_large_tables(spark, others):
+    rng = random.Random(7)
+    rows = [(i, clean(rng), "en") for i in range(others)] + [(1000, JUNK, "en")]
+    found = {r.doc_id: r.kept for r in quality_rules.assess(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert found == {i: True for i in range(others)} | {1000: False}
+
+
+def test_rare_and_null_languages_are_judged(spark):
+    rng = random.Random(8)
+    rows = [(i, clean(rng), "en") for i in range(40)] + [(50, clean(rng), "it"), (51, clean(rng), None), (52, JUNK, "it2"), (53, JUNK, "NO")]
+    found = {r.doc_id: r.kept for r in quality_rules.assess(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert found[50] and found[51] and not found[52] and not found[53]
+
+
+def test_quality_with_columns_named_like_inner_ones(spark):
+    rng = random.Random(9)
+    names = ["letters", "upper", "digits", "common", "counted", "ref_lang", "ref_docs", "ref_c", "ref_w", "t", "w", "hw", "h", "own",
+             "char_counts", "word_counts", "kept", "n_words", "base_failed", "char_distance"]
+    rows = [(i, clean(rng) if i else JUNK, "en", *[k * i for k in range(len(names))]) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, " + ", ".join(f"{c} long" for c in names))
+    plain = {r.doc_id for r in quality_rules.assess(df.select("doc_id", "text", "lang")).filter("kept").collect()}
+    found = quality_rules.assess(df)
+    assert {r.doc_id for r in found.filter("kept").collect()} == plain == set(range(1, 30))
+    assert {"letters", "ref_w", "counted", "own"} < set(found.columns) and found.filter("doc_id = 3").first()["upper"] == 3
+    kept = quality_rules.drop_poor(df)
+    assert kept.columns == df.columns
+    agree(kept.collect(), [r for r in rows if r[0]])
+
+
+def js(p, q):
+    m = [(a + b) / 2 for a, b in zip(p, q)]
+    part = lambda x: sum(a * np.log2(a / c) for a, c in zip(x, m) if a > 0)
+    return max(0.0, (part(p) + part(q)) / 2) ** 0.5
+
+
+def test_kept_against_a_plain_version(spark):
+    """``kept`` of the registered query on the given documents, from the histograms by plain Python."""
+    frame = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "lang", "text")
+    counted = [r for r in quality_rules.counts(frame).collect()]
+    share = lambda h: [x / sum(h) if sum(h) else 0.0 for x in h]
+    long_ = [r for r in counted if r.n_words >= 50]
+    mean = lambda rows, c: np.mean([share(r[c]) for r in rows], axis=0)
+    want = {}
+    for r in counted:
+        failed = r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words
+        if failed:
+            want[r.doc_id] = False
+            continue
+        lang, listed = r.lang or "", [x for x in long_ if x.lang in quality_rules.COMMON]
+        own = [x for x in long_ if (x.lang or "") == lang]
+        at = [(len(own) * mean(own, c) + 5 * mean(rows, c)) / (len(own) + 5) for c, rows in (("char_counts", long_), ("word_counts", listed))]
+        d = np.hypot(js(share(r.char_counts), at[0]), js(share(r.word_counts), at[1]) if lang in quality_rules.COMMON else 0.0)
+        want[r.doc_id] = bool(d - 0.75 / r.n_words ** 0.5 <= 0.29)
+    got = {r.doc_id: r.kept for r in queries.QUERIES["op9_quality_rules"](spark, FOLDER).collect()}
+    assert got == want and len(set(want.values())) == 2
+
+
 @pytest.fixture(scope="module")
 def coder():
     P = pytest.importorskip("public_tokenizers")
