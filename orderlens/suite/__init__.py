@@ -1,6 +1,7 @@
 """The registered queries; importing this package registers all of them."""
 
 from orderlens.suite import (  # noqa: F401
+    feeds_suite,
     metrics_suite,
     nudges_suite,
     quality_suite,

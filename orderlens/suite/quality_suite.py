@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from orderlens.functions import ntz, time_floor
-from orderlens.operators.changes import feed_status
 from orderlens.operators import digests
 from orderlens.plans import quality
 from orderlens.suite.registry import JOBS_AS_OF, query
@@ -210,39 +209,6 @@ def _(t):
     return quality.system_health(t.jobs, t.task_errors, JOBS_AS_OF)
 
 
-def _feeds(t):
-    since = ntz(JOBS_AS_OF) - F.expr("interval 1 hour")
-    feeds = {
-        "customers": t.customers.filter("email IS NULL"),
-        "products": t.products.filter("price < 0"),
-        "jobs": t.jobs.filter(F.col("created_at") >= since),
-    }
-    return feed_status(feeds)
-
-
-_FEEDS = f"""
-    SELECT 'customers' AS feed, count(*) AS pending_changes FROM a_customers WHERE email IS NULL
-    UNION ALL SELECT 'products', count(*) FROM a_products WHERE price < 0
-    UNION ALL SELECT 'jobs', count(*) FROM a_jobs WHERE created_at >= {NOW} - INTERVAL 1 HOUR"""
-
-
-@query("feed_status", f"SELECT *, CASE WHEN pending_changes > 0 THEN 'HAS_DATA' ELSE 'UP_TO_DATE' END AS state FROM ({_FEEDS})")
-def _(t):
-    return _feeds(t)
-
-
-@query("pipeline_health", f"""
-    WITH e AS (SELECT count(*) AS error_count FROM a_task_errors WHERE error_timestamp >= {NOW} - INTERVAL 1 HOUR
-               AND error_category = 'DATA_PIPELINE' AND NOT resolved),
-    f AS (SELECT count(*) FILTER (pending_changes > 0) AS streams_with_data FROM ({_FEEDS})),
-    h AS (SELECT CASE WHEN error_count = 0 THEN 'HEALTHY' WHEN error_count <= 3 THEN 'WARNING' ELSE 'UNHEALTHY' END AS health_status, * FROM e, f)
-    SELECT *, CASE health_status WHEN 'HEALTHY' THEN 1.0 WHEN 'WARNING' THEN 0.5 ELSE 0.0 END::DOUBLE AS metric_value,
-        '{{"health_status":"' || health_status || '","error_count":' || error_count || ',"streams_with_data":' || streams_with_data || '}}' AS tags,
-        'Pipeline Health: ' || health_status || ' | Recent Errors: ' || error_count || ' | Streams with Data: ' || streams_with_data AS summary FROM h""")
-def _(t):
-    return quality.pipeline_health(t.task_errors, _feeds(t), JOBS_AS_OF)
-
-
 @query("errors_autoresolve", f"""
     WITH c AS (SELECT count(*) AS open FROM a_task_errors WHERE error_timestamp >= {NOW} - INTERVAL 1 HOUR AND error_category = 'DATA_PIPELINE' AND NOT resolved),
     x AS (SELECT a_task_errors.*, error_timestamp < {NOW} - INTERVAL 1 DAY AND error_category = 'DATA_PIPELINE' AND NOT resolved AND open > -1 AS hit FROM a_task_errors, c)

@@ -3,10 +3,11 @@
 from pyspark.sql import functions as F
 
 from orderlens.functions import dbl, mean, money, ntz
+from orderlens.operators import nested_schemas
 from orderlens.operators.ranking import rank_desc
 from orderlens.plans import relational, views
 from orderlens.plans.quality import orphans
-from orderlens.session import settle
+from orderlens.session import run_dir, settle
 from orderlens.suite.registry import JOBS_AS_OF, ORDERS_AS_OF, query
 
 TODAY = f"DATE '{ORDERS_AS_OF[:10]}'"
@@ -135,6 +136,34 @@ def _(t):
     )
 
 
+def _order_documents(t, later):
+    """Orders with their items nested in them; the later form has wider amounts, one field more and one less."""
+    amount = "decimal(14,2)" if later else "decimal(12,2)"
+    item = [F.col("product_id"), F.col("quantity").cast("bigint" if later else "int").alias("quantity"), F.col("total_price").cast(amount).alias("price")]
+    item.append(F.col("ship_date").alias("shipped") if later else F.col("line_number").alias("line"))
+    items = t.order_items.groupBy("order_id").agg(F.collect_list(F.struct(*item)).alias("items"))
+    head = F.struct("customer_id", F.col("total_amount").cast("decimal(10,2)" if later else amount).alias("amount"), "status")
+    return t.orders.select("order_id", head.alias("head")).join(items, "order_id", "left")
+
+
+@query("schema_compare", """
+    SELECT * FROM (VALUES
+        ('orders', 'head.amount', 'NARROWED', 'decimal(12,2)', 'decimal(10,2)'),
+        ('orders', 'items[].quantity', 'WIDENED', 'int', 'bigint'),
+        ('orders', 'items[].price', 'WIDENED', 'decimal(12,2)', 'decimal(14,2)'),
+        ('orders', 'items[].shipped', 'ADDED', NULL, 'timestamp_ntz'),
+        ('orders', 'items[].line', 'DROPPED', 'int', NULL)
+    ) AS v(table_name, path, change, first_type, second_type) WHERE (SELECT count(*) FROM orders) > 0""")
+def _(t):
+    """The schemas of two written forms of the order documents, as their files hold them."""
+    schemas = []
+    for later in (False, True):
+        path = run_dir(t.spark, "order_documents")
+        _order_documents(t, later).write.parquet(path)
+        schemas.append({"orders": t.spark.read.parquet(path).schema})
+    return nested_schemas.compare(t.spark, *schemas).drop("first_nullable", "second_nullable")
+
+
 @query("schema_minus", """
     WITH dev AS (SELECT 'customer' AS table_name, k AS column_name FROM (SELECT DISTINCT unnest(
             [CASE WHEN c_custkey IS NOT NULL THEN 'key' END, CASE WHEN c_name IS NOT NULL THEN 'name' END,

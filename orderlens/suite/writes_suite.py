@@ -315,21 +315,3 @@ def _(t):
     columns = ["job_id", "job_type", "status", "priority", "created_at"]
     feed = changes.change_feed(before.select(*columns), t.jobs.select(*columns), ["job_id"])
     return job_plans.pending_inserts(feed).select("job_id", "job_type", "priority", "created_at")
-
-
-@query("force_processing_summary", f"""
-    WITH f AS (SELECT 1 AS o, 'customers' AS feed, count(*) AS n FROM a_customers WHERE email IS NULL
-    UNION ALL SELECT 2, 'products', count(*) FROM a_products WHERE price < 0
-    UNION ALL SELECT 3, 'orders', count(*) FROM a_orders WHERE order_date >= DATE '2001-07-01'
-    UNION ALL SELECT 4, 'order_items', count(*) FROM a_order_items WHERE ship_date >= DATE '2001-08-01')
-    SELECT coalesce('Forced processing completed for: ' || string_agg(feed, ', ' ORDER BY o), 'No pending data found in streams. Nothing to process.') AS summary
-    FROM f WHERE n > 0""")
-def _(t):
-    return job_plans.force_processing(
-        {
-            "customers": t.customers.filter("email IS NULL"),
-            "products": t.products.filter("price < 0"),
-            "orders": t.orders.filter(F.col("order_date") >= ntz("2001-07-01")),
-            "order_items": t.order_items.filter(F.col("ship_date") >= ntz("2001-08-01")),
-        }
-    )

@@ -58,7 +58,7 @@ def test_month_modes_compute_their_join_once(spark, t):
 
 
 STREAMS = ("csv_", "metadata_", "event_dead", "stream_", "event_dedup_stream", "late_", "order_items_refresh", "nudge_cooldown_stream",
-           "snapshot_", "job_audit", "report_documents")
+           "snapshot_", "job_audit", "report_documents", "feed_status", "pipeline_health", "force_processing_", "schema_compare")
 
 
 def test_no_query_runs_python_per_row_or_a_cartesian_product(spark):
