@@ -44,10 +44,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to its text."""
     ship(spark)
     ranks = byte_bpe.shared_ranks(spark, public_tokenizers.path(RANKS))
-    ids = byte_bpe.encode(docs.drop("lang", "source", "n_chars"), ranks, public_tokenizers.PATTERN)
-    both = ids.withColumn("given", F.sha2(F.coalesce("text", F.lit("")), 256)).withColumn("token_ids", F.col("ids")).drop("text")
-    back = byte_bpe.decode(both, ranks, public_tokenizers.PATTERN)
-    return back.select("doc_id", "n_tokens", "token_ids", "ids_sha256", (F.sha2("decoded", 256) == F.col("given")).alias("round_trip"))
+    found = byte_bpe.encode_checked(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return found.select("doc_id", "n_tokens", F.col("ids").alias("token_ids"), "ids_sha256", "round_trip")
 
 
 STAGES = [

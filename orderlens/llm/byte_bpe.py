@@ -228,16 +228,39 @@ def encode(docs: DataFrame, ranks: Broadcast, pattern: str, text_col: str = "tex
     def run(batches):
         coder = _coder(ranks, pattern)
         for batch in (part for b in batches for part in slices(b, text_col)):
-            ids = [coder.packed(coder.split(t or "")) for t in batch.column(text_col).to_pylist()]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
-            values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
-            batch = batch.append_column("n_tokens", pa.array(sizes))
-            yield batch.append_column("ids", pa.ListArray.from_arrays(offsets, values))
+            yield _with_ids(batch, [coder.packed(coder.split(t or "")) for t in batch.column(text_col).to_pylist()])
 
     return docs.mapInArrow(run, adding(docs, "n_tokens long, ids array<int>"))
 
 
+def _with_ids(batch: pa.RecordBatch, ids: list[np.ndarray]) -> pa.RecordBatch:
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    offsets = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+    values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
+    return batch.append_column("n_tokens", pa.array(sizes)).append_column("ids", pa.ListArray.from_arrays(offsets, values))
+
+
+def encode_checked(docs: DataFrame, ranks: Broadcast, pattern: str, text_col: str = "text") -> DataFrame:
+    """The rows with ``n_tokens``, ``ids``, ``ids_sha256`` and ``round_trip`` in place of the text.
+
+    ``round_trip`` tells whether the ids decode to the text's bytes.  Both ways are one map,
+    in slices, so that a task has one worker with one encoder and holds one slice of texts.
+    """
+    docs = without(docs, ["n_tokens", "ids", "ids_sha256", "round_trip"])
+
+    def run(batches):
+        coder = _coder(ranks, pattern)
+        for batch in (part for b in batches for part in slices(b, text_col)):
+            texts = [t or "" for t in batch.column(text_col).to_pylist()]
+            ids = [coder.packed(coder.split(t)) for t in texts]
+            digest = [hashlib.sha256(",".join(map(str, x.tolist())).encode()).hexdigest() for x in ids]
+            same = [coder.decode(x.tolist()) == t.encode() for x, t in zip(ids, texts)]
+            batch = _with_ids(batch.drop_columns([text_col]), ids)
+            yield batch.append_column("ids_sha256", pa.array(digest, pa.string())).append_column("round_trip", pa.array(same, pa.bool_()))
+
+    return docs.mapInArrow(run, adding(docs.drop(text_col), "n_tokens long, ids array<int>, ids_sha256 string, round_trip boolean"))
+
+
 def decode(encoded: DataFrame, ranks: Broadcast, pattern: str, ids_col: str = "ids") -> DataFrame:
     """The rows with ``decoded`` (bytes: a cut through a character is no error) and ``ids_sha256`` in place of the ids."""
     rest = without(encoded, [ids_col, "decoded", "ids_sha256"])

@@ -321,6 +321,21 @@ def test_bpe(spark, odd, docs, coder):
     agree(rows, want)
 
 
+def test_pipeline_tokens_are_one_map(spark, odd):
+    """One worker with one encoder a task: a second map beside it took the executor beyond its memory."""
+    import public_tokenizers as P
+
+    found = corpus_pipeline.tokens(spark, odd, FOLDER)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    ranks = byte_bpe.shared_ranks(spark, P.path(queries.RANKS))
+    ids = byte_bpe.encode(odd, ranks, P.PATTERN)
+    back = byte_bpe.decode(ids.withColumn("token_ids", F.col("ids")), ranks, P.PATTERN)
+    want = back.select("doc_id", "n_tokens", "token_ids", "ids_sha256", F.expr("decoded = cast(coalesce(text, '') as binary)").alias("round_trip"))
+    agree([tuple(map(str, r)) for r in found.collect()], [tuple(map(str, r)) for r in want.collect()])
+    assert found.columns == want.columns and all(r.round_trip for r in found.collect())
+
+
 def test_bpe_pieces_appends_and_edits(coder):
     mine, plain = coder
     rng = random.Random(3)
