@@ -48,7 +48,7 @@ def archives(spark: SparkSession, folder: str) -> DataFrame:
 def toxic(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", "text", held_out(4).alias("held_out"))
     labels = read(spark, folder, "labels").filter(~held_out(4)).select("doc_id", "toxic")
-    model = toxicity.fit(docs.select("doc_id", "text"), labels)
+    model = toxicity.fit(docs.filter(~F.col("held_out")).select("doc_id", "text"), labels)
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 

@@ -13,10 +13,11 @@ take many endings).  Those that are significantly more frequent in toxic documen
 kept with their log-odds; a document's hits make three numbers, on which a logistic
 model is fit.
 
-Bounds.  The models are fit on at most ``sample`` labelled documents of either class,
-taken in the order of a hash of the id: a documented parameter.  So the feature table,
-the character model and what is collected are bounded, and they are shipped to the
-tasks.  Every document is scored whole, in a map without a shuffle.
+Scale.  The character counts, the features' counts and the logistic model come from all
+labelled documents.  Texts meet their labels in a join, once; counts are summed in Spark,
+and each Newton step is one sum over the documents' numbers.  What comes to the driver,
+and is shipped to the tasks, is the model: the distinct trigrams of letters, the features
+that pass the test, and sums.  Every document is scored whole, in a map without a shuffle.
 
 Defined results: a NULL text is empty; a text without features gets the model's base
 rate; without labels of both classes the score is the share of toxic labels (0 if none);
@@ -29,12 +30,12 @@ from __future__ import annotations
 import itertools
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.byte_bpe import _Memo
@@ -58,6 +59,8 @@ PIECES = re.compile(rf"[\w{_SIGN}]+")
 #: Single characters between separators, three or more.
 SET_APART = re.compile(rf"[^\s\w]*((?:[^\W_]|[{_SIGN}])(?:[{_APART}]+(?:[^\W_]|[{_SIGN}])){{2,}})[^\s\w]*")
 TOKEN = 64  # characters of the longest token that is remembered
+EDGES = ".,;:?'\""  # punctuation that is part of no disguise of a token of letters
+KEYS = 300_000  # counted keys that a task holds before it hands them on
 
 
 class CharModel:
@@ -150,7 +153,9 @@ def single(token: str) -> bool:
 
 
 def features(word: str) -> tuple[str, ...]:
-    return tuple(dict.fromkeys((f"={word}", *(f"^{word[:n]}" for n in (4, 5) if len(word) >= n))))
+    if len(word) < 4:
+        return (f"={word}",)
+    return (f"={word}", f"^{word[:4]}", f"^{word[:5]}") if len(word) > 4 else (f"={word}", f"^{word}")
 
 
 def _runs(places: list[int]) -> list[tuple[int, int]]:
@@ -173,16 +178,20 @@ class Model:
 
     def __post_init__(self):
         self._words = _Memo(self._token_words, widest=TOKEN)
-        self._weight = _Memo(lambda w: max((self.weights.get(f, 0.0) for f in features(w)), default=0.0), widest=TOKEN)
+        self._whole = {f[1:] for f in self.weights if f[0] == "="}
+        self._starts = {f[1:5] for f in self.weights if f[0] == "^"}
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("_words", "_weight")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_words", "_whole", "_starts")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
         self.__post_init__()
 
     def _token_words(self, token: str) -> tuple[str, ...]:
+        low = token.lower().strip(EDGES)
+        if low.isalpha() and not TRIPLE.search(token):  # nothing for the lattice: most tokens
+            return (low,)
         pieces = disguised(token) if self.chars else None
         if pieces is None:
             return tuple(WORD.findall(token.lower()))
@@ -193,8 +202,8 @@ class Model:
         """Lower-case words of the restored text."""
         tokens = text.split()
         if self.chars:
-            short = [i for i, t in enumerate(tokens) if len(t) <= 2 and single(t)]
-            for begin, end in reversed(_runs(short)):
+            short = _runs([i for i, n in enumerate(map(len, tokens)) if n <= 2])
+            for begin, end in reversed(_runs([i for a, b in short for i in range(a, b) if single(tokens[i])])):
                 signs = [t for t in tokens[begin:end] if t not in SEPARATORS]
                 if len(signs) >= 3 and any(t[0].isalpha() for t in signs):
                     tokens[begin:end] = [restore(" ".join(tokens[begin:end]), self.chars)]
@@ -203,7 +212,8 @@ class Model:
     def numbers(self, text: str) -> tuple[float, float, float]:
         """Distinct hits (log), the largest log-odds, and hits per root of the words."""
         words = self.words(text)
-        hits = [w for w in map(self._weight.__getitem__, set(words)) if w > 0]
+        near = [w for w in set(words) if w[:4] in self._starts or w in self._whole]
+        hits = [w for w in (max(self.weights.get(f, 0.0) for f in features(n)) for n in near) if w > 0]
         return math.log1p(len(hits)), max(hits, default=0.0), len(hits) / math.sqrt(len(words) + 1)
 
     def score(self, text: str) -> float:
@@ -213,76 +223,113 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.1) -> list[float]:
-    """Weighted logistic regression by Newton steps."""
-    x = np.c_[np.ones(len(x)), x]
-    b = np.zeros(x.shape[1])
+def _logistic(rows: DataFrame, ridge: float = 0.1) -> list[float]:
+    """Logistic regression of ``y`` on ``a``, ``b`` and ``c`` over all rows by Newton steps, each one sum in Spark."""
+    x = [F.lit(1.0), F.col("a"), F.col("b"), F.col("c")]
+    upper = [(i, j) for i in range(len(x)) for j in range(i, len(x))]
+    coef = np.zeros(len(x))
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
-        h = (x * (weight * p * (1 - p))[:, None]).T @ x + ridge * np.eye(x.shape[1])
-        b += np.linalg.solve(h, x.T @ (weight * (y - p)) - ridge * b)
-    return b.tolist()
+        at = sum((F.lit(float(k)) * v for k, v in zip(coef, x)), F.lit(0.0))
+        p = 1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), at))))
+        held = rows.select("y", "a", "b", "c", p.alias("p"))
+        curve = [F.sum(x[i] * x[j] * F.col("p") * (1 - F.col("p"))) for i, j in upper]
+        slope = [F.sum(v * (F.col("y") - F.col("p"))) for v in x]
+        sums = np.array(held.agg(*[v.alias(f"s{k}") for k, v in enumerate(curve + slope)]).first(), float)
+        h = np.zeros((len(x), len(x)))
+        for (i, j), v in zip(upper, sums):
+            h[i, j] = h[j, i] = v
+        step = np.linalg.solve(h + ridge * np.eye(len(x)), sums[len(upper):] - ridge * coef)
+        coef = coef + step
+        if np.abs(step).max() < 1e-9:
+            break
+    return coef.tolist()
+
+
+def _counted(column: Column, name: str) -> Column:
+    return F.coalesce(F.sum(column), F.lit(0)).alias(name)
+
+
+def char_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
+    """(g, n): how often each trigram stands in the words of all texts."""
+
+    def run(batches):
+        words = Counter()
+
+        def spelled():
+            n = Counter()
+            for w, k in words.items():
+                for g in trigrams(w):
+                    n[g] += k
+            words.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], ["g", "n"])
+
+        for batch in batches:
+            for t in batch.column(text_col).to_pylist():
+                words.update(WORD.findall((t or "").lower()))
+                if len(words) > KEYS:
+                    yield spelled()
+        yield spelled()
+
+    return texts.select(text_col).mapInArrow(run, "g string, n long").groupBy("g").agg(F.sum("n").alias("n"))
+
+
+def feature_counts(texts: DataFrame, model: Model) -> DataFrame:
+    """(f, c, t): in how many clean and toxic texts of (y, text) each feature stands."""
+
+    def run(batches):
+        # Whole words, their first four and their first five letters, for either class.
+        found = [[Counter() for _ in range(3)] for _ in range(2)]
+
+        def handed():
+            for y, kinds in enumerate(found):
+                for sign, n in zip("=^^", kinds):
+                    counts, none = pa.array(list(n.values()), pa.int64()), pa.array(np.zeros(len(n), np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array([sign + k for k in n], pa.string()), *([none, counts] if y else [counts, none])], ["f", "c", "t"])
+                    n.clear()
+
+        for batch in batches:
+            for y, t in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist()):
+                words, kinds = set(model.words(t or "")), found[y]
+                kinds[0].update(words)
+                kinds[1].update({w[:4] for w in words if len(w) > 3})
+                kinds[2].update({w[:5] for w in words if len(w) > 4})
+                if sum(map(len, itertools.chain(*found))) > KEYS:
+                    yield from handed()
+        yield from handed()
+
+    return texts.select("y", "text").mapInArrow(run, "f string, c long, t long").groupBy("f").agg(F.sum("c").alias("c"), F.sum("t").alias("t"))
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 8000,
-    z: float = 6.0, least_odds: float = 2.0,
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", z: float = 6.0, least_odds: float = 2.0,
 ) -> Model:
-    """The model from at most ``sample`` labelled documents of either class."""
+    """The model from all labelled documents."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("id IS NOT NULL AND y IN (0, 1)")
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     total = sum(sizes.values())
     model = Model(rate=sizes.get(1, 0) / total if total else 0.0)
     if len(sizes) < 2:
         return model
-    chosen = [known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(sample) for y in (0, 1)]
-    # At most 2 * sample ids, so the hint is safe; texts stay where they are read.
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen[0].union(chosen[1])), "id").select("y", "text")
-    texts = written(texts, "toxicity_sample")
-
-    def grams(batches):
-        n = Counter()
-        for batch in batches:
-            for t in batch.column("text").to_pylist():
-                for w in WORD.findall((t or "").lower()):
-                    n.update(trigrams(w))
-        yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], ["g", "n"])
+    # Labels grow with the documents, so they are never broadcast.
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(known.hint("merge"), "id").select("y", "text")
+    texts = written(texts, "toxicity_texts")
+    model.chars = CharModel(Counter({r["g"]: r["n"] for r in char_counts(texts).collect()}))
 
-    counts = texts.mapInArrow(grams, "g string, n long").groupBy("g").agg(F.sum("n").alias("n"))
-    model.chars = CharModel(Counter({r["g"]: r["n"] for r in counts.toLocalIterator()}))
-
-    def presence(batches):
-        n = defaultdict(lambda: [0, 0])
-        docs_seen = [0, 0]
-        for batch in batches:
-            for y, t in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist()):
-                docs_seen[y] += 1
-                for f in set(itertools.chain.from_iterable(map(features, set(model.words(t or ""))))):
-                    n[f][y] += 1
-        n[""] = docs_seen
-        keys = list(n)
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *[pa.array([n[k][y] for k in keys], pa.int64()) for y in (0, 1)]], ["f", "c", "t"])
-
-    seen = texts.mapInArrow(presence, "f string, c long, t long").groupBy("f").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).filter("t >= 5 OR f = ''")
-    # Every kept feature stands in five sampled toxic documents: bounded by the sample.
-    table = {r["f"]: (r["c"], r["t"]) for r in seen.toLocalIterator()}
-    clean, bad = table.pop("", (0, 0))
+    clean, bad = texts.agg(_counted(1 - F.col("y"), "clean"), _counted(F.col("y"), "bad")).first()
     if not clean or not bad:
         return model
-    share = bad / (clean + bad)
-    for f, (c, t) in table.items():
-        odds = math.log((t + 0.5) / (bad + 1)) - math.log((c + 0.5) / (clean + 1))
-        if odds >= least_odds and t - (t + c) * share >= z * math.sqrt((t + c) * share * (1 - share)):
-            model.weights[f] = odds
+    c, t, share = F.col("c"), F.col("t"), bad / (clean + bad)
+    odds = F.log((t + 0.5) / (bad + 1)) - F.log((c + 0.5) / (clean + 1))
+    telling = (t >= 5) & (odds >= least_odds) & (t - (t + c) * share >= z * F.sqrt((t + c) * share * (1 - share)))
+    weights = feature_counts(texts, model).filter(telling).select("f", odds.alias("odds"))
+    model = Model(model.chars, {r["f"]: r["odds"] for r in weights.collect()}, rate=model.rate)
 
     def numbers(batches):
         for batch in batches:
             rows = [(y, *model.numbers(t or "")) for y, t in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.float64()) for k in range(4)], ["y", "a", "b", "c"])
 
-    got = np.array([tuple(r) for r in texts.mapInArrow(numbers, "y double, a double, b double, c double").toLocalIterator()])
-    weight = np.where(got[:, 0] > 0, sizes[1] / bad, sizes[0] / clean)
-    model.coef = _logistic(got[:, 1:], got[:, 0], weight / weight.mean())
+    model.coef = _logistic(written(texts.mapInArrow(numbers, "y double, a double, b double, c double"), "toxicity_numbers"))
     return model
 
 

@@ -1,11 +1,13 @@
 """The lattice decoder against an enumeration of readings; disguises of any length and mixture."""
 
 import itertools
+import math
 import os
 import pickle
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from orderlens.llm import queries, toxicity
@@ -86,3 +88,27 @@ def test_ties_and_odd_rows(spark):
     assert len(empty) == 1  # NULL and empty texts alike
     assert max(r.score for r in found if r.doc_id == 8) > 0.5 > max(r.score for r in found if r.doc_id == 2)
     assert toxicity.score(df.limit(0), model).collect() == []
+
+
+def test_all_labelled_documents_are_learnt_from(spark):
+    """Counts, features and coefficients of 9,000 documents of either class, against a plain fit on all of them."""
+    tails = ["alpha", "beta", "gamma", "delta", "omega"]
+    texts = [("wretched fool " if i % 2 and i % 7 else "pleasant weather ") + tails[i % 5] + " q" * (i % 3) for i in range(18_000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(len(texts))], "doc_id long, toxic int")
+    chars = toxicity.Counter(g for t in texts for w in toxicity.WORD.findall(t) for g in toxicity.trigrams(w))
+    model = toxicity.fit(df, labels)
+    assert model.chars.tri == chars
+
+    seen = [toxicity.Counter(), toxicity.Counter()]
+    for i, t in enumerate(texts):
+        seen[i % 2].update({f for w in set(model.words(t)) for f in toxicity.features(w)})
+    frame = df.join(labels, "doc_id").withColumnRenamed("toxic", "y")
+    assert {(r.f, r.c, r.t) for r in toxicity.feature_counts(frame, model).collect()} == {(f, seen[0][f], seen[1][f]) for f in seen[0] | seen[1]}
+    odds = {f: math.log((t + 0.5) / 9001) - math.log((seen[0][f] + 0.5) / 9001) for f, t in seen[1].items()}
+    assert model.weights == pytest.approx({f: o for f, o in odds.items() if o >= 2 and seen[1][f] - seen[0][f] >= 6 * (seen[1][f] + seen[0][f]) ** 0.5})
+
+    x = np.array([(1.0, *model.numbers(t)) for t in texts])
+    p = 1 / (1 + np.exp(-x @ np.array(model.coef)))
+    slope = x.T @ (np.arange(len(texts)) % 2 - p) - 0.1 * np.array(model.coef)
+    assert np.abs(slope).max() < 1e-4  # the penalised likelihood of all documents has its top here
