@@ -14,11 +14,12 @@ row per linked fingerprint), not with all its pairs, and pairs already joined ar
 looked into.  Groups are joined by min-label propagation with pointer jumping, each
 round written to the shared folder.
 
-``drop_similar`` is for similarities that a few bits cannot hold: at a Jaccard similarity
-of 0.8 fingerprints differ in up to 14 bits or more, and ``radius + 1`` bands of 4 bits
-select nothing.  There, texts meet by bands of MinHash values, the Gray order finds the
-nearest ones in large bands, and the exact similarity of the shingles decides.  What that
-order may miss inside large bands is then searched in full (``missed``): texts that are not
+``drop_similar`` searches the same index at a wide radius: each group's tree answers with
+nearest pairs that span all fingerprints within ``WIDE`` bits (``spanning``), and the exact
+similarity of the shingles decides.  Similar texts may differ in more bits: at a Jaccard
+similarity of 0.8 in 14 or more, which no banding of 64 bits holds.  So that none of them
+is lost, texts meet by bands of MinHash values as well, the nearest ones first in large
+bands; what these may miss there is searched in full (``missed``): texts that are not
 yet in one group meet by their rarest shingles, a filter that loses no pair.
 
 Defined results: a NULL or blank text has fingerprint zero and is linked like any other;
@@ -41,6 +42,8 @@ PAIRS = 1 << 16  # pairs looked at together: bounds memory, not results
 #: MinHash: a pair at similarity s shares one of BANDS values with probability 1 - (1 - s ** ROWS) ** BANDS, 0.99997 at 0.8.
 BANDS, ROWS = 20, 4
 _FACTORS = np.random.default_rng(42).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Differing bits of fingerprints that ``drop_similar`` finds by the index; rows of a group there.
+WIDE, WIDE_ROWS = 7, 1000
 #: In a band value of more than SMALL texts, each is first paired with its NEAREST by fingerprint among WINDOW in Gray
 #: order; ``missed`` finds the other pairs there, so the three values steer the work and not the result.
 SMALL, NEAREST, WINDOW = 16, 3, 1024
@@ -172,8 +175,28 @@ def forest(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     return index.fps[off], index.fps[sets.root[off]]
 
 
-def links(distinct: DataFrame, radius: int = 3, group_rows: int = 100_000) -> DataFrame:
-    """(a, b): spanning edges between the distinct fingerprints of column ``fp``.
+def spanning(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of fingerprints at ``radius`` or fewer bits that join all such pairs, in rounds of each one's nearest."""
+    index = GrayIndex(np.unique(fps))
+    sets, a, b = Forest(len(index.fps)), [], []
+    for i, j in index.pairs(radius, sets.joined):
+        order = np.argsort(np.bitwise_count(index.fps[i] ^ index.fps[j]), kind="stable")
+        i, j = i[order], j[order]
+        while True:
+            off = sets.root[i] != sets.root[j]
+            i, j = i[off], j[off]
+            if not len(i):
+                break
+            near = np.union1d(np.unique(i, return_index=True)[1], np.unique(j, return_index=True)[1])
+            a.append(i[near])
+            b.append(j[near])
+            sets.join(i[near], j[near])
+    none = np.zeros(0, np.int64)
+    return index.fps[np.concatenate([*a, none])], index.fps[np.concatenate([*b, none])]
+
+
+def links(distinct: DataFrame, radius: int = 3, group_rows: int = 100_000, find=forest) -> DataFrame:
+    """(a, b): spanning edges between the distinct fingerprints of column ``fp``, as ``find`` makes them of a group.
 
     A group of more than four times ``group_rows`` (many fingerprints with one band value)
     is split by the same rule: its links agree in one of ``radius + 1`` parts of the
@@ -201,7 +224,7 @@ def links(distinct: DataFrame, radius: int = 3, group_rows: int = 100_000) -> Da
     )
 
     def search(table: pa.Table) -> pa.Table:
-        a, b = forest(table.column("fp").to_numpy().view(np.uint64), radius)
+        a, b = find(table.column("fp").to_numpy().view(np.uint64), radius)
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
     return dealt.groupBy("grp", "sub").applyInArrow(search, "a long, b long").distinct()
@@ -351,6 +374,16 @@ def candidates(nodes: DataFrame, group_rows: int = 100_000) -> DataFrame:
     return dealt.groupBy("grp").applyInArrow(pairs, "a long, b long, value long")
 
 
+def indexed(nodes: DataFrame, radius: int = WIDE) -> DataFrame:
+    """(a, b), a < b: pairs of texts (node, fp) by the Gray index; those of one fingerprint meet at the first of them."""
+    first = written(nodes.groupBy("fp").agg(F.min("node").alias("first")), "first_of_fingerprint")
+    near = links(first, radius, WIDE_ROWS, spanning)
+    x, y = first.select(F.col("fp").alias("a"), F.col("first").alias("x")), first.select(F.col("fp").alias("b"), F.col("first").alias("y"))
+    apart = near.join(x, "a").join(y, "b").select("x", "y")
+    same = nodes.join(first, "fp").filter("node <> first").select(F.col("first").alias("x"), F.col("node").alias("y"))
+    return apart.union(same).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
 def shingle_sets(texts: DataFrame, words_per_shingle: int) -> DataFrame:
     """(node, n, s) for (node, text): the number of distinct shingles and their values, packed."""
 
@@ -427,7 +460,8 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row of each group of texts that chains of Jaccard similarity ``least`` or more join: that with the smallest id.
 
     NULL ids come last, then the text hash decides; rows with the same words are one text.
-    Two texts at ``least`` or more share one of the MinHash bands with a probability of 0.99997
+    Texts whose fingerprints differ in ``WIDE`` or fewer bits meet in the Gray index.  Any
+    two texts at ``least`` or more share one of the MinHash bands with a probability of 0.99997
     or more; every pair that does is found, however many texts share the band.
     """
     digest = free_name(docs, "text_digest")
@@ -438,7 +472,7 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     nodes = rows.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands"), F.min(_first("id", "digest")).alias("k"))
     nodes = written(nodes, "distinct_texts")
     found = written(candidates(nodes), "similar_candidates")
-    pairs = written(found.filter("value IS NULL").select("a", "b").distinct(), "similar_candidates")
+    pairs = written(indexed(nodes).union(found.filter("value IS NULL").select("a", "b")).distinct(), "similar_candidates")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     one = nodes.join(asked, "node", "left_semi").select("node", "k.*")
     texts = plain.join(one, _same(one, "id", "digest")).select("node", "text").dropDuplicates(["node"])

@@ -205,6 +205,50 @@ def test_no_pair_is_lost_among_texts_of_one_template(spark):
     assert {r.doc_id for r in simhash.drop_similar(df).collect()} == want
 
 
+def test_similar_texts_meet_in_the_gray_index(spark, monkeypatch):
+    """Without the MinHash bands, texts at 0.8 or more and 7 or fewer differing bits are still found by the index."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    rows = []
+    for _ in range(80):
+        base = [word() for _ in range(200)]
+        rows.append((len(rows), " ".join(base)))
+        base[rng.randrange(200)] = word()
+        rows.append((len(rows), " ".join(base)))
+    prints = [simhash.fingerprint(t.encode(), 5) for _, t in rows]
+    near = {k + 1 for k in range(0, len(rows), 2) if (prints[k] ^ prints[k + 1]).bit_count() <= 7}
+    assert len(near) > 50
+    monkeypatch.setattr(simhash, "candidates", lambda nodes: nodes.sparkSession.createDataFrame([], "a long, b long, value long"))
+    got = {r.doc_id for r in simhash.drop_similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {i for i, _ in rows} - near
+
+
+def test_spanning_pairs_are_near_and_join_all(spark):
+    rng = random.Random(8)
+    base = [rng.getrandbits(64) for _ in range(40)]
+    fps = sorted({rng.choice(base) ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, 6))) for _ in range(900)})
+
+    def sets(pairs):
+        root = {x: x for x in fps}
+        for x, y in pairs:
+            old, new = root[x], root[y]
+            if old != new:
+                root = {k: new if r == old else r for k, r in root.items()}
+        groups = {}
+        for k, r in root.items():
+            groups.setdefault(r, []).append(k)
+        return sorted(groups.values())
+
+    a, b = simhash.spanning(np.array(fps, np.uint64), 7)
+    found = list(zip(a.tolist(), b.tolist()))
+    assert all((x ^ y).bit_count() <= 7 for x, y in found) and len(found) < 3 * len(fps)
+    want = sets((x, y) for x in fps for y in fps if x < y and (x ^ y).bit_count() <= 7)
+    assert sets(found) == want
+    frame = spark.createDataFrame([(x - (x >> 63 << 64),) for x in fps], "fp long")
+    spread = simhash.links(frame, 7, 100, simhash.spanning).collect()
+    assert sets((r.a % (1 << 64), r.b % (1 << 64)) for r in spread) == want
+
+
 def test_missed_finds_every_pair_of_different_groups(spark):
     rng = random.Random(6)
     family = [rng.sample(range(1, 10_000), 60) for _ in range(8)]
