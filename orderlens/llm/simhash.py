@@ -20,7 +20,8 @@ similarity of the shingles decides.  Similar texts may differ in more bits: at a
 similarity of 0.8 in 14 or more, which no banding of 64 bits holds.  So that none of them
 is lost, texts meet by bands of MinHash values as well, the nearest ones first in large
 bands; what these may miss there is searched in full (``missed``): texts that are not
-yet in one group meet by their rarest shingles, a filter that loses no pair.
+yet in one group meet by their rarest shingles and become a pair if their parities are
+near enough, two filters that lose no pair.
 
 Defined results: a NULL or blank text has fingerprint zero and is linked like any other;
 a NULL id never becomes a component's id unless all its ids are NULL; equal rows have
@@ -47,6 +48,10 @@ WIDE, WIDE_ROWS = 7, 1000
 #: In a band value of more than SMALL texts, each is first paired with its NEAREST by fingerprint among WINDOW in Gray
 #: order; ``missed`` finds the other pairs there, so the three values steer the work and not the result.
 SMALL, NEAREST, WINDOW = 16, 3, 1024
+#: Edges for each file of a round's tables in ``drop_similar``.
+FILE_ROWS = 50_000
+#: 64-bit numbers in a set's parity: more of them tell longer texts apart, the result stays the same.
+PARITY = 16
 
 
 def shingles(line: bytes, words_per_shingle: int, seed: int = 42) -> np.ndarray:
@@ -230,20 +235,25 @@ def links(distinct: DataFrame, radius: int = 3, group_rows: int = 100_000, find=
     return dealt.groupBy("grp", "sub").applyInArrow(search, "a long, b long").distinct()
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """(node, root) for the nodes of the edges: the smallest node reachable, by labels and pointer jumping."""
+def components(edges: DataFrame, name: str = "components", file_rows: int = 0) -> DataFrame:
+    """(node, root) for the nodes of the edges: the smallest node reachable, by labels and pointer jumping.
+
+    With ``file_rows`` the tables of a round go to one file for so many edges, and not one for each shuffle partition.
+    """
     both = written(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a")), name)
-    label = written(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("root")), name)
+    files = -(-both.count() // file_rows) if file_rows else 0
+    put = lambda df: written(df.coalesce(max(files, 1)) if file_rows else df, name)
+    label = put(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("root")))
     while True:
         near = (
             both.join(label, both.v == label.node).groupBy("u").agg(F.min("root").alias("m"))
             .join(label, F.col("u") == F.col("node")).select("node", F.col("root").alias("old"), F.least("root", "m").alias("root"))
         )
-        near = written(near, name)
+        near = put(near)
         jump = near.select(F.col("node").alias("via"), F.col("root").alias("far"))
-        label = written(
+        label = put(
             near.join(jump, near.root == jump.via, "left")
-            .select("node", F.least("root", F.coalesce("far", "root")).alias("root"), "old"), name,
+            .select("node", F.least("root", F.coalesce("far", "root")).alias("root"), "old")
         )
         moved = label.filter("root <> old").limit(1).count()
         label = label.drop("old")
@@ -419,6 +429,28 @@ def apart(members: DataFrame, roots: DataFrame) -> DataFrame:
     return labelled.join(mixed, "value", "left_semi").select("node", "root").distinct()
 
 
+def parity(h: np.ndarray) -> np.ndarray:
+    """A bit is set if an odd number of the values fall on it.
+
+    Two sets' parities differ in no more bits than the sets have values that only one of them holds.
+    """
+    bits = np.bincount((mix(h, _FACTORS[0]) >> np.uint64(32)) % np.uint64(64 * PARITY), minlength=64 * PARITY) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def parities(sets: DataFrame) -> DataFrame:
+    """(node, parity) of (node, s)."""
+
+    def run(batches):
+        for batch in batches:
+            found = [parity(np.frombuffer(x.as_py(), np.uint64)) for x in batch.column("s")]
+            flat = pa.array(np.concatenate([*found, np.zeros(0, np.int64)]))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * PARITY, pa.int32()), flat)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), lists], names=["node", "parity"])
+
+    return sets.select("node", "s").mapInArrow(run, "node long, parity array<long>")
+
+
 def missed(sets: DataFrame, labels: DataFrame, least: float) -> DataFrame:
     """(a, b), a < b: all pairs of ``labels`` from different groups that may reach ``least``.
 
@@ -427,6 +459,12 @@ def missed(sets: DataFrame, labels: DataFrame, least: float) -> DataFrame:
     one of the first shingles of each, all but that many and one more.  Shingles of one
     text alone are only counted.  A shingle whose texts are one group joins nothing, which
     keeps groups of copies from being paired; a frequent shingle's rows are split by Spark's skew join.
+
+    Variants of one text share most of their shingles, also those far below ``least``.  Sets
+    that reach it have at most ``(1 - least) / (1 + least)`` of their sizes' sum in one of
+    them alone, and so their parities differ in no more bits.  The join makes only such pairs,
+    which follow the texts at about ``least`` and not the square of the variants; of texts of
+    some thousand shingles, parities tell little and the rarest shingles decide.
     """
 
     def listed(batches):
@@ -449,13 +487,26 @@ def missed(sets: DataFrame, labels: DataFrame, least: float) -> DataFrame:
         "token", "node", "root", "n", (F.col("place") <= F.col("n") - shared(2 * least / (1 + least)) + 1).alias("short"))
     first = written(first, "rare_shingles")
     mixed = first.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("token")
-    first = written(first.join(mixed, "token", "left_semi"), "rare_shingles")
-    x = first.filter("short").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "n")])
+    first = first.join(mixed, "token", "left_semi")
+    first = written(first.join(parities(sets.join(first.select("node").distinct(), "node", "left_semi")), "node"), "rare_shingles")
+    x = first.filter("short").select("token", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "n", "parity")])
     ordered = (F.col("x_n") < F.col("n")) | ((F.col("x_n") == F.col("n")) & (F.col("x_node") < F.col("node")))
     near = ordered & (F.col("x_root") != F.col("root")) & (F.lit(least) * F.col("n") <= F.col("x_n") + 1e-9)
+    differing = sum((F.bit_count(F.col("x_parity")[k].bitwiseXOR(F.col("parity")[k])) for k in range(PARITY)), F.lit(0))
+    near &= differing <= F.lit((1 - least) / (1 + least)) * (F.col("x_n") + F.col("n")) + 1e-9
     return x.join(first, "token").filter(near).select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
 
 
+def joined(roots: DataFrame, more: DataFrame, file_rows: int) -> DataFrame:
+    """(node, root) after the pairs (a, b) of ``more`` join the groups of ``roots`` and texts that have none yet."""
+    old = roots.select("node", F.col("root").alias("old"))
+    ends = more.join(old.toDF("a", "x"), "a", "left").join(old.toDF("b", "y"), "b", "left")
+    ends = ends.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")).filter("a <> b").distinct()
+    new = components(ends, "similar", file_rows)
+    moved = old.join(new.toDF("old", "new"), "old", "left").select("node", F.coalesce("new", "old").alias("root"))
+    return moved.union(new.join(old, "node", "left_anti").select("node", "root"))
+
+
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 5, least: float = 0.8) -> DataFrame:
     """One row of each group of texts that chains of Jaccard similarity ``least`` or more join: that with the smallest id.
 
@@ -478,11 +529,11 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = plain.join(one, _same(one, "id", "digest")).select("node", "text").dropDuplicates(["node"])
     sets = shingle_sets(texts, words_per_shingle)
     links = written(similar(sets, pairs, least), "similar")
-    roots = components(links, "similar")
+    roots = components(links, "similar", FILE_ROWS)
     members = found.filter("value IS NOT NULL").select(F.col("a").alias("node"), "value")
     others = written(missed(sets, apart(members, roots), least), "similar_missed")
     more = written(similar(sets, others, least), "similar_missed")
     if not more.isEmpty():
-        roots = components(links.union(more), "similar")
+        roots = joined(roots, more, FILE_ROWS)
     found = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("k").alias("k"))
     return _first_rows(keyed, found.select("k.*"), id_col, digest)

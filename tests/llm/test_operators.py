@@ -270,6 +270,42 @@ def test_missed_finds_every_pair_of_different_groups(spark):
     assert near and near <= found
 
 
+def test_missed_makes_few_pairs_of_far_variants(spark):
+    """Variants of one text far below 0.8 share their rarest shingles; only what is near 0.8 becomes a pair."""
+    rng = random.Random(9)
+    base = rng.sample(range(1 << 60), 400)
+    sets = []
+    for _ in range(200):
+        gone = rng.sample(range(0, 400, 5), 9)
+        sets.append({x for k, x in enumerate(base) if k // 5 * 5 not in gone} | {rng.getrandbits(60) for _ in range(40)})
+    for k in range(20):
+        sets.append(sets[k] ^ set(rng.sample(sorted(sets[k]), 30)))
+    packed = [(k, len(s), bytearray(np.array(sorted(s), np.int64).tobytes())) for k, s in enumerate(sets)]
+    labels = spark.createDataFrame([(k, k) for k in range(len(sets))], "node long, root long")
+    found = {(r.a, r.b) for r in simhash.missed(spark.createDataFrame(packed, "node long, n long, s binary"), labels, 0.8).collect()}
+    near = {
+        (i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    }
+    assert len(near) >= 20 and near <= found
+    assert len(found) < 3 * len(near)
+
+
+def test_parities_differ_in_no_more_bits_than_the_sets():
+    rng = random.Random(10)
+    for _ in range(200):
+        x = {rng.getrandbits(64) for _ in range(rng.randint(0, 600))}
+        y = {k for k in x if rng.random() < 0.8} | {rng.getrandbits(64) for _ in range(rng.randint(0, 300))}
+        p, q = (simhash.parity(np.array(sorted(z), np.uint64)).view(np.uint64) for z in (x, y))
+        assert len(p) == simhash.PARITY and int(np.bitwise_count(p ^ q).sum()) <= len(x ^ y)
+
+
+def test_late_pairs_join_groups_and_single_texts(spark):
+    roots = spark.createDataFrame([(1, 1), (2, 1), (5, 5), (6, 5), (8, 8), (9, 8)], "node long, root long")
+    more = spark.createDataFrame([(2, 6), (3, 6), (20, 21), (21, 22), (1, 2)], "a long, b long")
+    found = {(r.node, r.root) for r in simhash.joined(roots, more, 2).collect()}
+    assert found == {(1, 1), (2, 1), (3, 1), (5, 1), (6, 1), (8, 8), (9, 8), (20, 20), (21, 20), (22, 20)}
+
+
 def test_similar_texts_on_odd_rows(spark, odd):
     once = simhash.drop_similar(odd)
     assert once.columns == odd.columns
