@@ -122,3 +122,46 @@ def test_plan_size_does_not_follow_the_rules(spark, events):
         return len(re.sub(r"LocalRelation.*|LogicalRDD.*", "", plan))
 
     assert size(2_000) < 1.2 * size(20)
+
+
+def _intervals(spark, rows):
+    """Rules on ``value`` as data: (id, operator, num, high)."""
+    table = spark.createDataFrame(rows, "rule_id string, op string, num double, high double")
+    term = "struct(1 AS field, op, num, high, cast(null AS string) AS text, cast(null AS array<string>) AS texts, cast(null AS int) AS other)"
+    return table.selectExpr(
+        "rule_id", "'view' AS event_type", "timestamp_ntz'2000-01-01' AS valid_from", "timestamp_ntz'2100-01-01' AS valid_to", "0 AS clause", f"array({term}) AS terms")
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_a_match_of_an_interval_needs_no_test(spark, monkeypatch, few):
+    inf, nan = float("inf"), float("nan")
+    r = random.Random(3)
+    if not few:  # more ends than cuts: the cells of the ends are tested
+        monkeypatch.setattr(rule_index, "CELLS", 8)
+    ends = [0.0, -0.0, 1.5, 2.0, 2.5, 7.0, 7.25, 9.0] + ([] if few else [r.random() * 10 for _ in range(60)])
+    rules_ = [(f"b{i}", "nBETWEEN", r.choice(ends), r.choice(ends)) for i in range(80)]
+    rules_ += [(f"{op}{i}", op, r.choice(ends), None) for i in range(40) for op in ("n>", "n<")]
+    rules_ += [("twice", "nBETWEEN", 1.5, 7.0)] * 2 + [("none", "nBETWEEN", 1.5, None), ("null", "n>", None, None), (None, "n>", 1.0, None)]
+    rules_ += [("all", "nBETWEEN", -inf, inf), ("top", "n>", inf, None), ("nan", "n<", nan, None), ("end", "nBETWEEN", 2.0, nan), ("inf", "n<", inf, None)]
+    values = [None, nan, inf, -inf, *ends, *[e + 0.01 for e in ends], 100.0, -5.0]
+    events = spark.createDataFrame([(i, dt.datetime(2024, 1, 1), "view", v) for i, v in enumerate(values)], "event_id long, ts timestamp_ntz, event_type string, value double")
+    fields = rule_index.Fields(events, ("event_type", "value"))
+    index = rule_index.build(_intervals(spark, rules_))
+    found = pairs(rule_index.matches(events, index, fields))
+    key = lambda x: (x != x, 0 if x != x else x)  # noqa: E731 NaN is the largest number
+
+    def holds(op, v, num, high):
+        if v is None or num is None or (op == "nBETWEEN" and high is None):
+            return False
+        return key(v) > key(num) if op == "n>" else key(v) < key(num) if op == "n<" else key(num) <= key(v) <= key(high)
+
+    assert found == sorted((i, name) for i, v in enumerate(values) for name, op, num, high in rules_ if name and holds(op, v, num, high))
+    cell = index.table.filter("place = 'cell'")
+    tested = cell.filter("size(terms) > 0").select("rule_id").distinct().count()
+    if few:  # all but bounds that are no finite number
+        assert {x.rule_id for x in cell.filter("size(terms) > 0").collect()} <= {"all", "top", "nan", "end", "inf"}
+    else:
+        asked = cell.filter("size(terms) > 0").groupBy("key").count().agg(F.max("count")).first()[0]
+        assert asked < 0.5 * tested
+    # Nodes, not cells: a wide interval is a few rows.
+    assert cell.groupBy("rule_id").count().agg(F.max("count")).first()[0] <= 2 * 2 * rule_index._depth(index.cuts["view", 1])
